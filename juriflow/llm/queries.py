@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from juriflow.functions.consistent import CYRILLIC_DOUBLES, DOUBLES, GREEK_DOUBLES, JOINED, SINGLE
-from juriflow.llm import boilerplate, characters
+from juriflow.llm import boilerplate, characters, mixing, packing, repeats, scans
+from juriflow.llm.tokens import VOCABULARY, token_count
 from juriflow.session import table
 
 
@@ -26,7 +29,48 @@ def p2_kept(spark, d):
     return boilerplate.without_boilerplate(table(spark, d, "doc_lines").select("doc_id", "page", "seq", "text"), documents)
 
 
-QUERIES = {"p1_found": p1_found, "p1_repaired": p1_repaired, "p2_found": p2_found, "p2_kept": p2_kept}
+def p4_found(spark, d):
+    return scans.noise(table(spark, d, "doc_lines"), table(spark, d, "units"), table(spark, d, "documents_meta"))
+
+
+def p4_paragraphs(spark, d):
+    return scans.paragraphs(table(spark, d, "doc_lines"), table(spark, d, "documents_meta"))
+
+
+def p6_packed(spark, d, vocabulary=VOCABULARY):
+    # a fixed list of three kinds of containers
+    capacities = {r.spec_id: r.capacity_tokens for r in table(spark, d, "pack_specs").select("spec_id", "capacity_tokens").dropna().collect()}
+    return packing.pack(table(spark, d, "documents"), capacities, "doc_id", token_count(F.col("text"), vocabulary))
+
+
+def p6_fill(spark, d):
+    return packing.fill(p6_packed(spark, d))
+
+
+def sized(spark, d, vocabulary=VOCABULARY):
+    return table(spark, d, "documents").filter("source IS NOT NULL").select("doc_id", "source", token_count(F.col("text"), vocabulary).alias("tokens"))
+
+
+def p7_mixed(spark, d):
+    return mixing.mix(sized(spark, d), table(spark, d, "mix_targets"))
+
+
+def p7_shares(spark, d):
+    return mixing.shares(p7_mixed(spark, d), table(spark, d, "mix_targets"))
+
+
+def p8_found(spark, d):
+    return repeats.sharing_pairs(table(spark, d, "documents"))
+
+
+def p8_shares(spark, d):
+    return repeats.shared_share(table(spark, d, "documents"))
+
+
+QUERIES = {
+    "p1_found": p1_found, "p1_repaired": p1_repaired, "p2_found": p2_found, "p2_kept": p2_kept, "p4_found": p4_found, "p4_paragraphs": p4_paragraphs,
+    "p6_packed": p6_packed, "p6_fill": p6_fill, "p7_mixed": p7_mixed, "p7_shares": p7_shares, "p8_found": p8_found, "p8_shares": p8_shares,
+}
 
 
 def _tr(c: str, m: dict[str, str]) -> str:

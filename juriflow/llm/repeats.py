@@ -266,7 +266,7 @@ def sharing_texts(members: DataFrame) -> DataFrame:
     rows = members.select("h", "node", "child", "doc_id").distinct()
     a = rows.select("h", "node", F.col("child").alias("ca"), F.col("doc_id").alias("a"))
     b = rows.select("h", "node", F.col("child").alias("cb"), F.col("doc_id").alias("b"))
-    apart = (F.col("a") < F.col("b")) & (F.col("ca").isNull() | (F.col("ca") != F.col("cb")) | (F.col("ca") == F.col("cb")) & F.lit(False))
+    apart = (F.col("a") < F.col("b")) & (F.col("ca").isNull() | (F.col("ca") != F.col("cb")))
     return a.join(b, ["h", "node"]).filter(apart).select("a", "b").distinct()
 
 
