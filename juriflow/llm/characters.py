@@ -11,6 +11,7 @@ characters and composition are the core's consistent form.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,21 +62,26 @@ def repair(rows: DataFrame, vocab: DataFrame, text: str = "text", out: str = "fi
     that ``out`` replaces a column of that name.
     """
     rows = rows.drop(out) if out in rows.columns else rows
-    plain = rows.withColumn(out, F.when(C.is_suspect(F.col(text)), C.plain_characters(F.col(text))).otherwise(F.col(text)))
+    suspect = F.coalesce(C.is_suspect(F.col(text)), F.lit(False))
+    return rows.filter(~suspect).withColumn(out, F.col(text)).unionByName(_repaired(rows.filter(suspect), vocab, text, out))
+
+
+def _repaired(suspects: DataFrame, vocab: DataFrame, text: str, out: str) -> DataFrame:
+    # read by four branches below, so it is kept; lost parts are computed again
+    plain = suspects.withColumn(out, C.plain_characters(F.col(text))).persist(StorageLevel.MEMORY_AND_DISK)
     foreign = F.coalesce(F.col(out).rlike(C.FOREIGN), F.lit(False))
     # what follows depends on the text alone, so every distinct text is repaired once
     texts = plain.filter(foreign).select(F.col(out).alias("_text")).distinct()
     pieces = texts.select("_text", F.posexplode(C.script_tokens(F.col("_text"))).alias("_pos", "token"))
     asked = pieces.filter(F.col("token").rlike(C.FOREIGN))
     fixes = token_repairs(asked, vocab)
-    # one array of (place, replacement) for each text; applied to the text's own tokens
+    # one map of place to replacement for each text, applied to the text's own tokens
     changes = asked.join(fixes.filter("fixed <> token"), "token").groupBy("_text").agg(F.map_from_entries(F.collect_list(F.struct("_pos", "fixed"))).alias("_fix"))
     tokens = C.script_tokens(F.col("_text"))
     joined = F.array_join(F.transform(tokens, lambda tok, i: F.coalesce(F.try_element_at("_fix", i), tok)), "")
     fixed = changes.select("_text", joined.alias("_fixed"))
-    other = plain.filter(~foreign)
     back = plain.filter(foreign).join(fixed, F.col(out) == F.col("_text"), "left").withColumn(out, F.coalesce("_fixed", out)).drop("_text", "_fixed")
-    return other.unionByName(back).withColumn(out, C.compose(F.col(out)))
+    return plain.filter(~foreign).unionByName(back).withColumn(out, C.compose(F.col(out)))
 
 
 def squeezed(col: Column) -> Column:
@@ -85,7 +91,7 @@ def squeezed(col: Column) -> Column:
 
 def differing(rows: DataFrame, vocab: DataFrame, text: str = "text") -> DataFrame:
     """The rows whose text differs from its consistent form in more than the number of plain spaces, with ``fixed``."""
-    return repair(rows.filter(C.is_suspect(F.col(text))), vocab, text).filter(squeezed(F.col(text)) != squeezed(F.col("fixed")))
+    return _repaired(rows.filter(C.is_suspect(F.col(text))), vocab, text, "fixed").filter(squeezed(F.col(text)) != squeezed(F.col("fixed")))
 
 
 def born_digital(documents_meta: DataFrame) -> DataFrame:
