@@ -10,10 +10,11 @@ removed.
 from __future__ import annotations
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from juriflow.functions.consistent import consistent_form
+from juriflow.functions.consistent import consistent_form, let
 
 #: A line is boilerplate if at least so many documents of the site and at least this share of them have it.
 LEAST_DOCS = 4
@@ -24,13 +25,14 @@ def line_key(text: Column) -> Column:
     """Equal for lines that differ only in capitals, spacing, numbers, closing punctuation or look-alike characters; NULL without a letter."""
     key = F.regexp_replace(F.lower(consistent_form(text)), r"\s+", "")
     key = F.regexp_replace(F.regexp_replace(key, r"[0-9]+(?:[.,][0-9]+)*", "0"), r"\p{P}+$", "")
-    return F.when(key.rlike(r"\p{L}"), key)
+    return F.when(text.rlike(r"\p{L}"), key)
 
 
 def keyed_lines(lines: DataFrame, documents: DataFrame) -> DataFrame:
     """source, doc_id, seq and the 128-bit key (ka, kb) of every line with a letter in the given documents."""
-    keyed = lines.select("doc_id", "seq", line_key(F.col("text")).alias("_key")).filter(F.col("_key").isNotNull())
-    return keyed.select("doc_id", "seq", F.xxhash64("_key").alias("ka"), F.xxhash64("_key", F.lit(1)).alias("kb")).join(documents, "doc_id")
+    hashes = let(line_key(F.col("text")), lambda k: F.struct(F.xxhash64(k).alias("ka"), F.xxhash64(k, F.lit(1)).alias("kb")))
+    lettered = lines.filter(F.col("text").rlike(r"\p{L}")).select("doc_id", "seq", hashes.alias("_h"))
+    return lettered.select("doc_id", "seq", "_h.ka", "_h.kb").join(documents, "doc_id")
 
 
 def site_sizes(documents: DataFrame, least: int, share: float) -> DataFrame:
@@ -92,7 +94,8 @@ def boilerplate_lines(lines: DataFrame, documents: DataFrame, least: int = LEAST
     doc_id or seq are never boilerplate.  Repeated rows count once.
     """
     lines, documents = lines.select("doc_id", "seq", "text").dropna(subset=["doc_id", "seq"]), documents.select("doc_id", "source").dropna().distinct()
-    keyed = keyed_lines(lines, documents)
+    # read for the supports and again for the occurrences; lost parts are computed again
+    keyed = keyed_lines(lines, documents).persist(StorageLevel.MEMORY_AND_DISK)
     needs = site_sizes(documents, least, share)
     nodes = frequent_nodes(keyed, needs).select("source", "ka", "kb")
     hits = keyed.join(nodes, ["source", "ka", "kb"]).distinct()
