@@ -8,6 +8,7 @@ buckets with carried offsets, so that no source is summed up by one task.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,7 +43,8 @@ def mix(sized: DataFrame, targets: DataFrame, budget: int | None = None, seed: i
     nothing while the others keep their proportions.  Repeated rows of
     ``sized`` are documents of their own.
     """
-    sized = sized.select("doc_id", "source", "tokens").filter("source IS NOT NULL AND tokens > 0")
+    # the sizes are costly and read several times; lost parts are computed again
+    sized = sized.select("doc_id", "source", "tokens").filter("source IS NOT NULL").persist(StorageLevel.MEMORY_AND_DISK).filter("tokens > 0")
     targets = targets.filter("target_share > 0 AND max_repeats > 0")
     limits = budgets(sized, targets, budget)
     # a source can serve at most its share of the budget and one document more, so later repeats need not be made
