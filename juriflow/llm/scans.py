@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,7 +29,7 @@ CONFUSIONS = [("6", "b"), ("c", "e"), ("o", "a"), ("5", "s"), ("ii", "u"), ("ri"
               ("d", "cl"), ("li", "h"), ("m", "rn"), ("1", "i"), ("i", "l"), ("n", "ri"), ("h", "li"), ("u", "ii"), ("e", "c"), ("a", "o"), ("t", "f"), ("a", "à"), ("a", "â"), ("o", "ô"), ("u", "û"), ("u", "ù"), ("i", "î"), ("8", "b"), ("vv", "w"), ("s", "5"), ("q", "g"), ("g", "q"), ("I", "l"), ("c", "ç"), ("é", "è"), ("è", "é"), ("v", "y"), ("y", "v"), ("n", "u"), ("u", "n"), ("tt", "ff"), ("fi", "ti")]
 #: Letters that scanners put for digits.
 DIGIT_LIKE = "OoIlSB"
-MARKS = "-¬‐­"
+MARKS = "-\u00ac\u2010\u00ad"
 #: A misread word's correction is so many times as frequent, and so frequent at least.
 RATIO, LEAST = 20, 20
 
@@ -166,7 +167,7 @@ def _matrix(rows) -> np.ndarray:
 def pages_of(features: DataFrame) -> DataFrame:
     """One row for each page with its lines in order; a page's lines are as many as fit on it."""
     line = F.struct("seq", "text", "form", "zone", "indent", "start")
-    return features.groupBy("doc_id", "page").agg(F.array_sort(F.collect_list(line)).alias("lines"))
+    return features.groupBy("doc_id", "page").agg(F.array_sort(F.collect_set(line)).alias("lines"))
 
 
 def fit(pages: DataFrame, sample: int = SAMPLE_PAGES) -> Model:
@@ -205,9 +206,10 @@ def line_blocks(doc_lines: DataFrame, documents: DataFrame, model: Model | None
     Repeated rows count once; rows with a NULL doc_id or seq are left out, a
     NULL page is a page of its own, NULL geometry and NULL text are features.
     """
-    rows = doc_lines.select("doc_id", "page", "seq", "text", "x0", "y0", "page_h").filter("doc_id IS NOT NULL AND seq IS NOT NULL").join(documents, "doc_id", "left_semi").distinct()
-    pages = pages_of(featured(rows))
-    got = labelled(pages, model or fit(pages))
+    rows = doc_lines.select("doc_id", "page", "seq", "text", "x0", "y0", "page_h").filter("doc_id IS NOT NULL AND seq IS NOT NULL").join(documents, "doc_id", "left_semi")
+    # read for the fit and for the labels, and these by all that follows; lost parts are computed again
+    pages = pages_of(featured(rows)).persist(StorageLevel.MEMORY_AND_DISK)
+    got = labelled(pages, model or fit(pages)).persist(StorageLevel.MEMORY_AND_DISK)
     return got.select(F.lit("doc_lines").alias("src"), "doc_id", F.coalesce(F.col("page"), F.lit(-1)).cast("bigint").alias("ord"), F.lit(0).cast("bigint").alias("variant"), "lines")
 
 
@@ -247,9 +249,10 @@ def _broken(text: Column, after: Column) -> Column:
 def lexicon(corpus: DataFrame, text: str = "text") -> DataFrame:
     """Words as written and words with hyphens inside, over all lines: word, kind ('word' or 'compound'), n."""
     t = F.col(text)
+    # a summary of the corpus that is read several times
     words = corpus.select(F.explode(F.split(t, r"[^\p{L}\p{N}]+")).alias("word")).filter(F.col("word").rlike(r"\p{L}")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit("word"))
     inner = corpus.filter(t.rlike(r"\p{L}-\p{L}")).select(F.explode(F.regexp_extract_all(t, F.lit(r"\p{L}+(?:-\p{L}+)+"), F.lit(0))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit("compound"))
-    return words.unionByName(inner)
+    return words.unionByName(inner).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def misreadings(lex: DataFrame) -> DataFrame:
@@ -285,47 +288,63 @@ def misreadings(lex: DataFrame) -> DataFrame:
 BAD_NUMBER = rf"^(?:(?=.*[0-9])(?=.*[{DIGIT_LIKE}])[0-9{DIGIT_LIKE}]+|l[lIOo]+|I[lOo]+|O[OlI]+|[oO]{{2,}})$"
 
 
-def findings(body: DataFrame, lex: DataFrame) -> DataFrame:
-    """Per body line: hyphen (a word broken at its end must be rejoined) and ``fixes``, the misread words (read, right).
+#: A body line's place.
+KEY = ["src", "doc_id", "ord", "variant", "seq"]
+#: So many misread forms (about 60 MB) are broadcast at most.
+BROADCAST_FORMS = 1_000_000
 
-    Columns src, doc_id, ord, variant, seq, text, glue, hyphen, fixes.
-    """
+
+def edges(body: DataFrame) -> DataFrame:
+    """Body lines with the two parts of a word broken at their end (_l, _r) and at their start (_pl, _pr); NULL where none is."""
     t = F.col("text")
-    ends, starts = _broken(t, F.col("next")), _broken(F.col("prev"), t)
-    rows = body.withColumn("_ends", F.coalesce(ends, F.lit(False))).withColumn("_starts", F.coalesce(starts & F.col("prev").isNotNull(), F.lit(False)))
+    ends, starts = F.coalesce(_broken(t, F.col("next")), F.lit(False)), F.coalesce(_broken(F.col("prev"), t), F.lit(False)) & F.col("prev").isNotNull()
     left, right = (lambda c: F.regexp_extract(c, rf"({_WORD})[{MARKS}]\s*$", 1)), (lambda c: F.coalesce(F.regexp_extract(c, rf"^\s*({_WORD})", 1), F.lit("")))
-    rows = rows.withColumn("_l", F.when(F.col("_ends"), left(t))).withColumn("_r", F.when(F.col("_ends"), right(F.col("next"))))
-    rows = rows.withColumn("_pl", F.when(F.col("_starts"), left(F.col("prev")))).withColumn("_pr", F.when(F.col("_starts"), right(t)))
-    # what the corpus says of each broken pair: written with a hyphen anyway, or one word
+    return body.select(*KEY, "text", F.when(ends, left(t)).alias("_l"), F.when(ends, right(F.col("next"))).alias("_r"), F.when(starts, left(F.col("prev"))).alias("_pl"), F.when(starts, right(t)).alias("_pr"))
+
+
+def compound_ends(rows: DataFrame, lex: DataFrame) -> DataFrame:
+    """Places of lines that end in a compound which the corpus writes with a hyphen more often than as one word."""
+    broken = rows.filter("_l IS NOT NULL").select(*KEY, "_l", "_r")
     blur = lex.select("kind", blurred(F.col("word")).alias("_k"), "n").groupBy("_k", "kind").agg(F.sum("n").alias("n"))
-    pairs = rows.filter("_ends").select("_l", "_r").distinct().select("_l", "_r", blurred(F.concat("_l", F.lit("-"), "_r")).alias("_hk"), blurred(F.concat("_l", "_r")).alias("_jk"))
-    compounds = pairs.join(blur.filter("kind = 'compound'").select(F.col("_k").alias("_hk"), F.col("n").alias("_nh")), "_hk")
-    compounds = compounds.join(blur.filter("kind = 'word'").select(F.col("_k").alias("_jk"), F.col("n").alias("_nj")), "_jk", "left").filter("_nh > coalesce(_nj, 0)").select("_l", "_r", F.lit(True).alias("_compound"))
-    # words of a line, and the words over its two ends
-    words = F.filter(F.split(t, r"[^\p{L}\p{N}]+"), lambda x: x != "")
-    n = F.size("_w")
-    first, last = F.when(F.col("_starts"), 1).otherwise(0), F.when(F.col("_ends"), n - 1).otherwise(n)
-    rows = rows.withColumn("_w", words)
-    inner = F.slice("_w", first + 1, F.greatest(last - first, F.lit(0)))
-    key = ["src", "doc_id", "ord", "variant", "seq"]
-    whole = F.transform(F.array_distinct(inner), lambda x: F.struct(x.alias("t"), F.lit(-1).alias("lo"), F.lit(9999).alias("hi"), x.alias("read")))
+    pairs = broken.select("_l", "_r").distinct().select("_l", "_r", blurred(F.concat("_l", F.lit("-"), "_r")).alias("_hk"), blurred(F.concat("_l", "_r")).alias("_jk"))
+    known = pairs.join(blur.filter("kind = 'compound'").select(F.col("_k").alias("_hk"), F.col("n").alias("_nh")), "_hk")
+    known = known.join(blur.filter("kind = 'word'").select(F.col("_k").alias("_jk"), F.col("n").alias("_nj")), "_jk", "left").filter("_nh > coalesce(_nj, 0)").select("_l", "_r")
+    return broken.join(known, ["_l", "_r"]).select(*KEY)
+
+
+def misread(rows: DataFrame, lex: DataFrame) -> DataFrame:
+    """Misread words and numbers of body lines, a place and (read, right) each.
+
+    Words over a line's end are looked up whole; the part that holds the error
+    is the misread one.
+    """
+    t, n = F.col("text"), F.size("_w")
+    first, last = F.when(F.col("_pl").isNotNull(), 1).otherwise(0), F.when(F.col("_l").isNotNull(), n - 1).otherwise(n)
+    d = rows.withColumn("_w", F.filter(F.split(t, r"[^\p{L}\p{N}]+"), lambda x: x != ""))
+    inner = F.array_distinct(F.slice("_w", first + 1, F.greatest(last - first, F.lit(0))))
+    whole = F.transform(inner, lambda x: F.struct(x.alias("t"), F.lit(-1).alias("lo"), F.lit(9999).alias("hi"), x.alias("read")))
     over = F.array_compact(F.array(
-        F.when(F.col("_ends"), F.struct(F.concat("_l", "_r").alias("t"), F.lit(-1).alias("lo"), F.length("_l").alias("hi"), F.col("_l").alias("read"))),
-        F.when(F.col("_starts"), F.struct(F.concat("_pl", "_pr").alias("t"), F.length("_pl").alias("lo"), F.lit(9999).alias("hi"), F.col("_pr").alias("read"))),
+        F.when(F.col("_l").isNotNull(), F.struct(F.concat("_l", "_r").alias("t"), F.lit(-1).alias("lo"), F.length("_l").alias("hi"), F.col("_l").alias("read"))),
+        F.when(F.col("_pl").isNotNull(), F.struct(F.concat("_pl", "_pr").alias("t"), F.length("_pl").alias("lo"), F.lit(9999).alias("hi"), F.col("_pr").alias("read"))),
     ))
-    numbers = F.filter(F.array_distinct(inner), lambda x: x.rlike(BAD_NUMBER))
-    asked = rows.select(*key, F.inline(F.filter(F.concat(whole, over), lambda x: x["t"].rlike(r"\p{L}") & ~x["t"].rlike(BAD_NUMBER))))
-    asked = asked.withColumn("_form", F.when(F.col("t").rlike(r"^\p{Lu}\p{Ll}"), F.lower("t")).otherwise(F.col("t")))
-    wrong = misreadings(lex)
-    bad = asked.join(wrong.select(F.col("form").alias("_form"), F.col("word").alias("_a"), F.col("at").alias("_at")), "_form")
-    exact = asked.filter("t <> _form").join(wrong.select(F.col("form").alias("t"), F.col("word").alias("_a"), F.col("at").alias("_at")), "t").select(*bad.columns)
-    bad = bad.unionByName(exact).filter("_at >= lo AND _at < hi")
-    right_word = F.when((F.col("lo") >= 0), F.substring("_a", F.col("lo") + 1, F.length("_a"))).when(F.col("hi") < 9999, F.expr("substring(_a, 1, length(_a) - (length(t) - hi))")).otherwise(F.when(F.col("t") != F.col("_form"), F.initcap("_a")).otherwise(F.col("_a")))
-    fixes = bad.groupBy(*key).agg(F.collect_set(F.struct("read", right_word.alias("right"))).alias("_fixes"))
-    out = rows.join(compounds, ["_l", "_r"], "left").join(fixes, key, "left")
-    digits = F.transform(numbers, lambda x: F.struct(x.alias("read"), F.translate(x, "OoIlSB", "001158").alias("right")))
+    asked = d.select(*KEY, F.inline(F.filter(F.concat(whole, over), lambda x: x["t"].rlike(r"\p{L}") & ((x["hi"] < 9999) | (x["lo"] >= 0) | ~x["t"].rlike(BAD_NUMBER)))))
+    asked = asked.withColumn("_form", F.explode(F.when(F.col("t").rlike(r"^\p{Lu}\p{Ll}"), F.array("t", F.lower("t"))).otherwise(F.array("t"))))
+    wrong = misreadings(lex).select(F.col("form").alias("_form"), F.col("word").alias("_a"), F.col("at").alias("_at")).persist(StorageLevel.MEMORY_AND_DISK)
+    bad = asked.join(F.broadcast(wrong) if wrong.count() <= BROADCAST_FORMS else wrong, "_form").filter("_at >= lo AND _at < hi")
+    right = F.when(F.col("lo") >= 0, F.substring("_a", F.col("lo") + 1, F.length("_a"))).when(F.col("hi") < 9999, F.expr("substring(_a, 1, length(_a) - (length(t) - hi))")).otherwise(F.when(F.col("t") != F.col("_form"), F.initcap("_a")).otherwise(F.col("_a")))
+    numbers = d.select(*KEY, F.explode(F.filter(inner, lambda x: x.rlike(BAD_NUMBER))).alias("read")).withColumn("right", F.translate("read", "OoIlSB", "001158"))
+    return bad.select(*KEY, "read", right.alias("right")).unionByName(numbers)
+
+
+def findings(body: DataFrame, lex: DataFrame) -> DataFrame:
+    """Per body line: glue (it ends in a broken word), hyphen (whose mark must go) and ``fixes``, the misread words (read, right)."""
+    rows = edges(body)
+    fixes = misread(rows, lex).groupBy(*KEY).agg(F.collect_set(F.struct("read", "right")).alias("_f"))
+    compounds = compound_ends(rows, lex).distinct().withColumn("_c", F.lit(True))
+    out = rows.join(fixes, KEY, "left").join(compounds, KEY, "left")
     none = F.array().cast("array<struct<read:string,right:string>>")
-    return out.select(*key, "text", F.col("_ends").alias("glue"), (F.col("_ends") & F.col("_compound").isNull()).alias("hyphen"), F.concat(digits, F.coalesce("_fixes", none)).alias("fixes"))
+    glue = F.col("_l").isNotNull()
+    return out.select(*KEY, "text", glue.alias("glue"), (glue & F.col("_c").isNull()).alias("hyphen"), F.coalesce("_f", none).alias("fixes"))
 
 
 def noise(doc_lines: DataFrame, units: DataFrame, documents_meta: DataFrame) -> DataFrame:
@@ -336,10 +355,10 @@ def noise(doc_lines: DataFrame, units: DataFrame, documents_meta: DataFrame) ->
     place = lambda c: [F.when(F.col("src") == "units", F.col("ord")).otherwise(F.col(c)).alias("pos"), F.when(F.col("src") == "units", F.col(c) + 1).otherwise(0).cast("int").alias("line_no")]
     labels = blocks.select("src", "doc_id", "ord", F.inline("lines")).filter(F.col("label").isin("header", "foot", "page_number"))
     outer = labels.select("src", "doc_id", *place("seq"), F.when(F.col("label") == "page_number", "page_number").otherwise("header").alias("fault"))
-    found = findings(body_lines(blocks), lexicon(doc_lines))
-    kinds = F.array_compact(F.array(F.when(F.col("hyphen"), "hyphen"), F.when(F.size("fixes") > 0, "misread")))
-    inner = found.select("src", "doc_id", *place("seq"), F.explode(kinds).alias("fault"))
-    return outer.unionByName(inner).distinct()
+    rows, lex = edges(body_lines(blocks)).persist(StorageLevel.MEMORY_AND_DISK), lexicon(doc_lines)
+    hyphens = rows.filter("_l IS NOT NULL").select(*KEY).join(compound_ends(rows, lex), KEY, "left_anti").withColumn("fault", F.lit("hyphen"))
+    inner = hyphens.unionByName(misread(rows, lex).select(*KEY).withColumn("fault", F.lit("misread")))
+    return outer.unionByName(inner.select("src", "doc_id", *place("seq"), "fault")).distinct()
 
 
 def paragraphs(doc_lines: DataFrame, documents_meta: DataFrame) -> DataFrame:
@@ -351,7 +370,7 @@ def paragraphs(doc_lines: DataFrame, documents_meta: DataFrame) -> DataFrame:
     """
     documents = scanned(documents_meta)
     pages = line_blocks(doc_lines, documents)
-    body = body_lines(pages)
+    body = body_lines(pages).persist(StorageLevel.MEMORY_AND_DISK)
     found = findings(body, lexicon(doc_lines))
     where = doc_lines.select("doc_id", "seq", "x0").filter("doc_id IS NOT NULL AND seq IS NOT NULL").join(documents, "doc_id", "left_semi").groupBy("doc_id", "seq").agg(F.min("x0").alias("x0"))
     rows = found.join(where, ["doc_id", "seq"], "left").join(body.select("src", "doc_id", "ord", "variant", "seq", "prev"), ["src", "doc_id", "ord", "variant", "seq"])
