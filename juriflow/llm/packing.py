@@ -11,6 +11,7 @@ among the items of equal length.
 from __future__ import annotations
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -77,7 +78,8 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int,
 def pieces(items: DataFrame, capacities: dict[int, int], item: str, size: Column) -> DataFrame:
     """spec_id, capacity, item, piece, size: an item whole unless it alone exceeds the capacity, else full pieces and a rest."""
     kinds = F.array(*[F.struct(F.lit(k).cast("int").alias("spec_id"), F.lit(c).cast("bigint").alias("capacity")) for k, c in sorted(capacities.items())])
-    sized = items.select(F.col(item), F.coalesce(size, F.lit(0)).cast("bigint").alias("_size")).select(item, "_size", F.inline(kinds))
+    # the sizes are costly and read several times; lost parts are computed again
+    sized = items.select(F.col(item), F.coalesce(size, F.lit(0)).cast("bigint").alias("_size")).persist(StorageLevel.MEMORY_AND_DISK).select(item, "_size", F.inline(kinds))
     cap, full = F.col("capacity"), F.expr("_size div capacity")
     n = full + F.when((F.col("_size") % cap > 0) | (F.col("_size") == 0), 1).otherwise(0)
     return sized.select("spec_id", "capacity", item, "_size", full.alias("_full"), F.explode(F.sequence(F.lit(0), (n - 1).cast("int"))).alias("piece")).select(

@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +25,8 @@ from pyspark.sql import functions as F
 SPAN = 200
 #: Suffixes of one partition that a task holds at once; larger partitions are split by longer keys.
 HELD = 20_000
+#: So many ids (16 MB) are broadcast at most.
+BROADCAST_IDS = 2_000_000
 
 _POS_BITS = np.uint64(24)
 _POS = np.uint64((1 << 24) - 1)
@@ -220,7 +223,8 @@ def spans_of_texts(texts: DataFrame, span: int = SPAN, held: int = HELD) -> Data
     split partition each document is its own child.
     """
     half = span // 2
-    found = anchors(texts, span)
+    # read for the partitions' sizes and for their suffixes; lost parts are computed again
+    found = anchors(texts, span).persist(StorageLevel.MEMORY_AND_DISK)
     groups = found.groupBy("h").agg(F.min("doc_id").alias("_a"), F.max("doc_id").alias("_b"), F.count(F.lit(1)).alias("n")).filter("_a < _b").select("h", "n")
     hits = found.join(groups, "h")
     # the places of one text are as many as its length allows
@@ -251,14 +255,14 @@ def copy_classes(documents: DataFrame, span: int) -> DataFrame:
     """doc_id, first (the least doc_id with the same text), n (documents with it), for texts of at least ``span`` code points."""
     sized = documents.filter(F.length("text") >= span).select("doc_id", F.xxhash64("text").alias("_x"), F.xxhash64("text", F.lit(1)).alias("_y"))
     classes = sized.groupBy("_x", "_y").agg(F.min("doc_id").alias("first"), F.count_distinct("doc_id").alias("n"))
-    return sized.distinct().join(classes, ["_x", "_y"]).select("doc_id", "first", "n")
+    return sized.distinct().join(classes, ["_x", "_y"]).select("doc_id", "first", "n").persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def different_texts(documents: DataFrame, classes: DataFrame, span: int) -> DataFrame:
-    """One document of each text; only copies are looked up, so texts are not shuffled where there are few."""
+    """One document of each text.  The ids of the copies are counted: few enough are broadcast, so that no text is shuffled; more are joined by shuffle."""
     copies = classes.filter("doc_id <> first").select("doc_id").distinct()
     texts = documents.filter(F.length("text") >= span).select("doc_id", "text")
-    return texts.join(copies, "doc_id", "left_anti")
+    return texts.join(F.broadcast(copies) if copies.count() <= BROADCAST_IDS else copies, "doc_id", "left_anti")
 
 
 def sharing_texts(members: DataFrame) -> DataFrame:
