@@ -14,6 +14,7 @@ Fixed values
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -26,7 +27,7 @@ SUSPECT = f"[^{CLEAN}]"
 APOSTROPHES = "‘’‛ʼʹ′´ꞌ՚"
 HYPHENS = "‐‑﹣"
 #: Invisible characters outside the Unicode category Cf.
-INVISIBLE = "͏ᅟᅠ឴឵ㅤﾠ"
+INVISIBLE = "\u034f\u115f\u1160\u17b4\u17b5\u3164\uffa0"
 VARIATION = [(0x180B, 0x180D), (0xFE00, 0xFE0F)]
 
 #: Letters of other scripts that have a Latin double.
@@ -75,6 +76,11 @@ SINGLE = _single_map()
 JOINED = _joined_map()
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _translate(col: Column, table: dict[str, str]) -> Column:
     kept = [k for k, v in table.items() if v]
     gone = [k for k, v in table.items() if not v]
@@ -84,16 +90,19 @@ def _translate(col: Column, table: dict[str, str]) -> Column:
 def compose(col: Column) -> Column:
     """Unicode NFC by the ICU library that Spark ships; only text with a combining mark takes that way."""
     nfc = F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), col, F.lit(False))
-    return F.when(col.rlike(r"[\p{M}KÅ]"), nfc).otherwise(col)
+    return F.when(col.rlike("[\\p{M}\u212a\u212b]"), nfc).otherwise(col)
 
 
 def plain_characters(col: Column) -> Column:
     """Width, spaces, apostrophes, hyphens, joined glyphs, invisible characters; no look-alike letters, no composition."""
-    simple = _translate(col, SINGLE)
-    joined = simple
-    for glyph, letters in JOINED.items():
-        joined = F.replace(joined, F.lit(glyph), F.lit(letters))
-    return F.when(simple.rlike("[" + "".join(JOINED) + "]"), joined).otherwise(simple)
+
+    def joined(simple: Column) -> Column:
+        out = simple
+        for glyph, letters in JOINED.items():
+            out = F.replace(out, F.lit(glyph), F.lit(letters))
+        return F.when(simple.rlike("[" + "".join(JOINED) + "]"), out).otherwise(simple)
+
+    return let(_translate(col, SINGLE), joined)
 
 
 def foreign_word(token: Column) -> Column:
@@ -129,7 +138,7 @@ def consistent_form(col: Column) -> Column:
     Plain spaces are neither added to nor taken from those in the text, but a
     special space becomes a plain one.
     """
-    return F.when(is_suspect(col), compose(latin_letters(plain_characters(col)))).otherwise(col)
+    return F.when(is_suspect(col), let(plain_characters(col), lambda p: let(latin_letters(p), compose))).otherwise(col)
 
 
 def same_but_spacing(col: Column) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from juriflow.functions.consistent import same_but_spacing
+from juriflow.functions.consistent import let, same_but_spacing
 from juriflow.operators.references import article_key
 
 
@@ -32,7 +32,7 @@ def snapshot_changes(snapshots: DataFrame, snap: str, key: list[str], value: Col
     """
     names = [f"_k{i}" for i in range(len(key))]
     rows = snapshots.select(F.col(snap).alias("_snap"), *[F.col(k).alias(n) for k, n in zip(key, names, strict=True)], F.col(loaded).alias("_loaded"), value.alias("_value")).dropna(subset=["_snap", *names])
-    hashed = rows.select("_snap", *names, "_loaded", F.when(F.col("_value").isNotNull(), F.struct(F.xxhash64("_value").alias("a"), F.xxhash64("_value", F.lit(1)).alias("b"))).alias("_h"))
+    hashed = rows.select("_snap", *names, "_loaded", let(F.col("_value"), lambda v: F.when(v.isNotNull(), F.struct(F.xxhash64(v).alias("a"), F.xxhash64(v, F.lit(1)).alias("b")))).alias("_h"))
     last = hashed.groupBy("_snap", *names).agg(F.max_by("_h", F.struct("_loaded", "_h")).alias("_h"))
     steps = delivered(snapshots.select(F.col(snap).alias("_snap")), "_snap")
     # one row per delivery, so this side is as small as the number of deliveries

@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from juriflow.queries import general
+from juriflow.queries import general, reference
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES = [general]
+MODULES = [general, reference]
 
 
 def queries() -> dict[str, Query]:
