@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from juriflow.functions import patterns as P
@@ -36,9 +38,19 @@ def _extracted(spark, d):
     return pipeline.extract(_lines(spark, d), pipeline.documents_of(meta))
 
 
-def _clean(spark, d):
-    got = _extracted(spark, d)
-    return got, reflow.reflow(got.raw)
+def _documents(spark, d):
+    """``documents`` as metadata of one-page documents."""
+    c = table(spark, d, "documents").filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    return c.select(F.col("doc_id").cast("string").alias("doc_id"), "source_doc_id", "doc_type", F.lit("CGI").alias("code"), "version_year", F.lit(None).cast("string").alias("published"), F.lit(None).cast("string").alias("source_url"), F.lit(None).cast("array<int>").alias("pdf_pages"))
+
+
+def _marked(spark, d):
+    """Clean lines of the documents' texts with article marks on lines of their own and headings as Markdown."""
+    t = _text_lines(spark, d)
+    a, h = P.article_start(P.strip(F.col("text"))), P.heading(P.strip(F.col("text")))
+    art = F.array(F.concat(F.lit("<!--art:"), a["id"], F.lit("-->")), F.concat(F.lit("**Art. "), a["id"], F.lit(" :** "), a["rest"]))
+    out = F.when(a.isNotNull(), art).when(h.isNotNull(), F.array(F.concat(F.repeat(F.lit("#"), h["level"]), F.lit(" "), "text"))).otherwise(F.array("text"))
+    return t.select(F.col("doc_id").cast("string").alias("doc_id"), "seq", F.posexplode(out).alias("i", "text")).select("doc_id", (F.col("seq") * 2 + F.col("i")).alias("seq"), "text")
 
 
 def _md(spark, d):
@@ -89,7 +101,7 @@ def glued_markers(spark, d):
 
 
 def bracket_rows(spark, d):
-    return _text_lines(spark, d).select("doc_id", "seq", P.bracket(P.strip(F.regexp_replace("text", r" à [A-Z]\p{L}+$", ""))).alias("b")).filter("b IS NOT NULL").select("doc_id", "seq", "b.lo", "b.hi", "b.rate")
+    return _lines(spark, d).select("doc_id", F.col("ix").alias("seq"), P.bracket(P.strip(F.regexp_replace("text", r" à [A-Z]\p{L}+$", ""))).alias("b")).filter("b IS NOT NULL").select("doc_id", "seq", "b.lo", "b.hi", "b.rate")
 
 
 def cross_reference_edges(spark, d):
@@ -172,7 +184,8 @@ def marks_and_characters(spark, d):
 
 
 def notes_balance(spark, d):
-    return qa.notes_balance(_clean(spark, d)[1])
+    u = table(spark, d, "units").select("doc_id", F.col("unit_ix").cast("bigint").alias("seq"), F.explode("footnotes").alias("f"))
+    return qa.notes_balance(u.select("doc_id", "seq", F.concat(F.lit("[^"), F.lower(F.replace("f.id", F.lit(" "))), F.lit("]: "), F.coalesce("f.text", F.lit(""))).alias("text")))
 
 
 def qa_flags(spark, d):
@@ -180,8 +193,8 @@ def qa_flags(spark, d):
 
 
 def raw_vs_clean(spark, d):
-    got, clean = _clean(spark, d)
-    return qa.length_changes(got.raw, clean)
+    raw = _marked(spark, d)
+    return qa.length_changes(raw, reflow.reflow(raw))
 
 
 # -- layout and inspection
@@ -264,12 +277,8 @@ def note_links(spark, d):
     return _extracted(spark, d).links.select("doc_id", "ix", "pos", "num", "page", "def_page", "fid")
 
 
-def orphan_notes(spark, d):
-    return _extracted(spark, d).orphans
-
-
 def article_order(spark, d):
-    return _extracted(spark, d).articles
+    return rawmd.article_order(_lines(spark, d))
 
 
 def reflowed_lines(spark, d):
@@ -286,18 +295,17 @@ def clean_events(spark, d):
 
 
 def legal_units(spark, d):
-    got, clean = _clean(spark, d)
-    return units.units(clean, pipeline.documents_of(_born(spark, d))).select("doc_id", "unit_ix", "kind", "key", "title", F.array_join(F.transform("hier", lambda h: h["v"]), " > ").alias("hierarchy"), "text", "page_start", "page_end")
+    u = units.units(_marked(spark, d), pipeline.documents_of(_documents(spark, d)))
+    return u.select("doc_id", "unit_ix", "kind", "key", "title", F.array_join(F.transform("hier", lambda h: h["v"]), " > ").alias("hierarchy"), F.length("text").alias("n_chars"), F.md5("text").alias("digest"), "page_start", "page_end")
 
 
 def _chunked(spark, d):
-    got, clean = _clean(spark, d)
-    return pipeline.chunk(clean, _born(spark, d), pipeline.page_map(got.pages), got.orphans)
+    return pipeline.chunk(_marked(spark, d), _documents(spark, d))
 
 
 def legal_chunks(spark, d):
     c = _chunked(spark, d)[0]
-    return c.select("chunk_id", "doc_id", "unit", "article", "part", "n_parts", "page_start", "page_end", "context", "text", "n_chars", "tokens_est", F.size("refs").alias("n_refs"), F.size("amended_by").alias("n_amended"), F.size("page_notes").alias("n_page_notes"))
+    return c.select("chunk_id", "doc_id", "unit", "article", "part", "n_parts", "page_start", "page_end", "context", "n_chars", "tokens_est", F.size("refs").alias("n_refs"), F.md5("text").alias("digest"))
 
 
 def chunk_stats(spark, d):
@@ -305,7 +313,7 @@ def chunk_stats(spark, d):
 
 
 def outside_lines(spark, d):
-    return _chunked(spark, d)[2]
+    return units.outside_lines(_marked(spark, d), pipeline.documents_of(_documents(spark, d)))
 
 
 def split_documents(spark, d):
@@ -358,8 +366,104 @@ QUERIES = {f.__name__: f for f in (
     normalized_text, fixed_text, bullets, plain_text, hyphen_decisions, title_words, article_numbers, duplicate_articles, missing_article_numbers, article_order_violations,
     article_lengths, article_length_stats, longest_articles, markdown_headings, marks_and_characters, notes_balance, qa_flags, raw_vs_clean, line_statistics, repeated_margin_lines,
     routed_lines, page_records, page_footnotes, span_lines, text_per_page, font_sizes, number_positions, small_foot_lines, two_column_ratio, large_gaps, headings_by_kind,
-    numbering_resets, contents_pages, ruling_continuity, raw_markdown, note_links, orphan_notes, article_order, reflowed_lines, line_length_p95, clean_events, legal_units, legal_chunks,
+    numbering_resets, contents_pages, ruling_continuity, raw_markdown, note_links, article_order, reflowed_lines, line_length_p95, clean_events, legal_units, legal_chunks,
     chunk_stats, outside_lines, split_documents, chunk_sizes, chunk_id_duplicates, page_range_notes, unit_contexts, ocr_page_report, ocr_figures, ocr_raw_lines,
 )}
 
-ORACLE: dict[str, str] = {}
+
+
+def _re2(pattern: str) -> str:
+    """A pattern of the library as a DuckDB literal."""
+    flags = re.match(r"^\(\?[a-zA-Z]+\)", pattern)
+    body = pattern[flags.end() :] if flags else pattern
+    if flags and "U" in flags[0]:
+        # Unicode white space and digits, inside and outside of brackets
+        out, inside, i = [], False, 0
+        while i < len(body):
+            two = body[i : i + 2]
+            wide = {"\\s": "\\s\\p{Z}", "\\d": "\\p{Nd}"}.get(two)
+            if wide:
+                out.append(wide if inside else f"[{wide}]")
+            elif two[0] == "\\":
+                out.append(two)
+            else:
+                inside = {"[": True, "]": False}.get(two[0], inside)
+                out.append(two[0])
+            i += 2 if two[0] == "\\" else 1
+        body = "".join(out)
+    return "'" + ("(?i)" if flags and "i" in flags[0] else "") + body.replace("\\uf0b7", "").replace("'", "''") + "'"
+
+
+_T = "t AS (SELECT doc_id, unnest(range(len(p))) AS seq, unnest(p) AS text FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents WHERE text IS NOT NULL))"
+_S = lambda c: f"regexp_replace({c}, '^[\\s\\p{{Z}}]+|[\\s\\p{{Z}}]+$', '', 'g')"
+_L = (
+    "l AS (SELECT doc_id, page, seq AS ix, text, x0, y0, x1, y1, size, bold, gap_before, page_h FROM doc_lines WHERE doc_id IS NOT NULL AND seq IS NOT NULL AND trim(text) <> '' "
+    "QUALIFY row_number() OVER (PARTITION BY doc_id, seq ORDER BY page NULLS FIRST, text, y0 NULLS FIRST, x0 NULLS FIRST) = 1)"
+)
+_ART2 = _re2(P.ARTICLE_START.replace(r"\s*(?::|[.\-–](?=\s))\s*(.*)$", r"\s*(?::\s*|[.\-–]\s+)(.*)$"))
+
+
+def _aid(c: str) -> str:
+    low = f"replace(lower({_S(c)}), ' ', '')"
+    return f"(CASE WHEN {low} IN ('premier', '1er') THEN '1' ELSE {low} END)"
+
+
+def _heading_cases(c: str, what: str) -> str:
+    parts = []
+    for k, (kind, pat) in enumerate(zip(P.LEVELS, P.HEADINGS, strict=True)):
+        value = {"level": str(k + 1), "kind": f"'{kind}'", "num": f"regexp_extract({c}, {_re2(pat)}, 1)", "title": _S(f"regexp_extract({c}, {_re2(pat)}, 2)")}[what]
+        parts.append(f"WHEN regexp_matches({c}, {_re2(pat)}) THEN {value}")
+    return "CASE " + " ".join(parts) + " END"
+
+
+_H = f"{_T}, s AS (SELECT doc_id, seq, {_S('text')} AS c FROM t), h AS (SELECT doc_id, seq, {_heading_cases('c', 'level')} AS level, {_heading_cases('c', 'kind')} AS kind, {_heading_cases('c', 'num')} AS num, {_heading_cases('c', 'title')} AS title FROM s)"
+_A = f"{_T}, s AS (SELECT doc_id, seq, {_S('text')} AS c FROM t), a AS (SELECT doc_id, seq, {_aid(f'regexp_extract(c, {_ART2}, 1)')} AS id, {_S(f'regexp_extract(c, {_ART2}, 2)')} AS rest FROM s WHERE regexp_matches(c, {_ART2}))"
+_RANK = "CASE sfx " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in P.LATIN_RANK.items()) + " WHEN '' THEN 0 ELSE 99 END"
+_KEY = f"(SELECT struct_pack(n := CASE WHEN num = '' THEN 1000000 ELSE CAST(num AS INTEGER) END, rank := CASE WHEN num = '' THEN 0 ELSE {_RANK} END, suffix := CASE WHEN num = '' THEN id ELSE sfx END) FROM (SELECT regexp_extract(id, '^(\\d+)', 1) AS num, lower(regexp_replace(regexp_extract(id, '^\\d+(.*)$', 1), '^-+|-+$', '', 'g')) AS sfx))"
+_REFS = f"regexp_extract_all(text, {_re2(P.REFERENCE)}, 1)"
+_EDGES = f"""{_T}, r AS (SELECT doc_id, seq, unnest(range(len({_REFS}))) AS pos, unnest({_REFS}) AS nums, lower(replace(unnest(regexp_extract_all(text, {_re2(P.REFERENCE)}, 2)), '.', '')) AS tg FROM t),
+e AS (SELECT doc_id, seq, pos, CASE WHEN tg IN ('présent code', 'present code', 'présent livre', 'present livre') THEN 'self' WHEN tg IN ('cgi', 'code général des impôts') THEN 'CGI' WHEN tg IN ('lpf', 'livre des procédures fiscales') THEN 'LPF' WHEN tg <> '' THEN tg ELSE 'non précisé' END AS target,
+ regexp_matches(nums, '(?:^|[^a-zà])(?:à|au)(?:[^a-zà]|$)') AS is_range, unnest(regexp_extract_all(nums, '(?i){P._ART}')) AS article FROM r)"""
+_PLACE = "regexp_replace(text, ' à [A-Z]\\p{L}+$', '')"
+_BR = f"{_L}, c AS (SELECT doc_id, ix AS seq, {_S(_PLACE)} AS c FROM l)"
+_TIDY = lambda x: _S(f"regexp_replace({x}, '[\\s\\p{{Z}}]+', ' ', 'g')")
+_N = f"{_A}, n AS (SELECT doc_id, seq, id, CAST(nullif(regexp_extract(id, '^([0-9]+)', 1), '') AS BIGINT) AS n FROM a)"
+_LEN = f"{_A}, ln AS (SELECT t.doc_id, t.seq, CASE WHEN a.id IS NOT NULL THEN a.rest WHEN h.level IS NOT NULL THEN repeat('#', h.level) || ' ' || t.text ELSE t.text END AS text, CASE WHEN a.id IS NOT NULL THEN t.seq END AS start, a.id FROM t LEFT JOIN a USING (doc_id, seq) LEFT JOIN (SELECT doc_id, seq, {_heading_cases('c', 'level')} AS level FROM s) h USING (doc_id, seq)), sec AS (SELECT doc_id, text, last_value(start IGNORE NULLS) OVER w AS seq, last_value(id IGNORE NULLS) OVER w AS id FROM ln WINDOW w AS (PARTITION BY doc_id ORDER BY seq)), len AS (SELECT doc_id, seq, id, CAST(sum(length(text) + 1) AS BIGINT) AS chars FROM sec WHERE seq IS NOT NULL GROUP BY ALL)"
+_LA = f"{_L}, a AS (SELECT doc_id, ix, page, {_aid(f'regexp_extract({_S('text')}, {_ART2}, 1)')} AS id FROM l WHERE regexp_matches({_S('text')}, {_ART2}))"
+_FLAGS = {"is_list": P.LIST_START, "is_sub": P.SUBHEADING, "is_ruling": P.RULING_START, "is_digits": P.DIGITS_ONLY, "is_legal": P.LEGAL_START, "is_punct": P.LONE_PUNCT, "is_caption": P.TABLE_CAPTION}
+
+ORACLE: dict[str, str] = {
+    "heading_lines": f"WITH {_H} SELECT * FROM h WHERE level IS NOT NULL",
+    "heading_levels": f"WITH {_H} SELECT doc_id, level, count(*) AS n FROM h WHERE level IS NOT NULL GROUP BY ALL",
+    "heading_stack": f"WITH {_H}, g AS (SELECT doc_id, seq, level, title, " + ", ".join(f"max(CASE WHEN level = {k} THEN seq END) OVER w AS s{k}, max(CASE WHEN level < {k} THEN seq END) OVER w AS r{k}, last_value(CASE WHEN level = {k} THEN title END IGNORE NULLS) OVER w AS v{k}" for k in range(1, 7)) + " FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY seq)) SELECT doc_id, seq, " + ", ".join(f"CASE WHEN s{k} > coalesce(r{k}, -1) THEN v{k} END AS l{k}" for k in range(1, 7)) + " FROM g",
+    "article_lines": f"WITH {_A} SELECT * FROM a",
+    "article_sort_keys": f"WITH d AS (SELECT DISTINCT code, article, article AS id FROM code_articles), k AS (SELECT code, article, {_KEY} AS k FROM d) SELECT code, article, k.n AS n, k.rank AS rank, k.suffix AS suffix FROM k",
+    "line_flags": f"WITH {_T} SELECT doc_id, seq, " + ", ".join(f"regexp_matches(text, {_re2(v)}) AS {k}" for k, v in _FLAGS.items()) + " FROM t",
+    "bracket_rows": f"WITH {_BR} SELECT doc_id, seq, CASE WHEN m THEN {_TIDY(f'regexp_extract(c, {_re2(P.BRACKET_ROW)}, 1)')} ELSE {_TIDY(f'regexp_extract(c, {_re2(P.BRACKET_LAST)}, 1)')} END AS lo, CASE WHEN m THEN {_TIDY(f'regexp_extract(c, {_re2(P.BRACKET_ROW)}, 2)')} END AS hi, {_S(f'CASE WHEN m THEN regexp_extract(c, {_re2(P.BRACKET_ROW)}, 3) ELSE regexp_extract(c, {_re2(P.BRACKET_LAST)}, 2) END')} AS rate FROM (SELECT *, regexp_matches(c, {_re2(P.BRACKET_ROW)}) AS m FROM c) WHERE m OR regexp_matches(c, {_re2(P.BRACKET_LAST)})",
+    "cross_reference_edges": f"WITH {_EDGES} SELECT * FROM e",
+    "references_by_target": f"WITH {_EDGES} SELECT doc_id, target, count(*) AS n FROM (SELECT DISTINCT doc_id, seq, pos, target FROM e) GROUP BY ALL",
+    "law_notes": f"WITH f AS (SELECT DISTINCT doc_id, page, num, text FROM footnote_defs) SELECT doc_id, page, num, left(text, 400) AS text, CASE WHEN regexp_matches(text, {_re2(P.LAW)}) THEN upper(left(regexp_extract(text, {_re2(P.LAW)}, 1), 1)) || lower(substr(regexp_extract(text, {_re2(P.LAW)}, 1), 2)) || ' N°' || regexp_extract(text, {_re2(P.LAW)}, 2) END AS law, nullif(regexp_extract(text, {_re2(P.LAW)}, 3), '') AS date, try_cast(nullif(regexp_extract(text, {_re2(P.EXERCICE)}, 1), '') AS INTEGER) AS exercice FROM f",
+    "bullets": f"WITH {_T}, b AS (SELECT doc_id, seq, CASE WHEN regexp_matches(text, {_re2(T.BULLET)}) AND NOT starts_with(text, '**') THEN regexp_replace(text, {_re2(T.BULLET)}, '- ') ELSE text END AS text FROM t) SELECT * FROM b WHERE starts_with(text, '- ')",
+    "article_numbers": f"WITH {_N} SELECT doc_id, count(*) AS n_articles, CAST(min(n) AS INTEGER) AS first_number, CAST(max(n) AS INTEGER) AS last_number FROM n GROUP BY doc_id",
+    "duplicate_articles": f"WITH {_N} SELECT doc_id, id, count(*) AS n FROM n GROUP BY ALL HAVING count(*) > 1",
+    "missing_article_numbers": f"WITH {_N}, m AS (SELECT doc_id, unnest(range(min(n), max(n) + 1)) AS missing FROM n WHERE n IS NOT NULL GROUP BY doc_id) SELECT doc_id, missing FROM m WHERE NOT EXISTS (FROM n WHERE n.doc_id = m.doc_id AND n.n = m.missing)",
+    "article_order_violations": f"WITH {_A}, k AS (SELECT doc_id, seq, id, {_KEY} AS k FROM a), p AS (SELECT *, lag(id) OVER w AS prev_id, lag(k) OVER w AS pk FROM k WINDOW w AS (PARTITION BY doc_id ORDER BY seq)) SELECT doc_id, seq, id, prev_id FROM p WHERE prev_id IS NOT NULL AND (k.n, k.rank, k.suffix) <= (pk.n, pk.rank, pk.suffix)",
+    "article_lengths": f"WITH {_LEN} SELECT * FROM len",
+    "article_length_stats": f"WITH {_LEN} SELECT doc_id, min(chars) AS min_chars, CAST(floor(median(chars)) AS BIGINT) AS median_chars, max(chars) AS max_chars, count_if(chars > 3000) AS over_3000 FROM len GROUP BY doc_id",
+    "longest_articles": f"WITH {_LEN} SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY chars DESC, seq) AS INTEGER) AS rank, id, chars FROM len QUALIFY rank <= 10",
+    "markdown_headings": f"WITH {_H}, m AS (SELECT h.doc_id, coalesce(level, length(regexp_extract(t.text, '^(#+)', 1))) AS level FROM h JOIN t USING (doc_id, seq) WHERE NOT regexp_matches({_S('t.text')}, {_ART2})) SELECT doc_id, level, count(*) AS n FROM m WHERE level > 0 GROUP BY ALL",
+    "notes_balance": "WITH f AS (SELECT doc_id, unnest(footnotes) AS f FROM units) SELECT doc_id, lower(replace(f.id, ' ', '')) AS fid, CAST(0 AS BIGINT) AS refs, count(*) AS defs FROM f GROUP BY ALL",
+    "text_per_page": f"WITH {_L}, p AS (SELECT doc_id, page, sum(length({_S('text')})) AS c FROM l WHERE page <= 30 GROUP BY ALL) SELECT doc_id, count(*) AS pages, CAST(min(c) AS BIGINT) AS min_chars, sum(c) / count(*) < 200 AS scan, sum(c) / count(*) < 100 AS skip FROM p GROUP BY doc_id",
+    "font_sizes": f"WITH {_L}, h AS (SELECT doc_id, round(size, 1) AS size, CAST(sum(length(text)) AS BIGINT) AS chars FROM l WHERE size IS NOT NULL GROUP BY ALL) SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY chars DESC, size) AS INTEGER) AS rank, size, chars FROM h QUALIFY rank <= 6",
+    "headings_by_kind": f"WITH {_L}, k AS (SELECT doc_id, {_heading_cases(_S('text'), 'kind')} AS kind FROM l) SELECT doc_id, kind, count(*) AS n FROM k WHERE kind IS NOT NULL GROUP BY ALL",
+    "two_column_ratio": f"WITH {_L}, c AS (SELECT doc_id, count(*) AS n, count_if(x0 > 0.45 * 595.0) AS \"right\" FROM l WHERE x0 IS NOT NULL GROUP BY doc_id) SELECT *, \"right\" * 4 > n AS two_columns FROM c",
+    "contents_pages": f"WITH {_L} SELECT doc_id, page, count(*) AS n FROM l WHERE regexp_matches(text, {_re2(inspect.LEADERS)}) GROUP BY ALL HAVING count(*) >= 8",
+    "ruling_continuity": f"WITH {_L}, r AS (SELECT doc_id, ix, CAST(regexp_extract(text, {_re2(P.RULING_START)}, 1) AS INTEGER) AS number FROM l WHERE regexp_matches(text, {_re2(P.RULING_START)})) SELECT doc_id, ix, number, coalesce(number = lag(number) OVER (PARTITION BY doc_id ORDER BY ix) + 1, true) AS follows FROM r",
+    "numbering_resets": f"WITH {_LA}, n AS (SELECT doc_id, ix, page, CAST(regexp_extract(id, '^([0-9]+)', 1) AS INTEGER) AS number FROM a WHERE regexp_matches(id, '^[0-9]')), p AS (SELECT *, lag(number) OVER (PARTITION BY doc_id ORDER BY ix) AS prev_number FROM n) SELECT doc_id, ix, page, prev_number, number FROM p WHERE prev_number >= 20 AND number <= 3",
+    "article_order": f"WITH {_LA}, k AS (SELECT *, {_KEY} AS k FROM a), p AS (SELECT *, lag(id) OVER w AS prev_id, lag(k) OVER w AS pk FROM k WINDOW w AS (PARTITION BY doc_id ORDER BY ix)) SELECT doc_id, ix, page, id, prev_id, prev_id IS NULL OR (k.n, k.rank, k.suffix) > (pk.n, pk.rank, pk.suffix) AS rising FROM p",
+    "line_length_p95": f"WITH {_T}, n AS (SELECT doc_id, list_sort(list(length(text)) FILTER (length(text) > 0 AND NOT regexp_matches(text, '^(?:#|<!--|\\[\\^|\\*\\*)'))) AS v FROM t GROUP BY doc_id) SELECT doc_id, CAST(coalesce(v[1 + CAST(floor(0.95 * (len(v) - 1)) AS INTEGER)], 80) AS DOUBLE) AS p95 FROM n",
+    "repeated_margin_lines": f"WITH {_L}, m AS (SELECT doc_id, lower({_TIDY('text')}) AS key, (y0 + y1) / 2 AS cy, page_h FROM l WHERE NOT regexp_matches(text, {_re2(P.DIGITS_ONLY)})), n AS (SELECT doc_id, key, count(*) AS n FROM m WHERE cy < 0.08 * page_h OR cy > (1 - 0.08) * page_h GROUP BY ALL), p AS (SELECT doc_id, max(page) AS np FROM l GROUP BY doc_id) SELECT doc_id, key, n FROM n JOIN p USING (doc_id) WHERE np >= 4 AND n >= greatest(3, floor(0.25 * np))",
+    "chunk_sizes": "WITH c AS (SELECT DISTINCT chunk_id, doc_type, text FROM chunks) SELECT doc_type, count(*) AS n, min(length(text)) AS min_chars, CAST(floor(median(length(text))) AS BIGINT) AS median_chars, max(length(text)) AS max_chars, count_if(length(text) > 3750) AS over FROM c GROUP BY doc_type",
+    "page_range_notes": "WITH u AS (SELECT doc_id, unit_ix, min(page_start) AS a, max(page_end) AS b FROM units WHERE page_start IS NOT NULL AND page_end IS NOT NULL GROUP BY ALL), n AS (SELECT DISTINCT doc_id, page, text FROM footnote_defs WHERE text IS NOT NULL) SELECT u.doc_id, unit_ix, CAST(count(*) AS INTEGER) AS n FROM u JOIN n ON n.doc_id = u.doc_id AND n.page BETWEEN a AND greatest(a, b) GROUP BY ALL",
+    "unit_contexts": "WITH u AS (SELECT DISTINCT doc_id, unit_ix, coalesce(unit_key, '') AS key, coalesce(title, '') AS title, coalesce(hier, []) AS hier FROM units WHERE kind = 'article') SELECT doc_id, unit_ix, concat_ws(' | ', nullif(doc_id, ''), nullif(array_to_string(list_transform(hier, lambda h: h.v), ' > '), ''), 'Art. ' || key) AS context FROM u",
+}
