@@ -237,7 +237,8 @@ def spans_of_texts(texts: DataFrame, span: int = SPAN, held: int = HELD) -> Data
             F.substring(F.col("text"), p["pos"] + 1, F.lit(span)).alias("r"),
         ),
     )
-    suffixes = texts.select("doc_id", "text").join(places, "doc_id").select("doc_id", F.inline(context))
+    # the few suffixes of shared partitions, read by both ways below
+    suffixes = texts.select("doc_id", "text").join(places, "doc_id").select("doc_id", F.inline(context)).persist(StorageLevel.MEMORY_AND_DISK)
     small = suffixes.filter(F.col("n") <= held).drop("n").repartition("h").sortWithinPartitions("h", "r", "doc_id", "pos")
     trees = small.mapInPandas(_trees(span), "h bigint, node bigint, child int, doc_id bigint, lo int, hi int")
     # split partitions: every window of the span around the anchor that the text has, as a key of its own
@@ -267,7 +268,7 @@ def different_texts(documents: DataFrame, classes: DataFrame, span: int) -> Data
 
 def sharing_texts(members: DataFrame) -> DataFrame:
     """Pairs a < b of different texts that share a span."""
-    rows = members.select("h", "node", "child", "doc_id").distinct()
+    rows = members.select("h", "node", "child", "doc_id").distinct().persist(StorageLevel.MEMORY_AND_DISK)
     a = rows.select("h", "node", F.col("child").alias("ca"), F.col("doc_id").alias("a"))
     b = rows.select("h", "node", F.col("child").alias("cb"), F.col("doc_id").alias("b"))
     apart = (F.col("a") < F.col("b")) & (F.col("ca").isNull() | (F.col("ca") != F.col("cb")))
