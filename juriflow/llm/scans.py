@@ -159,9 +159,14 @@ class Model:
         return m
 
 
-def _matrix(rows) -> np.ndarray:
-    flat = np.array([[r["form"], r["zone"], r["indent"], r["start"]] for r in rows], dtype=np.int64)
-    return np.column_stack([flat, _edges(len(flat))])
+def _codes(lines: str = "lines") -> Column:
+    """ARRAY of one integer for each line that holds its features."""
+    return F.transform(lines, lambda x: x["form"] * 1000000 + x["zone"] * 10000 + x["indent"] * 100 + x["start"])
+
+
+def _matrix(codes) -> np.ndarray:
+    c = np.asarray(codes, dtype=np.int64)
+    return np.column_stack([c // 1000000 % 100, c // 10000 % 100, c // 100 % 100, c % 100, _edges(len(c))])
 
 
 def pages_of(features: DataFrame) -> DataFrame:
@@ -172,8 +177,8 @@ def pages_of(features: DataFrame) -> DataFrame:
 
 def fit(pages: DataFrame, sample: int = SAMPLE_PAGES) -> Model:
     """The model fitted on the ``sample`` pages of least hash."""
-    rows = pages.select("lines", F.xxhash64("doc_id", "page").alias("_h")).orderBy("_h").limit(sample).select(F.transform("lines", lambda x: x.dropFields("seq", "text")).alias("lines")).collect()
-    return Model(*_prior()).fitted([_matrix(r["lines"]) for r in rows if r["lines"]], ROUNDS)
+    rows = pages.filter(F.size("lines") > 0).select(F.xxhash64("doc_id", "page").alias("h"), _codes().alias("codes")).orderBy("h", "codes").limit(sample).toPandas()
+    return Model(*_prior()).fitted([_matrix(c) for c in rows["codes"]], ROUNDS)
 
 
 def labelled(pages: DataFrame, model: Model) -> DataFrame:
@@ -182,15 +187,9 @@ def labelled(pages: DataFrame, model: Model) -> DataFrame:
     @F.pandas_udf("array<int>")
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:
-            out = []
-            for codes in s:
-                c = np.asarray(codes, dtype=np.int64)
-                m = np.column_stack([c // 1000000 % 100, c // 10000 % 100, c // 100 % 100, c % 100, _edges(len(c))])
-                out.append(model.viterbi(m).tolist())
-            yield pd.Series(out)
-
-    codes = F.transform("lines", lambda x: x["form"] * 1000000 + x["zone"] * 10000 + x["indent"] * 100 + x["start"])
-    got = pages.select("doc_id", "page", "lines", decode(codes).alias("_s"))
+            yield pd.Series([model.viterbi(_matrix(c)).tolist() for c in s])
+
+    got = pages.select("doc_id", "page", "lines", decode(_codes()).alias("_s"))
     names = F.array(*[F.lit(s) for s in STATES])
     return got.select("doc_id", "page", F.zip_with("lines", "_s", lambda x, s: F.struct(x["seq"].alias("seq"), x["text"].alias("text"), F.get(names, s).alias("label"))).alias("lines"))
 
