@@ -32,6 +32,8 @@ DIGIT_LIKE = "OoIlSB"
 MARKS = "-\u00ac\u2010\u00ad"
 #: A misread word's correction is so many times as frequent, and so frequent at least.
 RATIO, LEAST = 20, 20
+#: So many ids (about 60 MB) are broadcast at most.
+BROADCAST_IDS = 1_000_000
 
 _WORD = r"[\p{L}\p{N}]+"
 _NUM = f"[0-9{DIGIT_LIKE}|]"
@@ -195,8 +197,9 @@ def labelled(pages: DataFrame, model: Model) -> DataFrame:
 
 
 def scanned(documents_meta: DataFrame) -> DataFrame:
-    """The scanned documents, one row each."""
-    return documents_meta.filter(F.col("ocr").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    """The scanned documents, one row each.  Their ids are counted: few enough are broadcast, so that no lines are shuffled to find theirs."""
+    ids = documents_meta.filter(F.col("ocr").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id").distinct().persist(StorageLevel.MEMORY_AND_DISK)
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
 def line_blocks(doc_lines: DataFrame, documents: DataFrame, model: Model | None = None) -> DataFrame:
@@ -350,7 +353,7 @@ def noise(doc_lines: DataFrame, units: DataFrame, documents_meta: DataFrame) ->
     """Faults of scanned documents: src, doc_id, pos, line_no, fault; distinct rows."""
     documents = scanned(documents_meta)
     pages = line_blocks(doc_lines, documents)
-    blocks = pages.unionByName(unit_blocks(units, documents, pages))
+    blocks = pages.unionByName(unit_blocks(units, documents, pages).persist(StorageLevel.MEMORY_AND_DISK))
     place = lambda c: [F.when(F.col("src") == "units", F.col("ord")).otherwise(F.col(c)).alias("pos"), F.when(F.col("src") == "units", F.col(c) + 1).otherwise(0).cast("int").alias("line_no")]
     labels = blocks.select("src", "doc_id", "ord", F.inline("lines")).filter(F.col("label").isin("header", "foot", "page_number"))
     outer = labels.select("src", "doc_id", *place("seq"), F.when(F.col("label") == "page_number", "page_number").otherwise("header").alias("fault"))
