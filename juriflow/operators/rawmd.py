@@ -123,11 +123,12 @@ def code_lines(body: DataFrame) -> DataFrame:
     does not close a sentence.
     """
     t = P.strip_notes(F.col("text"))
-    d = body.withColumn("heading", P.heading(t)).withColumn("article", P.article_start(t))
+    # kept, so that the patterns are matched once and not in every place that names their parts
+    d = body.select("*", P.heading(t).alias("heading"), P.article_start(t).alias("article"), P.is_structural(F.col("text")).alias("structural")).persist(StorageLevel.MEMORY_AND_DISK)
     cont = ((F.col("_h.title") == "") & (F.col("_depth1"))) | F.col("text").rlike(r"^\p{Ll}") | ends_with_function_word(F.col("p_text")) | (is_upper(F.col("p_text")) & is_upper(F.col("text"))) | (F.col("_h.bold") & F.col("bold"))
     cont = cont & ~F.col("p_text").rlike(r"(?U)[.;:!?]\s*$")
     d = neighbours(d, _DOC, "ix", before={"_ps": F.col("heading").isNotNull()}).withColumn("_depth1", F.coalesce("_ps", F.lit(False))).drop("_ps")
-    d = merged_titles(d, F.col("heading").isNotNull(), F.col("heading.title"), cont, P.is_structural(F.col("text")), 5).drop("_depth1")
+    d = merged_titles(d, F.col("heading").isNotNull(), F.col("heading.title"), cont, F.col("structural"), 5).drop("_depth1", "structural")
     stripped = t
     d = neighbours(d, _DOC, "ix", after={"n_text": F.col("text"), "n_page": F.col("page")})
     n = P.strip_notes(F.col("n_text"))

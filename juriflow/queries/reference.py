@@ -18,11 +18,6 @@ def _lines(spark, d):
     return layout.as_lines(table(spark, d, "doc_lines"))
 
 
-def _born(spark, d):
-    """Documents that were born digital: the input of extraction."""
-    return table(spark, d, "documents_meta").filter("ocr IS NULL")
-
-
 def _stats(spark, d):
     lines = _lines(spark, d)
     return lines, layout.doc_stats(lines, layout.settings(lines))
@@ -33,11 +28,6 @@ def _text_lines(spark, d):
     return table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("seq", "text")).withColumn("seq", F.col("seq").cast("bigint"))
 
 
-def _extracted(spark, d):
-    meta = _born(spark, d)
-    return pipeline.extract(_lines(spark, d), pipeline.documents_of(meta))
-
-
 def _documents(spark, d):
     """``documents`` as metadata of one-page documents."""
     c = table(spark, d, "documents").filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
@@ -269,14 +259,6 @@ def ruling_continuity(spark, d):
 
 # -- extraction, cleaning, chunking
 
-def raw_markdown(spark, d):
-    return _extracted(spark, d).raw
-
-
-def note_links(spark, d):
-    return _extracted(spark, d).links.select("doc_id", "ix", "pos", "num", "page", "def_page", "fid")
-
-
 def article_order(spark, d):
     return rawmd.article_order(_lines(spark, d))
 
@@ -366,7 +348,7 @@ QUERIES = {f.__name__: f for f in (
     normalized_text, fixed_text, bullets, plain_text, hyphen_decisions, title_words, article_numbers, duplicate_articles, missing_article_numbers, article_order_violations,
     article_lengths, article_length_stats, longest_articles, markdown_headings, marks_and_characters, notes_balance, qa_flags, raw_vs_clean, line_statistics, repeated_margin_lines,
     routed_lines, page_records, page_footnotes, span_lines, text_per_page, font_sizes, number_positions, small_foot_lines, two_column_ratio, large_gaps, headings_by_kind,
-    numbering_resets, contents_pages, ruling_continuity, raw_markdown, note_links, article_order, reflowed_lines, line_length_p95, clean_events, legal_units, legal_chunks,
+    numbering_resets, contents_pages, ruling_continuity, article_order, reflowed_lines, line_length_p95, clean_events, legal_units, legal_chunks,
     chunk_stats, outside_lines, split_documents, chunk_sizes, chunk_id_duplicates, page_range_notes, unit_contexts, ocr_page_report, ocr_figures, ocr_raw_lines,
 )}
 

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -88,6 +90,7 @@ def page(rows):
 LINE = "doc_id string, page int, ix long, text string, x0 double, y0 double, x1 double, y1 double, size double, bold boolean, gap_before double, page_h double"
 
 
+@pytest.mark.skipif(not os.environ.get("SLOW_TESTS"), reason="planning the whole extraction takes minutes")
 def test_extraction(spark):
     rows = []
     for p in range(1, 5):
