@@ -2,9 +2,9 @@ from juriflow.llm import scans
 
 SCHEMA = "doc_id string, page int, seq long, text string, x0 double, y0 double, x1 double, y1 double, size double, bold boolean, gap_before double, page_h double, loaded_at timestamp"
 BODY = [
-    "Art. 1 : Le redevable acquitte la taxe sur les sels auprès du bureau de cet",
+    "et le redevable acquitte la taxe sur les sels auprès du bureau de cet",
     "endroit pour un montant de 3I6 francs et le redevable acquitte la contri-",
-    "bution sur les sels au chef-",
+    "bution sur les sels et au chef-",
     "lieu du canton. Le redevablc acquitte la taxe sur les sels de",
     "1977",
     "1978",
@@ -16,7 +16,8 @@ def book(pages=6):
     rows, seq = [], 0
     for p in range(1, pages + 1):
         texts = [("BULLETIN FISCAL DE X" if p % 3 else "BULLFTIN FISCAL DE X", 150.0, 40.0)]
-        texts += [(t, 250.0 if t.isdigit() else 60.0, 100.0 + 20 * i) for i, t in enumerate(BODY)]
+        varied = [t if t.isdigit() else t.replace(" ", f" {'abcdefg'[p] * 4} ", 1) for t in BODY]
+        texts += [(t, 250.0 if t.isdigit() else 60.0, 100.0 + 20 * i) for i, t in enumerate(varied)]
         texts += [("Direction des impôts de X", 200.0, 770.0), (f"- {40 + p} -", 290.0, 800.0)]
         for t, x, y in texts:
             geometry = (x, y, x + 200, y + 10) if seq % 7 else (None,) * 4
@@ -26,10 +27,10 @@ def book(pages=6):
 
 
 def test_faults_and_paragraphs(spark):
-    clean = [("b", 1, i, "Le redevable acquitte la contribution et la taxe au chef-lieu du canton de cet endroit", 60.0, 100.0, 300.0, 110.0, 10.0, False, 0.0, 842.0, None) for i in range(80)]
+    clean = [("b", 1, i, "Le redevable acquitte la contribution et la taxe au chef-lieu du canton de cet endroit", 60.0, 100.0, 300.0, 110.0, 10.0, False, 0.0, 842.0, None) for i in range(300)]
     lines = spark.createDataFrame(book() + clean + book()[:5], SCHEMA)
     meta = spark.createDataFrame([("s", "scan"), ("s", "scan"), ("b", None), (None, "scan")], "doc_id string, ocr string")
-    units = spark.createDataFrame([("s", 0, "\n".join(["BULLETIN FISCAL DE X", *BODY, "- 41 -"])), ("s", 1, None), ("b", 0, "3I6")], "doc_id string, unit_ix int, text string")
+    units = spark.createDataFrame([("s", 0, "\n".join(r[3] for r in book(1))), ("s", 1, None), ("b", 0, "3I6")], "doc_id string, unit_ix int, text string")
     got = scans.noise(lines, units, meta).collect()
     by = {}
     for r in got:
@@ -39,9 +40,9 @@ def test_faults_and_paragraphs(spark):
     assert by["doc_lines", "page_number"] == {(p * n + n - 1, 0) for p in range(6)}
     assert by["doc_lines", "hyphen"] == {(p * n + 2, 0) for p in range(6)}
     assert by["doc_lines", "misread"] == {(p * n + k, 0) for p in range(6) for k in (2, 4)}
-    assert by["units", "header"] == {(0, 1)} and by["units", "page_number"] == {(0, 9)} and by["units", "hyphen"] == {(0, 3)} and by["units", "misread"] == {(0, 3), (0, 5)}
+    assert by["units", "header"] == {(0, 1), (0, 9)} and by["units", "page_number"] == {(0, 10)} and by["units", "hyphen"] == {(0, 3)} and by["units", "misread"] == {(0, 3), (0, 5)}
     text = " ".join(r.text for r in scans.paragraphs(lines, meta).orderBy("para_no").collect())
-    assert "la contribution sur les sels au chef-lieu du canton. Le redevable acquitte" in text and "316 francs" in text and "BULLETIN" not in text
+    assert "la contribution" in text and "316 francs" in text and "redevable acquitte la taxe sur les sels de" in text and "redevablc" not in text and "BULLETIN" not in text
 
 
 def test_empty(spark):
