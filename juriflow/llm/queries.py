@@ -34,7 +34,7 @@ def p4_found(spark, d):
 
 
 def p4_paragraphs(spark, d):
-    return scans.paragraphs(table(spark, d, "doc_lines"), table(spark, d, "documents_meta"))
+    return scans.paragraphs(table(spark, d, "doc_lines"), table(spark, d, "documents_meta"), table(spark, d, "units"))
 
 
 def p6_packed(spark, d, vocabulary=VOCABULARY):

@@ -19,6 +19,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from juriflow.session import cut
+
 STATES = ["header", "body", "note", "page_number", "foot"]
 #: Pages from which the model is fitted; every page is decoded.
 SAMPLE_PAGES = 2000
@@ -215,11 +217,15 @@ def line_blocks(doc_lines: DataFrame, documents: DataFrame, model: Model | None
     return got.select(F.lit("doc_lines").alias("src"), "doc_id", F.coalesce(F.col("page"), F.lit(-1)).cast("bigint").alias("ord"), F.lit(0).cast("bigint").alias("variant"), "lines")
 
 
+def _stripped_hash(text: str) -> Column:
+    return F.xxhash64(F.regexp_replace(F.coalesce(text, F.lit("")), r"^\s+|\s+$", ""))
+
+
 def unit_blocks(units: DataFrame, documents: DataFrame, pages: DataFrame) -> DataFrame:
     """Units of the given documents in the same form; a line has the label of the same line of its document, one that is not found there is body."""
     texts = units.select("doc_id", F.col("unit_ix").cast("bigint").alias("ord"), "text").dropna().join(documents, "doc_id", "left_semi").distinct()
     lines = texts.select("doc_id", "ord", F.xxhash64("text").alias("variant"), F.posexplode(F.split("text", "\n")).alias("seq", "text"))
-    key = F.xxhash64(F.regexp_replace(F.coalesce("text", F.lit("")), r"^\s+|\s+$", ""))
+    key = _stripped_hash("text")
     known = pages.select("doc_id", F.inline("lines")).select("doc_id", key.alias("_h"), "label").groupBy("doc_id", "_h", "label").agg(F.count(F.lit(1)).alias("_n"))
     known = known.groupBy("doc_id", "_h").agg(F.max_by("label", F.struct("_n", F.col("label") == "body")).alias("_l"))
     told = lines.withColumn("_h", key).join(known, ["doc_id", "_h"], "left")
@@ -227,13 +233,13 @@ def unit_blocks(units: DataFrame, documents: DataFrame, pages: DataFrame) -> Dat
     return told.groupBy("doc_id", "ord", "variant").agg(F.array_sort(F.collect_list(line)).alias("lines")).select(F.lit("units").alias("src"), "doc_id", "ord", "variant", "lines")
 
 
-def body_lines(blocks: DataFrame) -> DataFrame:
-    """Body lines with the text of the body line before and of the next one, over whatever lies between.
+def body_lines(blocks: DataFrame, label: str = "body") -> DataFrame:
+    """Body lines (or those of another label) with the text of the one before and of the next one, over whatever lies between; ``top`` and ``bottom`` of their page or unit.
 
     Neighbours within a page come from the page itself; only one row for each
     page goes through the window over a document.
     """
-    b = blocks.withColumn("_b", F.filter("lines", lambda x: (x["label"] == "body") & x["text"].isNotNull())).filter(F.size("_b") > 0).drop("lines")
+    b = blocks.withColumn("_b", F.filter("lines", lambda x: (x["label"] == label) & x["text"].isNotNull())).filter(F.size("_b") > 0).drop("lines")
     w = Window.partitionBy("src", "doc_id").orderBy("ord", "variant")
     b = b.withColumn("_first", F.element_at("_b", 1)["text"]).withColumn("_last", F.element_at("_b", -1)["text"])
     b = b.withColumn("_next", F.lead("_first").over(w)).withColumn("_prev", F.lag("_last").over(w))
@@ -241,6 +247,7 @@ def body_lines(blocks: DataFrame) -> DataFrame:
     return b.select(
         "src", "doc_id", "ord", "variant", F.col("_line.seq").alias("seq"), F.col("_line.text").alias("text"),
         F.coalesce(F.get("_b", F.col("_i") + 1)["text"], F.col("_next")).alias("next"), F.coalesce(F.get("_b", F.col("_i") - 1)["text"], F.col("_prev")).alias("prev"),
+        (F.col("_i") == 0).alias("top"), (F.col("_i") == F.size("_b") - 1).alias("bottom"),
     )
 
 
@@ -296,12 +303,12 @@ KEY = ["src", "doc_id", "ord", "variant", "seq"]
 BROADCAST_FORMS = 1_000_000
 
 
-def edges(body: DataFrame) -> DataFrame:
-    """Body lines with the two parts of a word broken at their end (_l, _r) and at their start (_pl, _pr); NULL where none is."""
+def edges(body: DataFrame, *keep: str) -> DataFrame:
+    """Body lines with the two parts of a word broken at their end (_l, _r) and at their start (_pl, _pr); NULL where none is.  Columns of ``keep`` stay."""
     t = F.col("text")
     ends, starts = F.coalesce(_broken(t, F.col("next")), F.lit(False)), F.coalesce(_broken(F.col("prev"), t), F.lit(False)) & F.col("prev").isNotNull()
     left, right = (lambda c: F.regexp_extract(c, rf"({_WORD})[{MARKS}]\s*$", 1)), (lambda c: F.coalesce(F.regexp_extract(c, rf"^\s*({_WORD})", 1), F.lit("")))
-    return body.select(*KEY, "text", F.when(ends, left(t)).alias("_l"), F.when(ends, right(F.col("next"))).alias("_r"), F.when(starts, left(F.col("prev"))).alias("_pl"), F.when(starts, right(t)).alias("_pr"))
+    return body.select(*KEY, "text", *keep, F.when(ends, left(t)).alias("_l"), F.when(ends, right(F.col("next"))).alias("_r"), F.when(starts, left(F.col("prev"))).alias("_pl"), F.when(starts, right(t)).alias("_pr"))
 
 
 def compound_ends(rows: DataFrame, lex: DataFrame) -> DataFrame:
@@ -338,15 +345,15 @@ def misread(rows: DataFrame, lex: DataFrame) -> DataFrame:
     return bad.select(*KEY, "read", right.alias("right")).unionByName(numbers)
 
 
-def findings(body: DataFrame, lex: DataFrame) -> DataFrame:
+def findings(body: DataFrame, lex: DataFrame, *keep: str) -> DataFrame:
     """Per body line: glue (it ends in a broken word), hyphen (whose mark must go) and ``fixes``, the misread words (read, right)."""
-    rows = edges(body)
+    rows = edges(body, *keep)
     fixes = misread(rows, lex).groupBy(*KEY).agg(F.collect_set(F.struct("read", "right")).alias("_f"))
     compounds = compound_ends(rows, lex).distinct().withColumn("_c", F.lit(True))
     out = rows.join(fixes, KEY, "left").join(compounds, KEY, "left")
     none = F.array().cast("array<struct<read:string,right:string>>")
     glue = F.col("_l").isNotNull()
-    return out.select(*KEY, "text", glue.alias("glue"), (glue & F.col("_c").isNull()).alias("hyphen"), F.coalesce("_f", none).alias("fixes"))
+    return out.select(*KEY, "text", *keep, F.col("_pl").isNotNull().alias("joined"), glue.alias("glue"), (glue & F.col("_c").isNull()).alias("hyphen"), F.coalesce("_f", none).alias("fixes"))
 
 
 def noise(doc_lines: DataFrame, units: DataFrame, documents_meta: DataFrame) -> DataFrame:
@@ -363,30 +370,57 @@ def noise(doc_lines: DataFrame, units: DataFrame, documents_meta: DataFrame) ->
     return outer.unionByName(inner.select("src", "doc_id", *place("seq"), "fault")).distinct()
 
 
-def paragraphs(doc_lines: DataFrame, documents_meta: DataFrame) -> DataFrame:
-    """Repaired paragraphs of scanned documents: doc_id, para_no, page (of its first line), lines, text.
+def indents(doc_lines: DataFrame, documents: DataFrame, pages: DataFrame) -> DataFrame:
+    """Whether body lines are indented against their page's body, where the geometry is known: src, doc_id, at, indented.
 
-    A body line opens a paragraph if it is indented against its page's body,
-    or opens like an article, or follows a closed sentence on a short line
-    where the geometry is unknown.
+    ``at`` is the seq for doc_lines and the hash of the stripped text for units, whose lines have no geometry of their own.
     """
-    documents = scanned(documents_meta)
-    pages = line_blocks(doc_lines, documents)
-    body = body_lines(pages).persist(StorageLevel.MEMORY_AND_DISK)
-    found = findings(body, lexicon(doc_lines))
     where = doc_lines.select("doc_id", "seq", "x0").filter("doc_id IS NOT NULL AND seq IS NOT NULL").join(documents, "doc_id", "left_semi").groupBy("doc_id", "seq").agg(F.min("x0").alias("x0"))
-    rows = found.join(where, ["doc_id", "seq"], "left").join(body.select("src", "doc_id", "ord", "variant", "seq", "prev"), ["src", "doc_id", "ord", "variant", "seq"])
-    left = F.min(F.nanvl("x0", F.lit(None))).over(Window.partitionBy("doc_id", "ord"))
-    known = F.col("x0").isNotNull() & ~F.isnan("x0")
-    opens = F.col("prev").isNull() | F.col("text").rlike(r"^\s*(?:Art(?:icle)?\.?\s*[0-9IlOo]|[IVX]+\s*[.-]|[A-H]\s*-\s)") | F.when(known & left.isNotNull(), F.col("x0") > left + 4).otherwise(F.col("prev").rlike(r"[.!?]\s*$") & F.col("text").rlike(r"^\s*\p{Lu}") & (F.length("prev") < F.length("text") - 8))
-    rows = rows.withColumn("_open", F.coalesce(opens, F.lit(False)).cast("int"))
-    starts = rows.groupBy("doc_id", "ord").agg(F.sum("_open").alias("_n"))
-    before = Window.partitionBy("doc_id").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
+    body = pages.select("doc_id", "ord", F.inline("lines")).filter("label = 'body' AND text IS NOT NULL").join(where, ["doc_id", "seq"]).filter(F.col("x0").isNotNull() & ~F.isnan("x0"))
+    body = body.withColumn("_in", F.col("x0") > F.min("x0").over(Window.partitionBy("doc_id", "ord")) + 4)
+    # a line is found by its place and by its text; most of the places of a text decide
+    both = body.select("doc_id", "_in", F.inline(F.array(F.struct(F.lit("doc_lines").alias("src"), F.col("seq").alias("at")), F.struct(F.lit("units").alias("src"), _stripped_hash("text").alias("at")))))
+    return both.groupBy("src", "doc_id", "at").agg((F.sum(F.when(F.col("_in"), 1).otherwise(-1)) > 0).alias("indented"))
+
+
+def paragraphs(doc_lines: DataFrame, documents_meta: DataFrame, units: DataFrame | None = None) -> DataFrame:
+    """Repaired paragraphs of scanned documents: src, doc_id, unit_ix, variant (of a unit with several texts), kind, para_no, page (of its first line), lines, text.
+
+    ``src`` is 'doc_lines' (unit_ix NULL, paragraphs run over pages) or 'units'
+    (page NULL, paragraphs end with their unit); ``kind`` is 'body' or 'note',
+    each numbered by itself.  A body line opens a paragraph if it is indented
+    against its page's body, or opens like an article, or follows a closed
+    sentence on a short line where the geometry is unknown; a note opens with
+    its number, at the top of its page or unit.
+    """
+    documents = scanned(documents_meta)
+    blocks = pages = line_blocks(doc_lines, documents)
+    if units is not None:
+        blocks = pages.unionByName(unit_blocks(units, documents, pages))
+    # the plan is cut here and below, or it outgrows the driver's memory
+    blocks = cut(blocks)
+    pages = blocks.filter("src = 'doc_lines'")
+    kinds = [body_lines(blocks, k).withColumn("kind", F.lit(k)) for k in ("body", "note")]
+    keep = ("kind", "prev", "next", "top", "bottom")
+    rows = cut(findings(cut(kinds[0].unionByName(kinds[1])), lexicon(doc_lines), *keep))
+    of_units = F.col("src") == "units"
+    rows = rows.withColumn("at", F.when(of_units, _stripped_hash("text")).otherwise(F.col("seq"))).join(indents(doc_lines, documents, pages), ["src", "doc_id", "at"], "left")
+    short = F.col("prev").rlike(r"[.!?]\s*$") & F.col("text").rlike(r"^\s*\p{Lu}") & (F.length("prev") < F.length("text") - 8)
+    body = F.col("text").rlike(r"^\s*(?:Art(?:icle)?\.?\s*[0-9IlOo]|[IVX]+\s*[.-]|[A-H]\s*-\s)") | F.coalesce("indented", short)
+    note = F.col("text").rlike(_NOTE) | (F.col("top") & ~F.col("joined"))
+    opens = F.col("prev").isNull() | (of_units & F.col("top")) | F.when(F.col("kind") == "note", note).otherwise(body)
+    rows = rows.withColumn("_open", F.coalesce(opens, F.lit(False)).cast("int")).withColumn("_unit", F.when(of_units, F.col("ord")).otherwise(-1))
+    whole = ["src", "doc_id", "_unit", "variant", "kind"]
+    starts = rows.groupBy(*whole, "ord").agg(F.sum("_open").alias("_n"))
+    before = Window.partitionBy(*whole).orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
     starts = starts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    within = Window.partitionBy("doc_id", "ord").orderBy("seq", "text").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("_in", F.sum("_open").over(within)).join(starts, ["doc_id", "ord"]).withColumn("para_no", F.col("_before") + F.col("_in"))
+    within = Window.partitionBy(*whole, "ord").orderBy("seq", "text").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_in", F.sum("_open").over(within)).join(starts, [*whole, "ord"]).withColumn("para_no", F.col("_before") + F.col("_in"))
     fixed = F.aggregate("fixes", F.col("text"), lambda acc, x: F.regexp_replace(acc, F.concat(F.lit(r"(?<![\p{L}\p{N}])"), x["read"], F.lit(r"(?![\p{L}\p{N}])")), x["right"]))
-    piece = F.when(F.col("hyphen"), F.regexp_replace(fixed, rf"[{MARKS}]\s*$", "")).when(F.col("glue"), F.regexp_replace(fixed, rf"[{MARKS}]\s*$", "-")).otherwise(F.concat(F.regexp_replace(fixed, r"^\s+|\s+$", ""), F.lit(" ")))
+    # a word whose rest does not follow keeps its mark
+    goes_on = F.col("next").isNotNull() & ~(of_units & F.col("bottom"))
+    piece = F.when(F.col("hyphen") & goes_on, F.regexp_replace(fixed, rf"[{MARKS}]\s*$", "")).when(F.col("glue") & goes_on, F.regexp_replace(fixed, rf"[{MARKS}]\s*$", "-")).otherwise(F.concat(F.regexp_replace(fixed, r"^\s+|\s+$", ""), F.lit(" ")))
     lines = F.array_sort(F.collect_list(F.struct("ord", "seq", piece.alias("piece"))))
-    out = rows.groupBy("doc_id", "para_no").agg(lines.alias("_p"))
-    return out.select("doc_id", F.col("para_no").cast("bigint").alias("para_no"), F.get("_p", F.lit(0))["ord"].cast("int").alias("page"), F.size("_p").alias("lines"), F.trim(F.array_join(F.transform("_p", lambda x: x["piece"]), "")).alias("text"))
+    out = rows.groupBy(*whole, "para_no").agg(lines.alias("_p"))
+    unit, page = F.when(of_units, F.col("_unit")).cast("int"), F.when(~of_units, F.get("_p", F.lit(0))["ord"]).cast("int")
+    return out.select("src", "doc_id", unit.alias("unit_ix"), "variant", "kind", F.col("para_no").cast("bigint").alias("para_no"), page.alias("page"), F.size("_p").alias("lines"), F.trim(F.array_join(F.transform("_p", lambda x: x["piece"]), "")).alias("text"))

@@ -45,6 +45,23 @@ def test_faults_and_paragraphs(spark):
     assert "la contribution" in text and "316 francs" in text and "redevable acquitte la taxe sur les sels de" in text and "redevablc" not in text and "BULLETIN" not in text
 
 
+def test_paragraphs_of_units_and_notes(spark, monkeypatch):
+    page = [("BULLETIN FISCAL", "header"), ("Art. 1 : la contri-", "body"), ("(1) Loi N°1-O14 du 1 mai 2010, por-", "note"), ("tant réforme", "note"), ("(2) Loi N°2", "note"), ("- 41 -", "page_number")]
+    more = [("bution de 3I6 francs.", "body"), ("- 42 -", "page_number")]
+    seq = iter(range(99))
+    blocks = [("doc_lines", "s", k, 0, [(next(seq), t, label) for t, label in p]) for k, p in ((1, page), (2, more))]
+    # the labels are given: here only what is made of them is tested
+    labels = spark.createDataFrame(blocks, "src string, doc_id string, ord bigint, variant bigint, lines array<struct<seq:bigint,text:string,label:string>>")
+    monkeypatch.setattr(scans, "line_blocks", lambda lines, documents: labels)
+    rows = [("s", b[2], q, t, 60.0, 100.0, 200.0, 110.0, 10.0, None, None, 842.0, None) for b in blocks for q, t, _ in b[4]]
+    lines, meta = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame([("s", "scan")], "doc_id string, ocr string")
+    unit = "\n".join(t for t, _ in page + more)
+    units = spark.createDataFrame([("s", 0, unit), ("s", 0, unit), ("s", 1, "finit en contri-"), ("s", 2, None), ("b", 0, "x")], "doc_id string, unit_ix int, text string")
+    got = sorted((r.src, -1 if r.unit_ix is None else r.unit_ix, r.kind, r.para_no, r.text) for r in scans.paragraphs(lines, meta, units).collect())
+    want = [("body", 1, "Art. 1 : la contribution de 316 francs."), ("note", 1, "(1) Loi N°1-014 du 1 mai 2010, portant réforme"), ("note", 2, "(2) Loi N°2")]
+    assert got == [("doc_lines", -1, *w) for w in want] + [("units", 0, *w) for w in want] + [("units", 1, "body", 1, "finit en contri-")]
+
+
 def test_empty(spark):
     lines = spark.createDataFrame(book(), SCHEMA)
     meta = spark.createDataFrame([("s", None)], "doc_id string, ocr string")
