@@ -325,6 +325,16 @@ def unit_contexts(spark, d):
     return u.select("doc_id", "unit_ix", chunks.build_context(F.col("doc_id"), F.col("kind"), F.col("key"), F.col("title"), F.col("hier"), F.lit(0), F.lit(1)).alias("context"))
 
 
+def all_unit_contexts(spark, d):
+    """The context of each part of each unit, of every kind, with its document's label; a unit without a text has one part."""
+    u = table(spark, d, "units").select("doc_id", "unit_ix", F.coalesce("kind", F.lit("")).alias("kind"), F.coalesce("unit_key", F.lit("")).alias("key"), F.coalesce("title", F.lit("")).alias("title"), F.coalesce("hier", F.array().cast("array<struct<k:string,v:string>>")).alias("hier"), F.coalesce("text", F.lit("")).alias("text")).distinct()
+    m = table(spark, d, "documents_meta").groupBy("doc_id").agg(F.max(F.struct("loaded_at", "doc_type", "code", "version_year")).alias("_m")).select("doc_id", "_m.doc_type", "_m.code", "_m.version_year")
+    u = u.withColumn("parts", pack.split_text(F.col("text"))).join(m, "doc_id", "left")
+    u = u.select("*", F.greatest(F.size("parts"), F.lit(1)).alias("n_parts"), F.posexplode_outer("parts").alias("_part", "_text")).withColumn("part", F.coalesce("_part", F.lit(0)))
+    label = chunks.doc_label(F.col("doc_type"), F.col("code"), F.col("version_year"), F.col("doc_id"))
+    return u.select("doc_id", "unit_ix", "kind", "part", "n_parts", chunks.build_context(label, F.col("kind"), F.col("key"), F.col("title"), F.col("hier"), F.col("part"), F.col("n_parts")).alias("context"))
+
+
 def _ocr_pages(spark, d):
     scans = table(spark, d, "documents_meta").filter("ocr IS NOT NULL").select("doc_id").distinct()
     lines = _lines(spark, d).join(scans, "doc_id", "left_semi")
@@ -349,7 +359,7 @@ QUERIES = {f.__name__: f for f in (
     article_lengths, article_length_stats, longest_articles, markdown_headings, marks_and_characters, notes_balance, qa_flags, raw_vs_clean, line_statistics, repeated_margin_lines,
     routed_lines, page_records, page_footnotes, span_lines, text_per_page, font_sizes, number_positions, small_foot_lines, two_column_ratio, large_gaps, headings_by_kind,
     numbering_resets, contents_pages, ruling_continuity, article_order, reflowed_lines, line_length_p95, clean_events, legal_units, legal_chunks,
-    chunk_stats, outside_lines, split_documents, chunk_sizes, chunk_id_duplicates, page_range_notes, unit_contexts, ocr_page_report, ocr_figures, ocr_raw_lines,
+    chunk_stats, outside_lines, split_documents, chunk_sizes, chunk_id_duplicates, page_range_notes, unit_contexts, all_unit_contexts, ocr_page_report, ocr_figures, ocr_raw_lines,
 )}
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from juriflow.operators import chunks, layout, ocr, pack, qa, rawmd, reflow, units
 from juriflow.plans import pipeline
+from juriflow.queries import reference
 
 MD = """<!--pg:1-->
 # LIVRE PREMIER : IMPÔTS
@@ -138,6 +139,19 @@ def test_qa_and_ocr(spark):
     assert [(f.page, f.text) for f in ocr.figure_lines(pages).collect()] == [(1, "[icon: x] taux de 18 %")]
 
 
+def test_contexts_of_all_units(spark, tmp_path):
+    hier = [("livre", "LIVRE I")]
+    u = [("d", 0, "article", "1", None, hier, "court"), ("d", 0, "article", "1", None, hier, "court"), ("r__x", 0, "rescrit", "7", "TVA", None, "mot\n" * 1500), ("lois_de_x__1", 0, "section", None, "Objet", hier, None)]
+    spark.createDataFrame(u, "doc_id string, unit_ix int, kind string, unit_key string, title string, hier array<struct<k:string,v:string>>, text string").write.parquet(f"{tmp_path}/units.parquet")
+    m = [("d", "code", "LPF", 2020, 1), ("d", "code", "CGI", 2023, 2), ("r__x", "rescrits", None, None, 1), ("lois_de_x__1", None, None, None, 1)]
+    spark.createDataFrame(m, "doc_id string, doc_type string, code string, version_year int, loaded_at int").write.parquet(f"{tmp_path}/documents_meta.parquet")
+    got = sorted((r.doc_id, r.part, r.n_parts, r.context) for r in reference.all_unit_contexts(spark, str(tmp_path)).collect())
+    assert got == [
+        ("d", 0, 1, "CGI 2023 | LIVRE I | Art. 1"), ("lois_de_x__1", 0, 1, "Lois De X | LIVRE I | Objet"),
+        ("r__x", 0, 2, "Rescrits fiscaux OTR | R7 : TVA (partie 1/2)"), ("r__x", 1, 2, "Rescrits fiscaux OTR | R7 : TVA (partie 2/2)"),
+    ]
+
+
 def test_empty_tables(spark):
     none = lines(spark, "x").limit(0)
     assert reflow.reflow(none).count() == 0
