@@ -1,11 +1,11 @@
 """Visually identical text with different characters.
 
 Script-aware repair: the dominant script of each token is determined and
-look-alike letters are replaced in mixed-script tokens.  A replacement that
-leaves only Latin letters is always made, because such a token is no word of
-another script; where letters of another script remain, or where the look-alike
-is a weak one (Greek nu for v), it is made only if the corpus vocabulary knows
-the result.  Width, spaces, apostrophes, hyphens, joined glyphs, invisible
+look-alike letters are replaced in mixed-script tokens if the corpus vocabulary
+knows the result; it chooses between readings, and weak look-alikes (Greek nu
+for v) are read only on its word.  A token whose repair the vocabulary does not
+know falls back on its script: if only Latin letters result, it is no word of
+another script.  ``basis`` says which of the two decided.  Width, spaces, apostrophes, hyphens, joined glyphs, invisible
 characters and composition are the core's consistent form.
 """
 
@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from juriflow.functions import consistent as C
 
-#: Splits a lower-cased text into its words.
-NOT_WORD = "[^a-zà-öø-ÿœ]+"
+#: Splits a text into its words.
+NOT_WORD = r"\P{L}+"
 
 
 def vocabulary(corpus: DataFrame, text: str = "text", least: int = 2) -> DataFrame:
@@ -32,9 +32,12 @@ def _letters(token: Column, script: str) -> Column:
 
 
 def token_repairs(tokens: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Per distinct token with letters of another script: token, script (the dominant one), fixed, known.
+    """Per distinct token with letters of another script: token, script (the dominant one), fixed, basis.
 
-    At a tie the dominant script is Latin, then Greek.
+    basis: 'vocabulary' (the corpus knows the result), 'script' (it does not,
+    but only Latin letters result), 'foreign' (a word truly in another script,
+    which stays) or 'none' (nothing known, it stays).  At a tie the dominant
+    script is Latin, then Greek.
     """
     t = F.col("token")
     d = tokens.select("token").distinct().withColumn("_c", F.array(*[F.struct(_letters(t, s).alias("n"), F.lit(-i).alias("o"), F.lit(s).alias("s")) for i, s in enumerate(("Latin", "Greek", "Cyrillic"))]))
@@ -43,15 +46,15 @@ def token_repairs(tokens: DataFrame, vocab: DataFrame) -> DataFrame:
     known = words.join(vocab.select("word"), "word")
     d = d.join(known.select(F.col("word").alias("_s"), F.lit(True).alias("s_known")), F.lower("strong") == F.col("_s"), "left")
     d = d.join(known.select(F.col("word").alias("_w"), F.lit(True).alias("w_known")), F.lower("weak") == F.col("_w"), "left")
-    truly_other = C.foreign_word(t)
-    fixed = (
-        F.when(truly_other, t)
-        .when(~F.col("strong").rlike(C.FOREIGN), F.col("strong"))
-        .when(F.col("w_known") & ~F.col("weak").rlike(C.FOREIGN), F.col("weak"))
-        .when(F.col("s_known"), F.col("strong"))
-        .otherwise(t)
+    latin = lambda c: ~F.col(c).rlike(C.FOREIGN)
+    way = (
+        F.when(C.foreign_word(t), F.struct(t.alias("fixed"), F.lit("foreign").alias("basis")))
+        .when(F.col("s_known"), F.struct(F.col("strong").alias("fixed"), F.lit("vocabulary").alias("basis")))
+        .when(F.col("w_known") & latin("weak"), F.struct(F.col("weak").alias("fixed"), F.lit("vocabulary").alias("basis")))
+        .when(latin("strong"), F.struct(F.col("strong").alias("fixed"), F.lit("script").alias("basis")))
+        .otherwise(F.struct(t.alias("fixed"), F.lit("none").alias("basis")))
     )
-    return d.select("token", "script", fixed.alias("fixed"), F.coalesce("s_known", "w_known", F.lit(False)).alias("known"))
+    return d.select("token", "script", way.alias("_r")).select("token", "script", "_r.fixed", "_r.basis")
 
 
 def repair(rows: DataFrame, vocab: DataFrame, text: str = "text", out: str = "fixed") -> DataFrame:
@@ -106,6 +109,15 @@ def texts(doc_lines: DataFrame, spans: DataFrame) -> DataFrame:
     return a.unionByName(b)
 
 
+def repaired_tokens(doc_lines: DataFrame, spans: DataFrame, documents_meta: DataFrame) -> DataFrame:
+    """What decided on each token with letters of another script in born-digital documents: token, script, fixed, basis."""
+    rows = texts(doc_lines, spans)
+    born = born_digital(documents_meta).select("doc_id").distinct()
+    foreign = rows.filter(C.is_suspect(F.col("text"))).join(born, "doc_id", "left_semi").select(C.plain_characters(F.col("text")).alias("_t")).filter(F.col("_t").rlike(C.FOREIGN))
+    tokens = foreign.distinct().select(F.explode(C.script_tokens(F.col("_t"))).alias("token")).filter(F.col("token").rlike(C.FOREIGN))
+    return token_repairs(tokens, vocabulary(rows))
+
+
 def inconsistent_texts(doc_lines: DataFrame, spans: DataFrame, documents_meta: DataFrame) -> DataFrame:
     """Texts of born-digital documents that differ from their consistent form: src, doc_id, page, pos, span_ix, fixed."""
     rows = texts(doc_lines, spans)

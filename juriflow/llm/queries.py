@@ -19,6 +19,10 @@ def p1_repaired(spark, d):
     return characters.inconsistent_texts(table(spark, d, "doc_lines"), table(spark, d, "spans"), table(spark, d, "documents_meta"))
 
 
+def p1_tokens(spark, d):
+    return characters.repaired_tokens(table(spark, d, "doc_lines"), table(spark, d, "spans"), table(spark, d, "documents_meta"))
+
+
 def p2_found(spark, d):
     documents = characters.born_digital(table(spark, d, "documents_meta"))
     return boilerplate.boilerplate_lines(table(spark, d, "doc_lines"), documents).select("doc_id", "seq").distinct()
@@ -68,7 +72,7 @@ def p8_shares(spark, d):
 
 
 QUERIES = {
-    "p1_found": p1_found, "p1_repaired": p1_repaired, "p2_found": p2_found, "p2_kept": p2_kept, "p4_found": p4_found, "p4_paragraphs": p4_paragraphs,
+    "p1_found": p1_found, "p1_repaired": p1_repaired, "p1_tokens": p1_tokens, "p2_found": p2_found, "p2_kept": p2_kept, "p4_found": p4_found, "p4_paragraphs": p4_paragraphs,
     "p6_packed": p6_packed, "p6_fill": p6_fill, "p7_mixed": p7_mixed, "p7_shares": p7_shares, "p8_found": p8_found, "p8_shares": p8_shares,
 }
 

@@ -16,6 +16,12 @@ def test_repair_by_script_and_vocabulary(spark):
     found = {r.text: r.fixed for r in got.collect()}
     assert found == {**cases, None: None}
     assert characters.repair(rows.limit(0), vocab).count() == 0
+    # without a vocabulary a weak look-alike stays
+    blind = {r.text: r.fixed for r in characters.repair(rows, vocab.limit(0)).collect()}
+    assert blind == found | {"νille": "νille"}
+    tokens = spark.createDataFrame([(t,) for t in ("νille", "lа", "λόγος", "νxqz", "lа")], "token string")
+    basis = {r.token: (r.script, r.basis) for r in characters.token_repairs(tokens, vocab).collect()}
+    assert basis == {"νille": ("Latin", "vocabulary"), "lа": ("Latin", "script"), "λόγος": ("Greek", "foreign"), "νxqz": ("Latin", "none")}
 
 
 def test_texts_differ_but_for_spaces(spark):
