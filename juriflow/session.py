@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import hashlib
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,18 +40,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a checkpoint in the shared folder, so that a lost executor costs no recomputation."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def stored(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a compressed table in the shared folder; a later read takes only the columns it needs."""
+    path = f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Free what queries have kept so far: cached data and the tables in the shared folder.  Their results can no longer be read."""
+    spark.catalog.clearCache()
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(checkpoint_dir(spark))
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for found in files.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, "table-*")) or []:
+        files.delete(found.getPath(), True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of a data folder."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def file_digest(path: str) -> str:
-    """Short digest of a file, for cache keys."""
-    with open(path, "rb") as f:
-        return hashlib.sha256(f.read()).hexdigest()[:16]
