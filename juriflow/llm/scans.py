@@ -15,11 +15,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from juriflow.session import cut
+from juriflow.session import stored
 
 STATES = ["header", "body", "note", "page_number", "foot"]
 #: Pages from which the model is fitted; every page is decoded.
@@ -32,8 +31,8 @@ CONFUSIONS = [("6", "b"), ("c", "e"), ("o", "a"), ("5", "s"), ("ii", "u"), ("ri"
 #: Letters that scanners put for digits.
 DIGIT_LIKE = "OoIlSB"
 MARKS = "-\u00ac\u2010\u00ad"
-#: A misread word's correction is so many times as frequent, and so frequent at least.
-RATIO, LEAST = 20, 20
+#: A misread word's correction is so many times as frequent as the misreading, which the corpus holds once at least.
+RATIO = 20
 #: So many ids (about 60 MB) are broadcast at most.
 BROADCAST_IDS = 1_000_000
 
@@ -54,21 +53,38 @@ def blurred(col: Column) -> Column:
 
 
 def featured(lines: DataFrame) -> DataFrame:
-    """Lines (doc_id, page, seq, text, x0, y0, page_h; distinct) with the features of the model as small integers."""
+    """Pages of lines (doc_id, page, seq, text, x0, y0, page_h): doc_id, page and ``lines`` in order, a struct of seq, h (of the text), code (the model's features in one integer) and key (of a title or of a page number's offset) each.
+
+    Only numbers are shuffled.  Repeated rows count once; a NULL page is page -1.
+    """
     t = F.coalesce(F.col("text"), F.lit(""))
     form = F.when(t.rlike(PAGE_NUMBER), 0).when(t.rlike(_NOTE), 1).when(t.rlike(_EDGE_NUMBER), 2).otherwise(3)
-    rows = lines.withColumn("_form", form).withColumn("_num", F.regexp_extract(t, PAGE_NUMBER, 1))
+    rows = lines.withColumn("_form", form).withColumn("_num", F.when(F.col("_form") == 0, F.regexp_extract(t, PAGE_NUMBER, 1)))
     value = F.expr("try_cast(translate(_num, 'OoIl|SB', '0011158') AS int)")
-    title = F.regexp_replace(blurred(F.regexp_replace(t, _EDGE_NUMBER, "")), r"[^\p{L}]+", "")
-    rows = rows.withColumn("_key", F.when(F.col("_form") == 0, F.concat(F.lit("#"), (value - F.col("page")).cast("string"))).otherwise(title))
-    once = rows.filter(F.col("_key") != "").groupBy("doc_id", "_key", "page").agg(F.lit(1).alias("_one"))
-    recurring = once.groupBy("doc_id", "_key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("doc_id", "_key", F.lit(1).alias("_again"))
-    rows = rows.join(recurring, ["doc_id", "_key"], "left")
+    title = F.regexp_replace(blurred(F.when(F.col("_form") == 2, F.regexp_replace(t, _EDGE_NUMBER, "")).otherwise(t)), r"\P{L}+", "")
+    key = F.when(F.col("_form") == 0, F.concat(F.lit("#"), (value - F.col("page")).cast("string"))).otherwise(title)
     y = F.col("y0") / F.col("page_h")
     zone = F.when(y.isNull() | F.isnan(y), 3).when(y < 0.1, 0).when(y > 0.88, 2).otherwise(1)
     indent = F.when(F.col("x0").isNull() | F.isnan("x0"), 21).otherwise(F.least(F.greatest(F.floor(F.col("x0") / 50), F.lit(0)), F.lit(11)))
     start = F.when(t.rlike(r"^\s*\p{Lu}"), 0).when(t.rlike(r"^\s*\p{Ll}"), 1).when(t.rlike(r"^\s*[0-9]"), 2).otherwise(3)
-    return rows.select("doc_id", "page", "seq", "text", (F.col("_form") * 2 + F.coalesce("_again", F.lit(0))).cast("int").alias("form"), zone.cast("int").alias("zone"), indent.cast("int").alias("indent"), start.cast("int").alias("start"))
+    code = (F.col("_form") * 2_000_000 + zone * 10_000 + indent * 100 + start).cast("int")
+    line = F.struct("seq", _text_hash("text").alias("h"), code.alias("code"), F.when(key != "", F.xxhash64(key)).alias("key"))
+    pages = rows.groupBy("doc_id", F.coalesce("page", F.lit(-1)).alias("page")).agg(F.array_sort(F.collect_set(line)).alias("lines"))
+    first = F.filter("lines", lambda x, i: (i == 0) | (F.get("lines", i - 1)["seq"] != x["seq"]) | (F.get("lines", i - 1)["h"] != x["h"]))
+    return pages.withColumn("lines", first)
+
+
+def with_recurrence(pages: DataFrame) -> DataFrame:
+    """Pages (see ``featured``) as doc_id, page, lines (seq, h) and ``codes``, which also say whether a line's key recurs on other pages of its document."""
+    keys = pages.select("doc_id", "page", F.explode(F.array_distinct(F.filter(F.transform("lines", lambda x: x["key"]), lambda k: k.isNotNull()))).alias("key"))
+    often = keys.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("doc_id", "key")
+    again = keys.join(often, ["doc_id", "key"]).groupBy("doc_id", "page").agg(F.collect_list("key").alias("_again"))
+    codes = F.transform("lines", lambda x: x["code"] + F.when(F.array_contains("_again", x["key"]), 1_000_000).otherwise(0))
+    return pages.join(again, ["doc_id", "page"], "left").select("doc_id", "page", F.transform("lines", lambda x: F.struct(x["seq"].alias("seq"), x["h"].alias("h"))).alias("lines"), codes.alias("codes"))
+
+
+def _text_hash(text: str) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")), F.col(text).isNull())
 
 
 def _prior() -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
@@ -163,115 +179,129 @@ class Model:
         return m
 
 
-def _codes(lines: str = "lines") -> Column:
-    """ARRAY of one integer for each line that holds its features."""
-    return F.transform(lines, lambda x: x["form"] * 1000000 + x["zone"] * 10000 + x["indent"] * 100 + x["start"])
-
-
 def _matrix(codes) -> np.ndarray:
     c = np.asarray(codes, dtype=np.int64)
     return np.column_stack([c // 1000000 % 100, c // 10000 % 100, c // 100 % 100, c % 100, _edges(len(c))])
 
 
-def pages_of(features: DataFrame) -> DataFrame:
-    """One row for each page with its lines in order; a page's lines are as many as fit on it."""
-    line = F.struct("seq", "text", "form", "zone", "indent", "start")
-    return features.groupBy("doc_id", "page").agg(F.array_sort(F.collect_set(line)).alias("lines"))
-
-
 def fit(pages: DataFrame, sample: int = SAMPLE_PAGES) -> Model:
     """The model fitted on the ``sample`` pages of least hash."""
-    rows = pages.filter(F.size("lines") > 0).select(F.xxhash64("doc_id", "page").alias("h"), _codes().alias("codes")).orderBy("h", "codes").limit(sample).toPandas()
+    rows = pages.filter(F.size("codes") > 0).select(F.xxhash64("doc_id", "page").alias("h"), "codes").orderBy("h", "codes").limit(sample).toPandas()
     return Model(*_prior()).fitted([_matrix(c) for c in rows["codes"]], ROUNDS)
 
 
 def labelled(pages: DataFrame, model: Model) -> DataFrame:
-    """doc_id, page and ``lines`` with the label of each line."""
+    """doc_id, page and ``lines`` (seq, h, label)."""
 
     @F.pandas_udf("array<int>")
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:
             yield pd.Series([model.viterbi(_matrix(c)).tolist() for c in s])
 
-    got = pages.select("doc_id", "page", "lines", decode(_codes()).alias("_s"))
     names = F.array(*[F.lit(s) for s in STATES])
-    return got.select("doc_id", "page", F.zip_with("lines", "_s", lambda x, s: F.struct(x["seq"].alias("seq"), x["text"].alias("text"), F.get(names, s).alias("label"))).alias("lines"))
+    return pages.select("doc_id", "page", F.zip_with("lines", decode("codes"), lambda x, s: F.struct(x["seq"].alias("seq"), x["h"].alias("h"), F.get(names, s).alias("label"))).alias("lines"))
 
 
 def scanned(documents_meta: DataFrame) -> DataFrame:
     """The scanned documents, one row each.  Their ids are counted: few enough are broadcast, so that no lines are shuffled to find theirs."""
-    ids = documents_meta.filter(F.col("ocr").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id").distinct().persist(StorageLevel.MEMORY_AND_DISK)
+    ids = documents_meta.filter(F.col("ocr").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id").distinct()
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
 def line_blocks(doc_lines: DataFrame, documents: DataFrame, model: Model | None = None) -> DataFrame:
-    """Pages of the given documents with labelled lines: src, doc_id, ord (the page), pos (0) and ``lines`` (seq, text, label, x0).
+    """Pages of the given documents with labelled lines: src, doc_id, ord (the page), variant (0) and ``lines`` (seq, text, label).
 
     Repeated rows count once; rows with a NULL doc_id or seq are left out, a
     NULL page is a page of its own, NULL geometry and NULL text are features.
+    Every step is written into the shared folder, so plans stay small and a
+    lost executor costs one step.
     """
     rows = doc_lines.select("doc_id", "page", "seq", "text", "x0", "y0", "page_h").filter("doc_id IS NOT NULL AND seq IS NOT NULL").join(documents, "doc_id", "left_semi")
-    # read for the fit and for the labels, and these by all that follows; lost parts are computed again
-    pages = pages_of(featured(rows)).persist(StorageLevel.MEMORY_AND_DISK)
-    got = labelled(pages, model or fit(pages)).persist(StorageLevel.MEMORY_AND_DISK)
-    return got.select(F.lit("doc_lines").alias("src"), "doc_id", F.coalesce(F.col("page"), F.lit(-1)).cast("bigint").alias("ord"), F.lit(0).cast("bigint").alias("variant"), "lines")
+    pages = stored(with_recurrence(stored(featured(rows))))
+    labels = labelled(pages, model or fit(pages))
+    line = F.struct("seq", _text_hash("text").alias("h"), "text")
+    texts = rows.groupBy("doc_id", F.coalesce("page", F.lit(-1)).alias("page")).agg(F.array_sort(F.collect_set(line)).alias("_t"))
+    # both arrays hold the same (seq, h) in the same order
+    lines = F.zip_with("_t", "lines", lambda t, x: F.struct(t["seq"].alias("seq"), t["text"].alias("text"), x["label"].alias("label")))
+    got = texts.join(labels, ["doc_id", "page"])
+    return stored(got.select(F.lit("doc_lines").alias("src"), "doc_id", F.col("page").cast("bigint").alias("ord"), F.lit(0).cast("bigint").alias("variant"), lines.alias("lines")))
 
 
-def _stripped_hash(text: str) -> Column:
+def _stripped_hash(text: str | Column) -> Column:
     return F.xxhash64(F.regexp_replace(F.coalesce(text, F.lit("")), r"^\s+|\s+$", ""))
 
 
 def unit_blocks(units: DataFrame, documents: DataFrame, pages: DataFrame) -> DataFrame:
-    """Units of the given documents in the same form; a line has the label of the same line of its document, one that is not found there is body."""
-    texts = units.select("doc_id", F.col("unit_ix").cast("bigint").alias("ord"), "text").dropna().join(documents, "doc_id", "left_semi").distinct()
-    lines = texts.select("doc_id", "ord", F.xxhash64("text").alias("variant"), F.posexplode(F.split("text", "\n")).alias("seq", "text"))
-    key = _stripped_hash("text")
-    known = pages.select("doc_id", F.inline("lines")).select("doc_id", key.alias("_h"), "label").groupBy("doc_id", "_h", "label").agg(F.count(F.lit(1)).alias("_n"))
-    known = known.groupBy("doc_id", "_h").agg(F.max_by("label", F.struct("_n", F.col("label") == "body")).alias("_l"))
-    told = lines.withColumn("_h", key).join(known, ["doc_id", "_h"], "left")
-    line = F.struct(F.col("seq").cast("bigint").alias("seq"), "text", F.coalesce("_l", F.lit("body")).alias("label"))
-    return told.groupBy("doc_id", "ord", "variant").agg(F.array_sort(F.collect_list(line)).alias("lines")).select(F.lit("units").alias("src"), "doc_id", "ord", "variant", "lines")
+    """Units of the given documents in the same form; a line has the label of the same line of its document, one that is not found there is body.
+
+    Lines are looked up by hash; a unit's text is shuffled once.
+    """
+    unit = ["doc_id", "ord", "variant"]
+    texts = units.select("doc_id", F.col("unit_ix").cast("bigint").alias("ord"), "text").dropna().join(documents, "doc_id", "left_semi")
+    texts = texts.withColumn("variant", F.xxhash64("text")).groupBy(*unit).agg(F.first("text").alias("text"))
+    lines = texts.select(*unit, F.posexplode(F.transform(F.split("text", "\n"), _stripped_hash)).alias("seq", "_h"))
+    known = pages.select("doc_id", F.inline("lines")).groupBy("doc_id", _stripped_hash("text").alias("_h"), "label").agg(F.count(F.lit(1)).alias("_n"))
+    known = known.groupBy("doc_id", "_h").agg(F.max_by("label", F.struct("_n", F.col("label") == "body")).alias("label")).filter("label <> 'body'")
+    told = lines.join(known, ["doc_id", "_h"]).groupBy(*unit).agg(F.map_from_entries(F.collect_list(F.struct("seq", "label"))).alias("_l"))
+    line = F.transform(F.split("text", "\n"), lambda t, i: F.struct(i.cast("bigint").alias("seq"), t.alias("text"), F.coalesce(F.try_element_at("_l", i), F.lit("body")).alias("label")))
+    return stored(texts.join(told, unit, "left").select(F.lit("units").alias("src"), *unit, line.alias("lines")))
+
+
+#: Pages of a document whose neighbours one window looks up; windows over these buckets carry the rest.
+PAGE_BUCKET = 256
 
 
 def body_lines(blocks: DataFrame, label: str = "body") -> DataFrame:
     """Body lines (or those of another label) with the text of the one before and of the next one, over whatever lies between; ``top`` and ``bottom`` of their page or unit.
 
-    Neighbours within a page come from the page itself; only one row for each
-    page goes through the window over a document.
+    Lines inside of a page have their neighbours there and are not shuffled.
+    Only the first and last lines go through windows: one over each bucket of
+    ``PAGE_BUCKET`` pages, one over the ends of a document's buckets.
     """
+    key = ["src", "doc_id", "ord", "variant"]
     b = blocks.withColumn("_b", F.filter("lines", lambda x: (x["label"] == label) & x["text"].isNotNull())).filter(F.size("_b") > 0).drop("lines")
-    w = Window.partitionBy("src", "doc_id").orderBy("ord", "variant")
-    b = b.withColumn("_first", F.element_at("_b", 1)["text"]).withColumn("_last", F.element_at("_b", -1)["text"])
-    b = b.withColumn("_next", F.lead("_first").over(w)).withColumn("_prev", F.lag("_last").over(w))
-    b = b.select("src", "doc_id", "ord", "variant", "_b", "_next", "_prev", F.posexplode("_b").alias("_i", "_line"))
-    return b.select(
-        "src", "doc_id", "ord", "variant", F.col("_line.seq").alias("seq"), F.col("_line.text").alias("text"),
-        F.coalesce(F.get("_b", F.col("_i") + 1)["text"], F.col("_next")).alias("next"), F.coalesce(F.get("_b", F.col("_i") - 1)["text"], F.col("_prev")).alias("prev"),
-        (F.col("_i") == 0).alias("top"), (F.col("_i") == F.size("_b") - 1).alias("bottom"),
-    )
+    text = lambda i: F.get("_b", i)["text"]
+    inner = b.filter(F.size("_b") > 2).select(*key, F.explode(F.transform(F.slice("_b", F.lit(2), F.greatest(F.size("_b") - 2, F.lit(0))), lambda x, i: F.struct(x["seq"].alias("seq"), x["text"].alias("text"), text(i + 2).alias("next"), text(i).alias("prev")))).alias("_x"))
+    inner = inner.select(*key, "_x.*", F.lit(False).alias("top"), F.lit(False).alias("bottom"))
+    n = F.size("_b")
+    ends = b.select(*key, F.expr(f"ord div {PAGE_BUCKET}").alias("_bucket"), n.alias("_n"), F.get("_b", F.lit(0)).alias("_f"), text(F.lit(1)).alias("_f2"), F.get("_b", n - 1).alias("_l"), text(n - 2).alias("_l2"))
+    doc, order = ["src", "doc_id", "_bucket"], F.struct("ord", "variant")
+    w = Window.partitionBy(*doc).orderBy("ord", "variant")
+    near = ends.withColumn("_next", F.lead("_f.text").over(w)).withColumn("_prev", F.lag("_l.text").over(w))
+    w2 = Window.partitionBy("src", "doc_id").orderBy("_bucket")
+    outer = ends.groupBy(*doc).agg(F.min_by("_f.text", order).alias("_bf"), F.max_by("_l.text", order).alias("_bl"))
+    outer = outer.select(*doc, F.lead("_bf").over(w2).alias("_bn"), F.lag("_bl").over(w2).alias("_bp"))
+    near = near.join(outer, doc).withColumn("_next", F.coalesce("_next", "_bn")).withColumn("_prev", F.coalesce("_prev", "_bp"))
+    one = F.col("_n") == 1
+    first = F.struct("_f.seq", "_f.text", F.when(one, F.col("_next")).otherwise(F.col("_f2")).alias("next"), F.col("_prev").alias("prev"), F.lit(True).alias("top"), one.alias("bottom"))
+    last = F.struct("_l.seq", "_l.text", F.col("_next").alias("next"), F.col("_l2").alias("prev"), F.lit(False).alias("top"), F.lit(True).alias("bottom"))
+    return inner.unionByName(near.select(*key, F.inline(F.when(one, F.array(first)).otherwise(F.array(first, last)))))
 
 
 def _broken(text: Column, after: Column) -> Column:
-    return text.rlike(rf"[\p{{L}}\p{{N}}][{MARKS}]\s*$") & F.coalesce(after.rlike(r"^\s*[\p{Ll}0-9]"), F.lit(True))
+    # the cheap test on the last character spares most lines the search
+    marked = F.substring(F.rtrim(text), -1, 1).isin(*MARKS) | text.rlike(r"[\t\r\n\f]$")
+    return marked & text.rlike(rf"[\p{{L}}\p{{N}}][{MARKS}]\s*$") & F.coalesce(after.rlike(r"^\s*[\p{Ll}0-9]"), F.lit(True))
 
 
 def lexicon(corpus: DataFrame, text: str = "text") -> DataFrame:
     """Words as written and words with hyphens inside, over all lines: word, kind ('word' or 'compound'), n."""
     t = F.col(text)
-    # a summary of the corpus that is read several times
     words = corpus.select(F.explode(F.split(t, r"[^\p{L}\p{N}]+")).alias("word")).filter(F.col("word").rlike(r"\p{L}")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit("word"))
-    inner = corpus.filter(t.rlike(r"\p{L}-\p{L}")).select(F.explode(F.regexp_extract_all(t, F.lit(r"\p{L}+(?:-\p{L}+)+"), F.lit(0))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit("compound"))
-    return words.unionByName(inner).persist(StorageLevel.MEMORY_AND_DISK)
+    inner = corpus.filter(t.contains("-") & t.rlike(r"\p{L}-\p{L}")).select(F.explode(F.regexp_extract_all(t, F.lit(r"\p{L}+(?:-\p{L}+)+"), F.lit(0))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit("compound"))
+    # a summary of the corpus that is read several times
+    return stored(words.unionByName(inner))
 
 
 def misreadings(lex: DataFrame) -> DataFrame:
     """What scanners make of frequent words: form, word, n, at (where the form differs).
 
-    Frequent are lower-case words found ``LEAST`` times, compounds without
-    their hyphens, and capitalised words that are a ten-thousandth of all.
+    Frequent are lower-case words, ``RATIO`` times as many as their misreading,
+    compounds without their hyphens, and capitalised words that are a
+    ten-thousandth of all.
     """
     total = lex.filter("kind = 'word'").agg(F.sum("n").alias("_all"))
-    lower = F.col("word").rlike(r"^[\p{Ll}-]{2,}$") & (F.col("n") >= LEAST)
+    lower = F.col("word").rlike(r"^[\p{Ll}-]{2,}$") & (F.col("n") >= RATIO)
     # one row with the size of the corpus
     capital = F.col("word").rlike(r"^\p{Lu}\p{Ll}+$") & (F.col("n") * 10_000 >= F.col("_all"))
     often = lex.join(F.broadcast(total), F.lit(True)).filter(lower | capital).select(F.replace("word", F.lit("-")).alias("word"), "n")
@@ -290,11 +320,11 @@ def misreadings(lex: DataFrame) -> DataFrame:
     all_ = often.mapInPandas(forms, "form string, word string, n bigint, at int")
     best = all_.groupBy("form").agg(F.max_by(F.struct("word", "n", "at"), F.struct("n", "word")).alias("_b"))
     own = lex.filter("kind = 'word'").select(F.col("word").alias("form"), F.col("n").alias("_own"))
-    return best.join(own, "form", "left").select("form", "_b.*", F.coalesce("_own", F.lit(0)).alias("own")).filter(F.col("n") >= RATIO * F.col("own"))
+    return best.join(own, "form", "left").select("form", "_b.*", F.coalesce("_own", F.lit(0)).alias("own")).filter(F.col("n") >= RATIO * F.greatest("own", F.lit(1)))
 
 
 #: A number with a letter in a digit's place, or of such letters only.
-BAD_NUMBER = rf"^(?:(?=.*[0-9])(?=.*[{DIGIT_LIKE}])[0-9{DIGIT_LIKE}]+|l[lIOo]+|I[lOo]+|O[OlI]+|[oO]{{2,}})$"
+BAD_NUMBER = rf"^(?![0-9]+$)(?:[{DIGIT_LIKE}]*[0-9][0-9{DIGIT_LIKE}]*|l[lIOo]+|I[lOo]+|O[OlI]+|[oO]{{2,}})$"
 
 
 #: A body line's place.
@@ -325,7 +355,7 @@ def misread(rows: DataFrame, lex: DataFrame) -> DataFrame:
     """Misread words and numbers of body lines, a place and (read, right) each.
 
     Words over a line's end are looked up whole; the part that holds the error
-    is the misread one.
+    is the misread one.  The body is read once.
     """
     t, n = F.col("text"), F.size("_w")
     first, last = F.when(F.col("_pl").isNotNull(), 1).otherwise(0), F.when(F.col("_l").isNotNull(), n - 1).otherwise(n)
@@ -336,13 +366,14 @@ def misread(rows: DataFrame, lex: DataFrame) -> DataFrame:
         F.when(F.col("_l").isNotNull(), F.struct(F.concat("_l", "_r").alias("t"), F.lit(-1).alias("lo"), F.length("_l").alias("hi"), F.col("_l").alias("read"))),
         F.when(F.col("_pl").isNotNull(), F.struct(F.concat("_pl", "_pr").alias("t"), F.length("_pl").alias("lo"), F.lit(9999).alias("hi"), F.col("_pr").alias("read"))),
     ))
-    asked = d.select(*KEY, F.inline(F.filter(F.concat(whole, over), lambda x: x["t"].rlike(r"\p{L}") & ((x["hi"] < 9999) | (x["lo"] >= 0) | ~x["t"].rlike(BAD_NUMBER)))))
-    asked = asked.withColumn("_form", F.explode(F.when(F.col("t").rlike(r"^\p{Lu}\p{Ll}"), F.array("t", F.lower("t"))).otherwise(F.array("t"))))
-    wrong = misreadings(lex).select(F.col("form").alias("_form"), F.col("word").alias("_a"), F.col("at").alias("_at")).persist(StorageLevel.MEMORY_AND_DISK)
-    bad = asked.join(F.broadcast(wrong) if wrong.count() <= BROADCAST_FORMS else wrong, "_form").filter("_at >= lo AND _at < hi")
-    right = F.when(F.col("lo") >= 0, F.substring("_a", F.col("lo") + 1, F.length("_a"))).when(F.col("hi") < 9999, F.expr("substring(_a, 1, length(_a) - (length(t) - hi))")).otherwise(F.when(F.col("t") != F.col("_form"), F.initcap("_a")).otherwise(F.col("_a")))
-    numbers = d.select(*KEY, F.explode(F.filter(inner, lambda x: x.rlike(BAD_NUMBER))).alias("read")).withColumn("right", F.translate("read", "OoIlSB", "001158"))
-    return bad.select(*KEY, "read", right.alias("right")).unionByName(numbers)
+    asked = d.select(*KEY, F.inline(F.when(F.size(over) > 0, F.concat(whole, over)).otherwise(whole)))
+    asked = asked.withColumn("_num", (F.col("lo") < 0) & (F.col("hi") == 9999) & F.col("t").rlike(BAD_NUMBER)).filter(F.col("_num") | F.col("t").rlike(r"\p{L}"))
+    # a capitalised word is looked up as it is and in lower case
+    asked = asked.withColumn("_form", F.explode(F.when(~F.col("_num") & F.col("t").rlike(r"^\p{Lu}\p{Ll}"), F.array("t", F.lower("t"))).otherwise(F.array("t"))))
+    wrong = stored(misreadings(lex).select(F.col("form").alias("_form"), F.col("word").alias("_a"), F.col("at").alias("_at")))
+    found = asked.join(F.broadcast(wrong) if wrong.count() <= BROADCAST_FORMS else wrong, "_form", "left").filter("_num OR (_at >= lo AND _at < hi)")
+    right = F.when(F.col("_num"), F.translate("read", "OoIlSB", "001158")).when(F.col("lo") >= 0, F.substring("_a", F.col("lo") + 1, F.length("_a"))).when(F.col("hi") < 9999, F.expr("substring(_a, 1, length(_a) - (length(t) - hi))")).otherwise(F.when(F.col("t") != F.col("_form"), F.initcap("_a")).otherwise(F.col("_a")))
+    return found.select(*KEY, "read", right.alias("right"))
 
 
 def findings(body: DataFrame, lex: DataFrame, *keep: str) -> DataFrame:
@@ -360,12 +391,13 @@ def noise(doc_lines: DataFrame, units: DataFrame, documents_meta: DataFrame) ->
     """Faults of scanned documents: src, doc_id, pos, line_no, fault; distinct rows."""
     documents = scanned(documents_meta)
     pages = line_blocks(doc_lines, documents)
-    blocks = pages.unionByName(unit_blocks(units, documents, pages).persist(StorageLevel.MEMORY_AND_DISK))
+    blocks = pages.unionByName(unit_blocks(units, documents, pages))
     place = lambda c: [F.when(F.col("src") == "units", F.col("ord")).otherwise(F.col(c)).alias("pos"), F.when(F.col("src") == "units", F.col(c) + 1).otherwise(0).cast("int").alias("line_no")]
-    labels = blocks.select("src", "doc_id", "ord", F.inline("lines")).filter(F.col("label").isin("header", "foot", "page_number"))
-    outer = labels.select("src", "doc_id", *place("seq"), F.when(F.col("label") == "page_number", "page_number").otherwise("header").alias("fault"))
-    rows, lex = edges(body_lines(blocks)).persist(StorageLevel.MEMORY_AND_DISK), lexicon(doc_lines)
-    hyphens = rows.filter("_l IS NOT NULL").select(*KEY).join(compound_ends(rows, lex), KEY, "left_anti").withColumn("fault", F.lit("hyphen"))
+    outer = blocks.select("src", "doc_id", "ord", F.inline(F.filter("lines", lambda x: x["label"].isin("header", "foot", "page_number"))))
+    outer = outer.select("src", "doc_id", *place("seq"), F.when(F.col("label") == "page_number", "page_number").otherwise("header").alias("fault"))
+    rows, lex = edges(body_lines(blocks)), lexicon(doc_lines)
+    broken = stored(rows.filter("_l IS NOT NULL").select(*KEY, "_l", "_r"))
+    hyphens = broken.select(*KEY).join(compound_ends(broken, lex), KEY, "left_anti").withColumn("fault", F.lit("hyphen"))
     inner = hyphens.unionByName(misread(rows, lex).select(*KEY).withColumn("fault", F.lit("misread")))
     return outer.unionByName(inner.select("src", "doc_id", *place("seq"), "fault")).distinct()
 
@@ -397,12 +429,9 @@ def paragraphs(doc_lines: DataFrame, documents_meta: DataFrame, units: DataFrame
     blocks = pages = line_blocks(doc_lines, documents)
     if units is not None:
         blocks = pages.unionByName(unit_blocks(units, documents, pages))
-    # the plan is cut here and below, or it outgrows the driver's memory
-    blocks = cut(blocks)
-    pages = blocks.filter("src = 'doc_lines'")
     kinds = [body_lines(blocks, k).withColumn("kind", F.lit(k)) for k in ("body", "note")]
     keep = ("kind", "prev", "next", "top", "bottom")
-    rows = cut(findings(cut(kinds[0].unionByName(kinds[1])), lexicon(doc_lines), *keep))
+    rows = stored(findings(stored(kinds[0].unionByName(kinds[1])), lexicon(doc_lines), *keep))
     of_units = F.col("src") == "units"
     rows = rows.withColumn("at", F.when(of_units, _stripped_hash("text")).otherwise(F.col("seq"))).join(indents(doc_lines, documents, pages), ["src", "doc_id", "at"], "left")
     short = F.col("prev").rlike(r"[.!?]\s*$") & F.col("text").rlike(r"^\s*\p{Lu}") & (F.length("prev") < F.length("text") - 8)
