@@ -10,9 +10,9 @@ from juriflow.operators.ordered import running_sum
 from juriflow.operators.pack import split_text
 from juriflow.operators.reflow import nearest_rank
 
-#: An article's own label at the head of its text, and the label of rulings.
+#: An article's own label at the head of its text, and the label of rulings where none is given.
 OWN_LABEL = r"(?U)^Art(?:icle)?s?\.?\s*\S+\s*:\s*"
-RULINGS_LABEL = "Rescrits fiscaux OTR"
+RULINGS_LABEL = "Rescrits fiscaux"
 
 
 def normalize_refs(text: Column, own_code: Column) -> Column:
@@ -22,10 +22,16 @@ def normalize_refs(text: Column, own_code: Column) -> Column:
     return F.filter(found, lambda r, i: F.array_position(keys, F.struct(r["code"], r["articles"], r["range"])) == i + 1)
 
 
-def doc_label(doc_type: Column, code: Column, version_year: Column, doc_id: Column) -> Column:
+def title_case(text: Column) -> Column:
+    """Every run of letters with a capital first and small letters after it, whatever stands before it."""
+    runs = F.split(text, r"(?<=\p{L})(?=\P{L})|(?<=\P{L})(?=\p{L})")
+    return F.array_join(F.transform(runs, F.initcap), "")
+
+
+def doc_label(doc_type: Column, code: Column, version_year: Column, doc_id: Column, rulings_label: str = RULINGS_LABEL) -> Column:
     """Code and year; a constant for rulings; else the words of the id before '__', capitalised."""
-    words = F.initcap(F.replace(F.element_at(F.split(doc_id, "__"), 1), F.lit("_"), F.lit(" ")))
-    return F.when(doc_type == "code", F.concat_ws(" ", F.nullif(code, F.lit("")), F.when(version_year != 0, version_year.cast("string")))).when(doc_type == "rescrits", F.lit(RULINGS_LABEL)).otherwise(words)
+    words = title_case(F.replace(F.element_at(F.split(doc_id, "__"), 1), F.lit("_"), F.lit(" ")))
+    return F.when(doc_type == "code", F.concat_ws(" ", F.nullif(code, F.lit("")), F.when(version_year != 0, version_year.cast("string")))).when(doc_type == "rescrits", F.lit(rulings_label)).otherwise(words)
 
 
 def build_context(label: Column, kind: Column, key: Column, title: Column, hier: Column, part: Column, n_parts: Column) -> Column:
@@ -63,7 +69,7 @@ def with_ids(units: DataFrame) -> DataFrame:
     return u.withColumn("_nth", nth).withColumn("uid", F.when(F.col("_nth") > 1, F.concat("_base", F.lit("-dup"), F.col("_nth").cast("string"))).otherwise(F.col("_base"))).drop("_seen", "_base", "_nth")
 
 
-def chunks(units: DataFrame, documents_meta: DataFrame, page_map: DataFrame | None = None, orphan_notes: DataFrame | None = None, limit: int = 3000, least: int = 250) -> DataFrame:
+def chunks(units: DataFrame, documents_meta: DataFrame, page_map: DataFrame | None = None, orphan_notes: DataFrame | None = None, limit: int = 3000, least: int = 250, rulings_label: str = RULINGS_LABEL) -> DataFrame:
     """One row for each part of each unit with text.
 
     ``documents_meta``: one row is taken per doc_id (that loaded last where
@@ -89,7 +95,7 @@ def chunks(units: DataFrame, documents_meta: DataFrame, page_map: DataFrame | No
             m = page_map.groupBy("doc_id", F.col("pdf_page").alias(f"page_{end}")).agg(F.max("printed_page").alias(f"printed_page_{end}"))
             u = u.join(m, ["doc_id", f"page_{end}"], "left")
     p = u.select("*", F.posexplode("parts").alias("part", "_text")).drop("text").withColumnRenamed("_text", "text").withColumn("n_parts", F.size("parts"))
-    p = p.withColumn("context", build_context(doc_label(F.col("doc_type"), F.col("code"), F.col("version_year"), F.col("doc_id")), F.col("kind"), F.col("key"), F.col("title"), F.col("hier"), F.col("part"), F.col("n_parts")))
+    p = p.withColumn("context", build_context(doc_label(F.col("doc_type"), F.col("code"), F.col("version_year"), F.col("doc_id"), rulings_label), F.col("kind"), F.col("key"), F.col("title"), F.col("hier"), F.col("part"), F.col("n_parts")))
     return p.select(
         F.concat("doc_id", F.lit("::"), F.substring("kind", 1, 3), "uid", F.lit("::"), F.col("part").cast("string")).alias("chunk_id"),
         "doc_id", "source_doc_id", "doc_type", "code", "version_year", "published", "source_url", F.col("kind").alias("unit"),

@@ -8,17 +8,19 @@ from pyspark.sql import functions as F
 from juriflow.functions import patterns as P
 from juriflow.operators.ordered import neighbours
 
-#: Leader dots of a table of contents, and the title of a code.
-LEADERS = r"(?:\.\s?){5,}|…{2,}"
+#: Leader dots before a page number in a table of contents, and the title of a code.
+LEADERS = r"(?U)(?:\.{4,}|…{2,}|(?:\s\.){4,})\s*\d{1,4}\s*$"
 CODE_TITLE = r"(?iuU)^\s*(?:code\s+g[ée]n[ée]ral\s+des\s+imp[ôo]ts|livre\s+des\s+proc[ée]dures\s+fiscales)\s*$"
 
 
 def text_per_page(lines: DataFrame, first: int = 30) -> DataFrame:
-    """Characters per page over the first pages: doc_id, pages, mean_chars, min_chars, scan (under 200), skip (under 100)."""
-    per = lines.filter(F.col("page") <= first).groupBy("doc_id", "page").agg(F.sum(F.length(P.strip(F.col("text")))).alias("c"))
-    d = per.groupBy("doc_id").agg(F.count(F.lit(1)).alias("pages"), F.sum("c").alias("_s"), F.min("c").alias("min_chars"))
+    """Characters per page over the first pages, empty ones included: doc_id, pages, mean_chars, min_chars, scan (under 200), skip (under 100)."""
+    per = lines.groupBy("doc_id", "page").agg(F.sum(F.length(P.strip(F.col("text")))).alias("c"))
+    early = F.col("page") <= first
+    d = per.groupBy("doc_id").agg(F.max("page").alias("_n"), F.count_if(early).alias("_seen"), F.sum(F.when(early, F.col("c")).otherwise(0)).alias("_s"), F.min(F.when(early, F.col("c"))).alias("_min"))
+    d = d.withColumn("pages", F.least(F.col("_n"), F.lit(first)).cast("bigint"))
     mean = F.col("_s") / F.col("pages")
-    return d.select("doc_id", "pages", mean.alias("mean_chars"), "min_chars", (mean < 200).alias("scan"), (mean < 100).alias("skip"))
+    return d.select("doc_id", "pages", mean.alias("mean_chars"), F.when(F.col("_seen") < F.col("pages"), 0).otherwise(F.col("_min")).alias("min_chars"), (mean < 200).alias("scan"), (mean < 100).alias("skip"))
 
 
 def font_sizes(lines: DataFrame, k: int = 6) -> DataFrame:
@@ -30,28 +32,44 @@ def font_sizes(lines: DataFrame, k: int = 6) -> DataFrame:
 
 
 def number_positions(lines: DataFrame, zone: float = 0.08) -> DataFrame:
-    """Lines of digits only: doc_id, n, n_top, n_bottom, outside (of the margin zones), min_y, max_y in thousandths of the page."""
+    """Lines of digits only: doc_id, n, n_top, n_bottom, outside (of the margin zones), and least, median and greatest height in thousandths of the page."""
     y = (F.col("y0") + F.col("y1")) / 2 / F.col("page_h")
     d = lines.filter(F.col("text").rlike(P.DIGITS_ONLY) & y.isNotNull()).withColumn("y", y)
-    return d.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("y") < 0.5).alias("n_top"), F.count_if(F.col("y") >= 0.5).alias("n_bottom"), F.count_if(F.col("y").between(zone, 1 - zone)).alias("outside"), F.floor(F.min("y") * 1000).alias("min_y"), F.floor(F.max("y") * 1000).alias("max_y"))
+    mille = lambda c: F.floor(c * 1000).alias
+    return d.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("y") < 0.5).alias("n_top"), F.count_if(F.col("y") >= 0.5).alias("n_bottom"), F.count_if(~F.col("y").between(zone, 1 - zone)).alias("_in"), mille(F.min("y"))("min_y"), mille(F.percentile("y", F.lit(0.5)))("median_y"), mille(F.max("y"))("max_y")).withColumn("outside", F.col("n") - F.col("_in")).drop("_in")
 
 
 def small_foot_lines(lines: DataFrame, stats: DataFrame, ratio: float = 0.92, low: float = 0.8) -> DataFrame:
     """Per document: small lines at the foot of pages, pages that have them, glued markers, superscript markers."""
     d = lines.join(stats.select("doc_id", "body_size"), "doc_id")
     small = (F.col("size") <= ratio * F.col("body_size")) & ((F.col("y0") + F.col("y1")) / 2 > low * F.col("page_h"))
-    return d.groupBy("doc_id").agg(F.count_if(small).alias("small_lines"), F.count_distinct(F.when(small, F.col("page"))).alias("pages"), F.count_if(F.col("text").rlike(P.GLUED_MARKER)).alias("glued_markers"), F.sum(F.regexp_count("text", F.lit(P.PLACEHOLDER))).cast("bigint").alias("superscripts"))
+    glued = F.col("text").rlike(P.GLUED_MARKER) & ~F.col("text").rlike(P.DIGITS_ONLY)
+    return d.groupBy("doc_id").agg(F.count_if(small).alias("small_lines"), F.count_distinct(F.when(small, F.col("page"))).alias("pages"), F.count_if(glued).alias("glued_markers"), F.sum(F.regexp_count("text", F.lit(P.PLACEHOLDER))).cast("bigint").alias("superscripts"))
 
 
-def two_columns(lines: DataFrame, page_w: float = 595.0) -> DataFrame:
-    """doc_id, n, right (lines that begin beyond 45 % of the width), two_columns (over a quarter of them)."""
-    d = lines.filter("x0 IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("x0") > 0.45 * page_w).alias("right"))
+def foot_samples(lines: DataFrame, stats: DataFrame, k: int = 6, ratio: float = 0.92, low: float = 0.8) -> DataFrame:
+    """The first small lines at the foot of pages: doc_id, rank, page, size, text (90 characters)."""
+    d = lines.join(stats.select("doc_id", "body_size"), "doc_id").filter((F.col("size") <= ratio * F.col("body_size")) & ((F.col("y0") + F.col("y1")) / 2 > low * F.col("page_h")))
+    w = Window.partitionBy("doc_id").orderBy("page", "ix")
+    return d.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("doc_id", "rank", "page", "size", F.substring("text", 1, 90).alias("text"))
+
+
+def two_columns(lines: DataFrame, stats: DataFrame, widths: DataFrame | None = None, top: float = 0.08, bottom: float = 0.08, page_w: float = 595.0) -> DataFrame:
+    """doc_id, n (lines of body size between the margins), right (of them, those that begin beyond 45 % of their page's width), two_columns (over a quarter).
+
+    ``widths``: doc_id, page, page_w; ``page_w`` holds for pages it does not list.
+    """
+    d = lines.join(stats.select("doc_id", "body_size"), "doc_id")
+    cy = (F.col("y0") + F.col("y1")) / 2
+    d = d.filter((F.abs(F.col("size") - F.col("body_size")) <= 0.6) & (cy > top * F.col("page_h")) & (cy < (1 - bottom) * F.col("page_h")))
+    d = d.withColumn("page_w", F.lit(page_w)) if widths is None else d.join(widths.groupBy("doc_id", "page").agg(F.max("page_w").alias("page_w")), ["doc_id", "page"], "left").fillna(page_w, ["page_w"])
+    d = d.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("x0") > 0.45 * F.col("page_w")).alias("right"))
     return d.withColumn("two_columns", F.col("right") * 4 > F.col("n"))
 
 
 def large_gaps(lines: DataFrame, stats: DataFrame, factor: float = 1.6) -> DataFrame:
-    """doc_id, n lines with a gap, large ones among them."""
-    d = lines.filter("gap_before > 0").join(stats.select("doc_id", "median_leading"), "doc_id")
+    """doc_id, n lines with a gap of less than three body sizes, large ones among them."""
+    d = lines.join(stats.select("doc_id", "median_leading", "body_size"), "doc_id").filter((F.col("gap_before") > 0) & (F.col("gap_before") < 3 * F.col("body_size")))
     return d.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("gap_before") > factor * F.col("median_leading")).alias("large"))
 
 

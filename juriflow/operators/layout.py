@@ -64,7 +64,7 @@ def rendered(found: DataFrame) -> DataFrame:
 
     text = F.aggregate("spans", F.struct(F.lit("").alias("t"), F.lit(None).cast("double").alias("x1")), step, lambda a: P.strip(F.regexp_replace(a["t"], "[ \t  ]+", " ")))
     body = F.filter("spans", lambda s: ~marker(s) & ~ordinal(s))
-    weighed = F.transform(body, lambda s: F.struct(F.round(s["size"], 1).alias("size"), F.length(P.strip(s["text"])).alias("n"), s["bold"].alias("bold")))
+    weighed = F.transform(body, lambda s: F.struct(F.bround(s["size"], 1).alias("size"), F.length(P.strip(s["text"])).alias("n"), s["bold"].alias("bold")))
     d = found.withColumn("text", text).withColumn("_w", weighed).withColumn("_top", top)
     total = F.aggregate("_w", F.lit(0), lambda a, x: a + x["n"])
     heavy = F.aggregate("_w", F.lit(0), lambda a, x: a + F.when(x["bold"], x["n"]).otherwise(0))
@@ -107,7 +107,7 @@ def doc_stats(lines: DataFrame, cfg: DataFrame) -> DataFrame:
     """doc_id, n_pages, body_size, p95_len, median_leading, from histograms of sizes, lengths and leadings."""
     d = _margins(lines.join(cfg, "doc_id").filter(~F.array_contains("skip_pages", F.col("page"))))
     pages = lines.groupBy("doc_id").agg(F.max("page").alias("n_pages"))
-    hist = d.groupBy("doc_id", F.round("size", 1).alias("s")).agg(F.sum(F.length("text")).alias("n"), F.min("ix").alias("first"))
+    hist = d.groupBy("doc_id", F.bround("size", 1).alias("s")).agg(F.sum(F.length("text")).alias("n"), F.min("ix").alias("first"))
     body = hist.filter("s IS NOT NULL").groupBy("doc_id").agg(F.max_by("s", F.struct("n", (-F.col("first")).alias("f"))).alias("mode"))
     body = cfg.select("doc_id", F.col("body_size").alias("_given")).join(body, "doc_id", "left").select("doc_id", F.coalesce("_given", "mode", F.lit(10.0)).alias("body_size"))
     inner = d.drop("body_size").join(body, "doc_id").filter((F.abs(F.col("size") - F.col("body_size")) <= 0.6) & (F.col("cy") > F.col("top_zone") * F.col("page_h")) & (F.col("cy") < (1 - F.col("bottom_zone")) * F.col("page_h")))
@@ -140,7 +140,7 @@ def routed(lines: DataFrame, cfg: DataFrame, stats: DataFrame) -> DataFrame:
     so are all where there is no label.  On pages without notes by geometry the
     first line of the lower part with a note's form, and all after it, are notes.
     """
-    d = _margins(lines.join(cfg.drop("body_size"), "doc_id").filter(~F.array_contains("skip_pages", F.col("page"))).join(stats.select("doc_id", "body_size"), "doc_id"))
+    d = _margins(lines.join(cfg.drop("body_size"), "doc_id").filter(~F.array_contains("skip_pages", F.col("page"))).join(stats.select("doc_id", "body_size", "p95_len", "median_leading"), "doc_id"))
     again = repeated_margin_lines(lines, cfg).select("doc_id", F.col("key").alias("_key"), F.lit(True).alias("_again"))
     d = d.withColumn("_key", F.when(F.col("in_margin"), norm_key(F.col("text")))).join(again, ["doc_id", "_key"], "left")
     dropped = F.exists("drop_regex", lambda r: F.rlike(F.col("text"), F.concat(F.lit("(?iu)^(?:"), r, F.lit(")"))))
@@ -166,7 +166,7 @@ def routed(lines: DataFrame, cfg: DataFrame, stats: DataFrame) -> DataFrame:
     text_note = ~F.col("_geo") & (F.col("_r") == "body") & (F.col("ix") >= F.col("_from"))
     route = F.when(F.coalesce(text_note, F.lit(False)), "foot").otherwise(F.col("_r"))
     method = F.when(F.col("_geo"), "geometry").when(F.col("_from").isNotNull(), "text").otherwise("none")
-    return d.withColumn("route", route).withColumn("footnote_method", method).select("doc_id", "page", "ix", "text", "x0", "y0", "x1", "y1", "size", "bold", "gap_before", "page_h", "route", "reclaimed", "footnote_method", "enable_glued_fallback")
+    return d.withColumn("route", route).withColumn("footnote_method", method).select("doc_id", "page", "ix", "text", "x0", "y0", "x1", "y1", "size", "bold", "gap_before", "page_h", "route", "reclaimed", "footnote_method", "enable_glued_fallback", "gap_factor", "body_size", "p95_len", "median_leading")
 
 
 def body_of(found: DataFrame, defs: DataFrame | None = None) -> DataFrame:

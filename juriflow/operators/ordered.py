@@ -28,3 +28,18 @@ def neighbours(df: DataFrame, keys: list[str], order: str, before: dict[str, Col
     w = Window.partitionBy(*keys).orderBy(order)
     near = {o: F.lag(c).over(w) for o, c in (before or {}).items()} | {o: F.lead(c).over(w) for o, c in (after or {}).items()}
     return df.withColumns(near)
+
+
+def paged_sum(df: DataFrame, order: str | list[str], cols: dict[str, Column]) -> DataFrame:
+    """Each column's sum over the document up to and including the row, for rows with doc_id and page.
+
+    A window holds one page; a second one, over a row for each page, carries the sums of the pages before.
+    """
+    page = ["doc_id", "page"]
+    d = df.withColumns({f"_v_{o}": c for o, c in cols.items()})
+    w = Window.partitionBy(*page).orderBy(*([order] if isinstance(order, str) else order)).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy("doc_id").orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
+    totals = d.groupBy(*page).agg(*[F.sum(f"_v_{o}").alias(f"_t_{o}") for o in cols])
+    carried = totals.select(*page, *[F.coalesce(F.sum(f"_t_{o}").over(before), F.lit(0)).alias(f"_c_{o}") for o in cols])
+    d = d.withColumns({o: F.coalesce(F.sum(f"_v_{o}").over(w), F.lit(0)) for o in cols}).join(carried, page)
+    return d.withColumns({o: F.col(o) + F.col(f"_c_{o}") for o in cols}).drop(*[f"{x}{o}" for o in cols for x in ("_v_", "_c_")])

@@ -77,7 +77,7 @@ def marks_and_characters(md: DataFrame) -> DataFrame:
     t = F.col("text")
     return md.groupBy("doc_id").agg(
         F.sum(F.regexp_count(t, F.lit(P.PAGE_MARK))).cast("bigint").alias("page_markers"), F.count_if(t.rlike(r"^\|(?: --- \|)+$")).alias("tables"),
-        F.sum(F.length(F.regexp_replace(t, "[^-]", ""))).cast("bigint").alias("private_use_chars"), F.sum(F.length(F.regexp_replace(t, "[^�]", ""))).cast("bigint").alias("replacement_chars"),
+        F.sum(F.length(F.regexp_replace(t, r"[^\uE000-\uF8FF]", ""))).cast("bigint").alias("private_use_chars"), F.sum(F.length(F.regexp_replace(t, r"[^\uFFFD]", ""))).cast("bigint").alias("replacement_chars"),
         F.count_if(F.length(t) > 2500).alias("very_long_paragraphs"), F.count_if(P.strip(t).rlike(r"^\d{1,4}$")).alias("digit_only_paragraphs"), F.count_if(t.rlike(r"^## R\d+")).alias("n_rescrits"),
     )
 
@@ -95,13 +95,13 @@ def references_by_target(edges: DataFrame) -> DataFrame:
 
 
 def flags(md: DataFrame) -> DataFrame:
-    """doc_id, flag: duplicates, missing numbers, order, unbalanced notes, private-use or replacement characters, digit-only paragraphs."""
+    """doc_id, flag: missing numbers, duplicates, order, references without a note, digit-only and very long paragraphs."""
     m = article_marks(md)
-    notes = notes_balance(md).filter("refs = 0 OR defs = 0")
-    chars = marks_and_characters(md)
+    lines = marks_and_characters(md)
     found = [
-        (duplicate_articles(m), "duplicate_articles"), (missing_numbers(m), "missing_numbers"), (order_violations(m), "order_violations"), (notes, "unbalanced_notes"),
-        (chars.filter("private_use_chars + replacement_chars > 0"), "odd_characters"), (chars.filter("digit_only_paragraphs > 0"), "digit_only_paragraphs"),
+        (missing_numbers(m), "missing_numbers"), (duplicate_articles(m), "duplicate_articles"), (order_violations(m), "order_violations"),
+        (notes_balance(md).filter("refs > 0 AND defs = 0"), "refs_without_def"),
+        (lines.filter("digit_only_paragraphs > 0"), "digit_only_paragraphs"), (lines.filter("very_long_paragraphs > 0"), "very_long_paragraphs"),
     ]
     out = None
     for d, name in found:

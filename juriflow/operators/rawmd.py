@@ -1,17 +1,22 @@
-"""Routed body lines to raw Markdown: notes resolved, titles merged, articles marked."""
+"""Routed body lines to raw Markdown: notes resolved, titles merged, articles marked.
+
+No title, table or paragraph decision leaves its page, so all windows but those
+over a document's notes and pages hold one page.
+"""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from juriflow.functions import patterns as P
 from juriflow.functions.text import ends_with_function_word, is_upper
 from juriflow.operators.layout import markdown_table
-from juriflow.operators.ordered import neighbours, running_last, running_sum
+from juriflow.operators.ordered import neighbours, paged_sum, running_sum
+from juriflow.session import stored
 
-_DOC = ["doc_id"]
+_DOC, _PAGE = ["doc_id"], ["doc_id", "page"]
+_NOTES = "array<struct<fid:string,text:string>>"
 
 
 def note_links(body: DataFrame, defs: DataFrame) -> DataFrame:
@@ -64,54 +69,71 @@ def resolved(body: DataFrame, links: DataFrame) -> DataFrame:
     return b.withColumn("text", F.when(F.col("text").rlike(P.PLACEHOLDER), text).otherwise(F.col("text"))).withColumn("notes", F.coalesce(notes, F.array().cast("array<struct<fid:string,text:string>>"))).drop("_f")
 
 
-def merged_titles(lines: DataFrame, start: Column, title: Column, cont: Column, structural: Column, most: int, same_page: bool = True) -> DataFrame:
-    """Adds ``head`` (the title row's ix for it and its continuations) and ``role``: head, cont or other.
+def merged_titles(lines: DataFrame, start: Column, title: Column, cont: Column, structural: Column, most: int) -> DataFrame:
+    """Adds ``role`` (head, cont or other) and, on title rows, ``more`` and ``more_notes``: text and notes of the continuation lines.
 
-    A continuation is one of the next ``most`` lines, without a break, for which
-    ``cont`` holds against the line before (columns p_*) and the title row.
+    A continuation is one of the next ``most`` lines of the page, without a
+    break, for which ``cont`` holds against the line before (columns p_*) and
+    the title row (_h).
     """
-    d = lines.withColumn("_start", F.coalesce(start, F.lit(False))).withColumn("_stop", structural)
-    d = running_last(d, _DOC, "ix", {"_h": F.when(F.col("_start"), F.struct(F.col("ix").alias("ix"), F.col("page").alias("page"), F.col("bold").alias("bold"), title.alias("title")))})
-    d = neighbours(d, _DOC, "ix", before={"p_text": F.col("text"), "p_bold": F.col("bold"), "p_ix": F.col("ix"), "p_start": F.col("_start")})
-    d = running_sum(d, _DOC, "ix", {"_rank": F.lit(1)})
-    d = running_last(d, _DOC, "ix", {"_hr": F.when(F.col("_start"), F.col("_rank"))})
-    depth = F.col("_rank") - F.col("_hr")
-    ok = ~F.col("_start") & F.col("_h").isNotNull() & ~F.col("_stop") & depth.between(1, most) & F.coalesce(cont, F.lit(False))
-    if same_page:
-        ok = ok & (F.col("page") == F.col("_h.page"))
+    w = Window.partitionBy(*_PAGE).orderBy("ix")
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    last = lambda c: F.last(F.when(F.col("_start"), c), ignorenulls=True).over(run)
+    d = lines.withColumns({"_start": F.coalesce(start, F.lit(False)), "_stop": F.coalesce(structural, F.lit(True)), "_title": title, "_rank": F.row_number().over(w)})
+    d = d.withColumns({"_h": last(F.struct("ix", "bold", F.col("_title").alias("title"), F.col("_rank").alias("rank"))), "p_text": F.lag("text").over(w), "p_start": F.lag("_start").over(w)})
+    ok = ~F.col("_start") & ~F.col("_stop") & (F.col("_rank") - F.col("_h.rank") <= most) & cont
     d = d.withColumn("_ok", F.coalesce(ok, F.lit(False)))
+    d = d.withColumn("_breaks", F.sum((~F.col("_ok") & ~F.col("_start")).cast("int")).over(run))
     # the chain holds while every line since the title row continues it
-    d = running_sum(d, _DOC, "ix", {"_breaks": (~F.col("_ok") & ~F.col("_start")).cast("int")})
-    d = running_last(d, _DOC, "ix", {"_hb": F.when(F.col("_start"), F.col("_breaks"))})
-    is_cont = F.col("_ok") & (F.col("_breaks") == F.col("_hb"))
-    d = d.withColumn("role", F.when(F.col("_start"), "head").when(is_cont, "cont").otherwise("other")).withColumn("head", F.when(F.col("role") != "other", F.col("_h.ix")))
-    return d.drop("_start", "_stop", "_h", "_ok", "_breaks", "_hb", "_hr", "_rank", "p_start", "p_ix")
+    d = d.withColumn("role", F.when(F.col("_start"), "head").when(F.col("_ok") & (F.col("_breaks") == last(F.col("_breaks"))), "cont").otherwise("other"))
+    d = d.withColumn("_head", F.when(F.col("role") != "other", F.col("_h.ix")))
+    after = F.collect_list(F.struct("_head", "role", "text", "notes")).over(w.rowsBetween(1, most))
+    d = d.withColumn("_after", F.when(F.col("role") == "head", F.filter(after, lambda x: (x["role"] == "cont") & (x["_head"] == F.col("ix")))))
+    more = F.array_join(F.transform("_after", lambda x: P.strip(x["text"])), " ")
+    return d.withColumns({"more": more, "more_lines": F.size("_after"), "more_notes": F.flatten(F.transform("_after", lambda x: x["notes"]))}).drop("_start", "_stop", "_title", "_h", "_rank", "_ok", "_breaks", "_head", "_after", "p_start", "p_text")
+
+
+def _gap() -> Column:
+    """A gap above the line that parts paragraphs."""
+    return F.coalesce(F.col("gap_before") > F.col("gap_factor") * F.col("median_leading"), F.lit(False))
 
 
-def _titles(d: DataFrame) -> DataFrame:
-    """One row per title with its continuation lines: doc_id, head, more, lines, notes."""
-    g = d.filter("role <> 'other'").groupBy("doc_id", F.col("head")).agg(F.array_sort(F.collect_list(F.when(F.col("role") == "cont", F.struct("ix", "text")))).alias("_c"), F.count(F.lit(1)).alias("lines"), F.flatten(F.array_sort(F.collect_list(F.struct("ix", "notes")))["notes"]).alias("_notes"))
-    return g.select("doc_id", "head", F.array_join(F.transform("_c", lambda x: P.strip(x["text"])), " ").alias("more"), "lines", "_notes")
+def _all_notes() -> Column:
+    return F.concat("notes", F.coalesce("more_notes", F.array().cast(_NOTES)))
 
 
-def _gap(d: DataFrame, stats: DataFrame, factor: float) -> DataFrame:
-    return d.join(stats.select("doc_id", "median_leading"), "doc_id", "left").withColumn("gap", F.coalesce(F.col("gap_before") > factor * F.col("median_leading"), F.lit(False)))
+def empty_pages(pages: DataFrame, rows: DataFrame) -> DataFrame:
+    """Rows without text for pages (doc_id, page) that have none, so that their marks are put out."""
+    bare = pages.select(*_PAGE).join(rows.select(*_PAGE).distinct(), _PAGE, "left_anti")
+    return bare.select(*_PAGE, F.lit(0).cast("bigint").alias("ix"), F.array().cast("array<string>").alias("out"), F.array().cast(_NOTES).alias("notes"), F.lit(False).alias("flush"), F.lit(None).cast("int").alias("lines"))
 
 
-def _emit(rows: DataFrame) -> DataFrame:
-    """Raw lines (doc_id, seq, text) of rows with ``out``; notes follow the text of the unit that cites them, page marks their page's first line."""
-    first = F.row_number().over(Window.partitionBy("doc_id", "page").orderBy("ix")) == 1
-    d = rows.withColumn("_pg", first)
-    out = F.concat(F.when(F.col("_pg"), F.array(F.concat(F.lit("<!--pg:"), F.col("page").cast("string"), F.lit("-->")))).otherwise(F.array().cast("array<string>")), "out")
+def emit(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Raw lines (doc_id, seq, text) of rows (doc_id, page, ix, out, notes, flush, lines), and the titles among them (doc_id, page, title, lines).
+
+    Notes follow the text of the unit that cites them, page marks precede their page's first line.
+    """
+    first = F.row_number().over(Window.partitionBy(*_PAGE).orderBy("ix")) == 1
+    out = F.concat(F.when(first, F.array(F.concat(F.lit("<!--pg:"), F.col("page").cast("string"), F.lit("-->")))).otherwise(F.array().cast("array<string>")), "out")
+    d = stored(paged_sum(rows.withColumn("out", out), "ix", {"_unit": F.col("flush").cast("int")}))
     # notes go before the next line that opens a unit, so to the end of the unit that cites them
-    # read for the lines and twice for the notes; lost parts are computed again
-    d = running_sum(d.withColumn("out", out), _DOC, "ix", {"_unit": F.col("flush").cast("int")}).persist(StorageLevel.MEMORY_AND_DISK)
-    cited = d.filter(F.size("notes") > 0).groupBy("doc_id", "_unit").agg(F.flatten(F.array_sort(F.collect_list(F.struct("ix", "notes")))["notes"]).alias("_n"))
-    last = d.groupBy("doc_id", "_unit").agg(F.max("ix").alias("ix"))
-    defs = cited.join(last, ["doc_id", "_unit"]).select("doc_id", (F.col("ix") * 2 + 1).alias("at"), F.concat(F.array(F.lit("")), F.transform("_n", lambda x: F.concat(F.lit("[^"), x["fid"], F.lit("]: "), x["text"])), F.array(F.lit(""))).alias("out"))
-    alls = d.select("doc_id", (F.col("ix") * 2).alias("at"), "out").unionByName(defs)
-    n = running_sum(alls.withColumn("_n", F.size("out")), _DOC, "at", {"_end": F.col("_n")})
-    return n.select("doc_id", "_end", "_n", F.posexplode("out").alias("_i", "text")).select("doc_id", (F.col("_end") - F.col("_n") + F.col("_i")).cast("bigint").alias("seq"), "text")
+    cited = d.filter(F.size("notes") > 0).groupBy("doc_id", "_unit").agg(F.flatten(F.array_sort(F.collect_list(F.struct("page", "ix", "notes")))["notes"]).alias("_n"))
+    last = d.groupBy("doc_id", "_unit").agg(F.max(F.struct("page", "ix")).alias("_l"))
+    defs = cited.join(last, ["doc_id", "_unit"]).select("doc_id", "_l.page", "_l.ix", F.lit(1).alias("_after"), F.concat(F.array(F.lit("")), F.transform("_n", lambda x: F.concat(F.lit("[^"), x["fid"], F.lit("]: "), x["text"])), F.array(F.lit(""))).alias("out"))
+    both = d.select("doc_id", "page", "ix", F.lit(0).alias("_after"), "out").unionByName(defs)
+    n = paged_sum(both, ["ix", "_after"], {"_end": F.size("out")})
+    raw = n.select("doc_id", (F.col("_end") - F.size("out")).alias("_from"), F.posexplode("out").alias("_i", "text")).select("doc_id", (F.col("_from") + F.col("_i")).cast("bigint").alias("seq"), "text")
+    title = F.get(F.filter("out", lambda x: x.startswith("#")), F.lit(0))
+    return raw, d.filter("lines IS NOT NULL").select("doc_id", "page", F.regexp_replace(title, "^#+ ", "").alias("title"), "lines")
+
+
+def line_features(body: DataFrame) -> DataFrame:
+    """Resolved body lines with what the code builder asks of each: heading, article, structural, sub.  Written once, so that no pattern is matched again."""
+    t = P.strip_notes(F.col("text"))
+    d = body.withColumn("_t", t)
+    d = d.withColumns({"heading": P.heading(F.col("_t")), "article": P.article_start(F.col("_t")), "sub": F.col("_t").rlike(P.SUBHEADING), "_item": F.col("_t").rlike(P.LIST_START) | F.col("_t").rlike(P.RULING_START)})
+    d = d.withColumn("opens", F.col("heading").isNotNull() | F.col("article").isNotNull() | F.col("sub"))
+    return d.withColumn("structural", F.col("opens") | F.col("_item")).drop("_t", "_item")
 
 
 def code_lines(body: DataFrame) -> DataFrame:
@@ -122,27 +144,18 @@ def code_lines(body: DataFrame) -> DataFrame:
     function word, or both are capitals, or both are bold; and the line before
     does not close a sentence.
     """
-    t = P.strip_notes(F.col("text"))
-    # kept, so that the patterns are matched once and not in every place that names their parts
-    d = body.select("*", P.heading(t).alias("heading"), P.article_start(t).alias("article"), P.is_structural(F.col("text")).alias("structural")).persist(StorageLevel.MEMORY_AND_DISK)
-    cont = ((F.col("_h.title") == "") & (F.col("_depth1"))) | F.col("text").rlike(r"^\p{Ll}") | ends_with_function_word(F.col("p_text")) | (is_upper(F.col("p_text")) & is_upper(F.col("text"))) | (F.col("_h.bold") & F.col("bold"))
+    d = stored(line_features(body))
+    cont = ((F.col("_h.title") == "") & F.col("p_start")) | F.col("text").rlike(r"^\p{Ll}") | ends_with_function_word(F.col("p_text")) | (is_upper(F.col("p_text")) & is_upper(F.col("text"))) | (F.col("_h.bold") & F.col("bold"))
     cont = cont & ~F.col("p_text").rlike(r"(?U)[.;:!?]\s*$")
-    d = neighbours(d, _DOC, "ix", before={"_ps": F.col("heading").isNotNull()}).withColumn("_depth1", F.coalesce("_ps", F.lit(False))).drop("_ps")
-    d = merged_titles(d, F.col("heading").isNotNull(), F.col("heading.title"), cont, F.col("structural"), 5).drop("_depth1", "structural")
-    stripped = t
-    d = neighbours(d, _DOC, "ix", after={"n_text": F.col("text"), "n_page": F.col("page")})
-    n = P.strip_notes(F.col("n_text"))
-    opens = n.rlike(P.ARTICLE_START) | n.rlike(P.SUBHEADING) | P.heading(n).isNotNull()
-    sub = stripped.rlike(P.SUBHEADING) & ~stripped.rlike("[;.,]$") & (F.col("n_page") == F.col("page")) & opens & F.col("heading").isNull() & F.col("article").isNull()
-    return d.withColumn("sub", F.coalesce(sub, F.lit(False)) & (F.col("role") == "other")).drop("n_text", "n_page", "p_text", "p_bold")
-
-
-def build_code(body: DataFrame, stats: DataFrame, factor: float = 1.6) -> DataFrame:
-    """Raw Markdown lines of codes: headings, article marks, bold subheadings, gaps; ``body`` is ``resolved``."""
-    d = code_lines(body)
-    d = d.join(_titles(d), ["doc_id", "head"], "left")
-    d = _gap(d.filter("role <> 'cont'"), stats, factor)
-    t = P.strip_notes(F.col("text"))
+    d = merged_titles(d, F.col("heading").isNotNull(), F.col("heading.title"), cont, F.col("structural"), 5)
+    before_opening = F.lead("opens").over(Window.partitionBy(*_PAGE).orderBy("ix"))
+    sub = F.col("sub") & ~P.strip_notes(F.col("text")).rlike("[;.,]$") & before_opening & F.col("heading").isNull() & F.col("article").isNull() & (F.col("role") == "other")
+    return d.withColumn("sub", F.coalesce(sub, F.lit(False)))
+
+
+def build_code(body: DataFrame) -> DataFrame:
+    """Rows (see ``emit``) of codes: headings, article marks, bold subheadings, gaps; ``body`` is ``resolved``."""
+    d = code_lines(body).filter("role <> 'cont'")
     h = F.col("heading")
     title = P.strip(F.concat_ws(" ", F.nullif(h["title"], F.lit("")), F.nullif("more", F.lit(""))))
     head = F.concat(F.repeat(F.lit("#"), h["level"]), F.lit(" "), P.heading_label(h["kind"], h["num"]), F.when(title != "", F.concat(F.lit(" : "), title)).otherwise(""))
@@ -151,59 +164,85 @@ def build_code(body: DataFrame, stats: DataFrame, factor: float = 1.6) -> DataFr
     blank = F.lit("")
     out = (
         F.when(F.col("role") == "head", F.array(blank, head, blank)).when(F.col("article").isNotNull(), F.array(blank, F.concat(F.lit("<!--art:"), F.col("article.id"), F.lit("-->")), art))
-        .when(F.col("sub"), F.array(blank, F.concat(F.lit("**"), t, F.lit("**")), blank)).when(F.col("gap"), F.array(blank, F.col("text"))).otherwise(F.array(F.col("text")))
+        .when(F.col("sub"), F.array(blank, F.concat(F.lit("**"), P.strip_notes(F.col("text")), F.lit("**")), blank)).when(_gap(), F.array(blank, F.col("text"))).otherwise(F.array(F.col("text")))
     )
-    rows = d.withColumn("out", out).withColumn("flush", (F.col("role") == "head") | F.col("article").isNotNull())
-    return _emit(rows.withColumn("notes", F.when(F.col("role") == "head", F.coalesce("_notes", "notes")).otherwise(F.col("notes"))).select("doc_id", "page", "ix", "out", "notes", "flush"))
+    return d.select(*_PAGE, "ix", out.alias("out"), _all_notes().alias("notes"), ((F.col("role") == "head") | F.col("article").isNotNull()).alias("flush"), F.when(F.col("role") == "head", F.col("more_lines") + 1).alias("lines"))
 
 
-def build_rulings(body: DataFrame, stats: DataFrame, factor: float = 1.6) -> DataFrame:
-    """Raw Markdown lines of rulings: the first line in capitals as title, ``R<n>`` titles over up to two more lines."""
+def build_rulings(body: DataFrame) -> DataFrame:
+    """Rows (see ``emit``) of rulings: the first line in capitals as title, ``R<n>`` titles over up to two more lines."""
     full = F.length("p_text") >= 0.9 * F.col("p95_len")
     cont = (F.col("_h.bold") & F.col("bold")) | (full & F.col("text").rlike(r"^\p{Ll}")) | (full & ends_with_function_word(F.col("p_text")))
-    b = body.join(stats.select("doc_id", "p95_len"), "doc_id", "left")
     start = F.col("text").rlike(P.RULING_START)
-    d = merged_titles(b, start, F.regexp_extract("text", P.RULING_START, 2), cont, start, 2)
-    d = d.join(_titles(d), ["doc_id", "head"], "left")
-    d = running_sum(d, _DOC, "ix", {"_caps": (~F.col("text").rlike(P.RULING_START) & is_upper(F.col("text")) & (F.col("role") == "other")).cast("int")})
-    top = (F.col("_caps") == 1) & is_upper(F.col("text")) & (F.col("role") == "other")
-    d = _gap(d.filter("role <> 'cont'"), stats, factor)
+    d = merged_titles(body, start, F.regexp_extract("text", P.RULING_START, 2), cont, start, 2).filter("role <> 'cont'")
+    caps = F.when((F.col("role") == "other") & is_upper(F.col("text")), F.struct("page", "ix"))
+    first = d.groupBy("doc_id").agg(F.min(caps).alias("_top"))
+    # one row for each document with a title, which is a small part of its lines
+    top = F.coalesce(F.struct("page", "ix") == F.col("_top"), F.lit(False))
+    d = d.join(first, "doc_id", "left").withColumn("_is_top", top)
     title = P.strip(F.concat_ws(" ", P.strip(F.regexp_extract("text", P.RULING_START, 2)), F.nullif("more", F.lit(""))))
     head = F.concat(F.lit("## R"), F.regexp_extract("text", P.RULING_START, 1), F.lit(" : "), title)
     blank = F.lit("")
-    out = F.when(F.col("role") == "head", F.array(blank, head, blank)).when(top, F.array(F.concat(F.lit("# "), F.col("text")), blank)).when(F.col("gap"), F.array(blank, F.col("text"))).otherwise(F.array(F.col("text")))
-    return _emit(d.withColumn("out", out).withColumn("flush", F.col("role") == "head").withColumn("notes", F.coalesce("_notes", "notes")).select("doc_id", "page", "ix", "out", "notes", "flush"))
+    out = F.when(F.col("role") == "head", F.array(blank, head, blank)).when(F.col("_is_top"), F.array(F.concat(F.lit("# "), F.col("text")), blank)).when(_gap(), F.array(blank, F.col("text"))).otherwise(F.array(F.col("text")))
+    return d.select(*_PAGE, "ix", out.alias("out"), _all_notes().alias("notes"), (F.col("role") == "head").alias("flush"), F.when(F.col("role") == "head", F.col("more_lines") + 1).alias("lines"))
 
 
-def size_levels(body: DataFrame, stats: DataFrame) -> DataFrame:
+def size_levels(body: DataFrame) -> DataFrame:
     """doc_id, s, level: distinct sizes of at least 1.15 of the body's, largest first, at most level 4."""
-    big = body.join(stats.select("doc_id", "body_size"), "doc_id").filter(F.col("size") >= 1.15 * F.col("body_size")).select("doc_id", F.round("size", 1).alias("s")).distinct()
+    big = body.filter(F.col("size") >= 1.15 * F.col("body_size")).select("doc_id", F.bround("size", 1).alias("s")).distinct()
     return big.withColumn("level", F.least(F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc("s"))), F.lit(4)))
 
 
-def build_generic(body: DataFrame, stats: DataFrame, tables: DataFrame | None = None, factor: float = 1.6) -> DataFrame:
-    """Raw Markdown lines of narrative documents: titles by font size, bold subheadings, tables in place; notes stay with the unit that cites them."""
-    b = body.join(stats.select("doc_id", "body_size"), "doc_id", "left").withColumn("s", F.round("size", 1)).join(size_levels(body, stats), ["doc_id", "s"], "left")
+def generic_lines(body: DataFrame, tables: DataFrame | None = None) -> DataFrame:
+    """Lines and tables of narrative documents in order, with role (head, cont, sub, table or text), level, and a title's ``more`` and ``more_notes``.
+
+    Tables stand among the lines of their page by their upper edge; a title
+    goes on over lines of its size and weight that follow it without a table
+    between.
+    """
+    b = body.withColumn("s", F.bround("size", 1)).join(size_levels(body), ["doc_id", "s"], "left").withColumn("rows", F.lit(None).cast("array<array<string>>"))
+    cols = [*_PAGE, "ix", "y0", "text", "notes", "size", "s", "bold", "level", "body_size", "gap_before", "gap_factor", "median_leading", "rows"]
+    b = b.select(*cols)
+    if tables is not None:
+        none = {c: F.lit(None).cast(b.schema[c].dataType) for c in cols}
+        t = tables.select(*[F.col(c) if c in (*_PAGE, "y0", "rows") else none[c].alias(c) for c in cols])
+        b = b.unionByName(t)
+    w = Window.partitionBy(*_PAGE).orderBy("y0", F.col("ix").asc_nulls_last()) if tables is not None else Window.partitionBy(*_PAGE).orderBy("ix")
+    b = b.withColumn("ix", F.row_number().over(w).cast("bigint"))
+    w = Window.partitionBy(*_PAGE).orderBy("ix")
     head = F.col("level").isNotNull() & (F.length("text") <= 140) & ~F.col("text").endswith(".")
     b = b.withColumn("_head", F.coalesce(head, F.lit(False)))
-    b = neighbours(b, _DOC, "ix", before={"_ph": F.struct(F.col("_head").alias("h"), F.col("s").alias("s"), F.coalesce("bold", F.lit(False)).alias("b"), F.col("page").alias("p"))})
-    cont = F.col("_head") & F.coalesce(F.col("_ph.h") & (F.col("_ph.s") == F.col("s")) & (F.col("_ph.b") == F.coalesce("bold", F.lit(False))) & (F.col("_ph.p") == F.col("page")), F.lit(False))
-    b = running_last(b.withColumn("_cont", cont), _DOC, "ix", {"head": F.when(F.col("_head") & ~F.col("_cont"), F.col("ix"))})
-    b = b.withColumn("role", F.when(F.col("_cont"), "cont").when(F.col("_head"), "head").otherwise("other")).withColumn("head", F.when(F.col("role") != "other", F.col("head")))
-    d = _gap(b.join(_titles(b), ["doc_id", "head"], "left").filter("role <> 'cont'"), stats, factor)
+    here = F.struct("_head", "s", F.coalesce("bold", F.lit(False)).alias("b"))
+    cont = F.col("_head") & F.coalesce(F.lag(here).over(w) == here, F.lit(False))
+    b = b.withColumn("_cont", cont)
     sub = F.col("bold") & (F.length("text") <= 100) & ~F.col("text").rlike("[.;,]$") & (F.col("size") >= F.col("body_size") - 0.5) & F.col("level").isNull()
-    sub = F.coalesce(sub, F.lit(False))
+    role = F.when(F.col("rows").isNotNull(), "table").when(F.col("_cont"), "cont").when(F.col("_head"), "head").when(F.coalesce(sub, F.lit(False)), "sub").otherwise("text")
+    b = b.withColumn("role", role).withColumn("_t", F.when(F.col("_head"), F.last(F.when(F.col("role") == "head", F.col("ix")), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))))
+    more = Window.partitionBy(*_PAGE, "_t").orderBy("ix").rowsBetween(1, Window.unboundedFollowing)
+    rest = F.when(F.col("role") == "head", F.collect_list(F.when(F.col("role") == "cont", F.struct("text", "notes"))).over(more))
+    return b.withColumn("_m", rest).withColumns({"more": F.array_join(F.transform("_m", lambda x: x["text"]), " "), "more_lines": F.size("_m"), "more_notes": F.flatten(F.transform("_m", lambda x: x["notes"]))}).drop("_m", "_t", "_head", "_cont")
+
+
+def build_generic(body: DataFrame, tables: DataFrame | None = None, orphans: DataFrame | None = None) -> DataFrame:
+    """Rows (see ``emit``) of narrative documents: titles by font size, bold subheadings, tables in place.
+
+    Notes stay with the unit that cites them; ``orphans``, notes that none
+    cites, are lines of their own at the end of their page.
+    """
+    d = generic_lines(body, tables).filter("role <> 'cont'")
     title = F.concat(F.repeat(F.lit("#"), F.col("level")), F.lit(" "), F.concat_ws(" ", "text", F.nullif("more", F.lit(""))))
-    blank = F.lit("")
-    out = F.when(F.col("role") == "head", F.array(blank, title, blank)).when(sub, F.array(blank, F.concat(F.lit("**"), F.col("text"), F.lit("**")), blank)).when(F.col("gap"), F.array(blank, F.col("text"))).otherwise(F.array(F.col("text")))
-    rows = d.withColumn("out", out).withColumn("flush", (F.col("role") == "head") | sub).withColumn("notes", F.coalesce("_notes", "notes")).select("doc_id", "page", "ix", "y0", "out", "notes", "flush")
-    if tables is not None:
-        # tables go among the lines of their page by their upper edge
-        t = tables.select("doc_id", "page", F.lit(None).cast("bigint").alias("ix"), "y0", F.concat(F.array(blank), markdown_table(F.col("rows")), F.array(blank)).alias("out"), F.array().cast("array<struct<fid:string,text:string>>").alias("notes"), F.lit(False).alias("flush"))
-        w = Window.partitionBy("doc_id", "page").orderBy("y0", F.col("ix").asc_nulls_last())
-        both = rows.unionByName(t).withColumn("_in", F.row_number().over(w))
-        rows = both.withColumn("ix", F.col("page").cast("bigint") * 100_000 + F.col("_in")).drop("_in")
-    return _emit(rows.drop("y0"))
+    blank, role = F.lit(""), F.col("role")
+    out = (
+        F.when(role == "table", F.concat(F.array(blank), markdown_table(F.col("rows")), F.array(blank))).when(role == "head", F.array(blank, title, blank))
+        .when(role == "sub", F.array(blank, F.concat(F.lit("**"), F.col("text"), F.lit("**")), blank)).when(_gap(), F.array(blank, F.col("text"))).otherwise(F.array(F.col("text")))
+    )
+    rows = d.select(*_PAGE, "ix", out.alias("out"), F.coalesce(_all_notes(), F.array().cast(_NOTES)).alias("notes"), role.isin("head", "sub").alias("flush"), F.when(F.col("role") == "head", F.col("more_lines") + 1).alias("lines"))
+    if orphans is not None:
+        note = F.struct("num", F.concat(F.lit("> note "), F.col("num").cast("string"), F.lit(" : "), "text").alias("t"))
+        per = orphans.groupBy(*_PAGE).agg(F.array_sort(F.collect_list(note))["t"].alias("out"))
+        last = F.lit(2**40).cast("bigint")
+        rows = rows.unionByName(per.select(*_PAGE, last.alias("ix"), "out", F.array().cast(_NOTES).alias("notes"), F.lit(False).alias("flush"), F.lit(None).cast("int").alias("lines")))
+    return rows
 
 
 def article_order(body: DataFrame) -> DataFrame:

@@ -5,13 +5,13 @@ Input and output are ordered relations ``(doc_id, seq, text)``.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from juriflow.functions import patterns as P
 from juriflow.functions import text as T
 from juriflow.operators.ordered import neighbours, running_last, running_sum
+from juriflow.session import stored
 
 #: The header of a bracket table.
 TABLE_HEAD = ["| Tranche (FCFA) | Taux |", "| --- | --- |"]
@@ -70,7 +70,7 @@ def paragraph_bounds(lines: DataFrame, p95: DataFrame) -> DataFrame:
 
 
 def blocks(lines: DataFrame, p95: DataFrame) -> DataFrame:
-    """Blocks in order: doc_id, seq (of the first line), kind, text lines ``out``.
+    """Blocks in order: doc_id, seq (of the first line), kind, text lines ``out`` and ``joined``, the text before its corrections.
 
     Page marks inside a paragraph stay in its text; other marks are blocks of
     their own before the next block.  Lone punctuation is attached to the open
@@ -80,7 +80,7 @@ def blocks(lines: DataFrame, p95: DataFrame) -> DataFrame:
     d = running_last(d, ["doc_id"], "seq", {"_b": F.when(F.col("block").isNotNull(), F.struct("block", "kind"))})
     # the next line that is in a block decides whether a mark lies inside a paragraph
     after = Window.partitionBy("doc_id").orderBy("seq").rowsBetween(0, Window.unboundedFollowing)
-    d = d.withColumn("_n", F.first("block", ignorenulls=True).over(after)).persist(StorageLevel.MEMORY_AND_DISK)
+    d = stored(d.withColumn("_n", F.first("block", ignorenulls=True).over(after)))
     inside = (F.col("kind") == "pg") & (F.col("_b.block") == F.col("_n")) & (F.col("_b.kind") == "text")
     punct = (F.col("kind") == "punct") & (F.col("_b.kind") == "text")
     d = d.withColumn("_g", F.when(F.col("block").isNotNull(), F.col("block")).when(F.coalesce(inside | punct, F.lit(False)), F.col("_b.block")))
@@ -98,9 +98,10 @@ def blocks(lines: DataFrame, p95: DataFrame) -> DataFrame:
     plain = F.transform("_items", lambda x: F.struct(x["kind"].alias("kind"), x["text"].alias("text")))
     items = F.when(F.exists("_items", lambda x: x["kind"] == "punct"), F.aggregate("_items", none, attach)).otherwise(plain)
     table = F.concat(F.array(*map(F.lit, TABLE_HEAD)), F.transform("_items", lambda x: bracket_line(x["text"])))
-    fixed = F.when(one.startswith("#"), T.fix_text(one)).otherwise(one)
-    out = F.when(F.col("kind") == "bracket", table).when(F.col("kind") == "text", F.array(T.fix_text(T.join_items(items)))).otherwise(F.array(fixed))
-    return g.select("doc_id", "seq", "kind", out.alias("out")).unionByName(marks)
+    # the text before the last corrections, NULL where none are made
+    g = g.withColumn("joined", F.when(F.col("kind") == "text", T.join_items(items)).when(one.startswith("#"), one))
+    out = F.when(F.col("kind") == "bracket", table).when(F.col("joined").isNotNull(), F.array(T.fix_text(F.col("joined")))).otherwise(F.array(one))
+    return g.select("doc_id", "seq", "kind", "joined", out.alias("out")).unionByName(marks.withColumn("joined", F.lit(None).cast("string")))
 
 
 def bracket_line(row: Column) -> Column:
@@ -128,8 +129,8 @@ def reflow(md_lines: DataFrame, p95: DataFrame | None = None) -> DataFrame:
     ``p95``: doc_id, p95; computed where it is not given.
     """
     rows = md_lines.select("doc_id", F.col("seq").cast("bigint").alias("seq"), T.normalize_chars(F.coalesce("text", F.lit(""))).alias("text")).dropDuplicates(["doc_id", "seq"])
-    # blocks are read for their lines and for their places; lost parts are computed again
-    return spaced(blocks(rows, p95 if p95 is not None else line_length_p95(rows)).persist(StorageLevel.MEMORY_AND_DISK))
+    # blocks are read for their lines and for their places
+    return spaced(stored(blocks(rows, p95 if p95 is not None else line_length_p95(rows)).drop("joined")))
 
 
 def passthrough(md_lines: DataFrame) -> DataFrame:
@@ -150,15 +151,42 @@ def clean(md_lines: DataFrame, documents_meta: DataFrame) -> DataFrame:
     return reflow(flowing, known).unionByName(passthrough(d.filter("_sm").select("doc_id", F.col("seq").cast("bigint").alias("seq"), "text")))
 
 
-def clean_events(md_lines: DataFrame) -> DataFrame:
-    """What cleaning does, per document: doc_id, seq, key, sample."""
-    t = F.coalesce("text", F.lit(""))
-    c = classified(md_lines.select("doc_id", "seq", T.normalize_chars(t).alias("text")))
-    event = lambda when, key, sample: F.when(when, F.struct(F.lit(key).alias("key"), sample.alias("sample")))
+def hyphens(md_lines: DataFrame, p95: DataFrame) -> DataFrame:
+    """Every word broken at a line's end inside of a paragraph: doc_id, seq (of the next line), how ('kept' or 'joined'), text."""
+    rows = paragraph_bounds(normalized(md_lines), p95).filter("block IS NOT NULL AND kind = 'text'")
+    rows = neighbours(rows, ["doc_id"], "seq", before={"_pl": F.col("line"), "_pb": F.col("block")}).filter((F.col("_pb") == F.col("block")) & F.col("_pl").rlike(r"[\p{L}\p{N}]-$"))
+    word, first = F.regexp_extract("_pl", r"(?U)([\w']+)-$", 1), F.split("line", " ")[0]
+    return rows.select("doc_id", "seq", T.hyphen_decision(F.col("_pl"), F.col("line")).alias("how"), F.concat(F.lower(word), F.lit("-|"), first).alias("text"))
+
+
+def normalized(md_lines: DataFrame) -> DataFrame:
+    """doc_id, seq and the normalised text; repeated rows of one place count once."""
+    return md_lines.select("doc_id", F.col("seq").cast("bigint").alias("seq"), T.normalize_chars(F.coalesce("text", F.lit(""))).alias("text")).dropDuplicates(["doc_id", "seq"])
+
+
+def clean_events(md_lines: DataFrame, p95: DataFrame | None = None) -> DataFrame:
+    """What cleaning does, per document: doc_id, seq, key, n, sample.
+
+    Keys: ligature_fixed, replacement_char, lone_punct_attached,
+    bullet_normalized (by line); hyphen_kept, hyphen_joined (by broken word);
+    glued_compound_fixed, ordinal_fixed, spacing_fixed (by paragraph or title);
+    bareme_table_built (by table).
+    """
+    raw = md_lines.select("doc_id", F.col("seq").cast("bigint").alias("seq"), F.coalesce("text", F.lit("")).alias("raw")).dropDuplicates(["doc_id", "seq"])
+    rows = normalized(md_lines)
+    p95 = p95 if p95 is not None else line_length_p95(rows)
+    event = lambda n, key, sample: F.when(n > 0, F.struct(F.lit(key).alias("key"), n.cast("bigint").alias("n"), sample.alias("sample")))
+    none, one = F.lit(None).cast("string"), lambda c: c.cast("int")
+    kinds = sum((one(F.col("raw").contains(k)) for k in T.LIGATURES), F.lit(0))
+    c = classified(rows).join(raw.filter(kinds > 0).select("doc_id", "seq", kinds.alias("_lig")), ["doc_id", "seq"], "left")
     s = P.strip(F.col("text"))
-    found = F.array_compact(F.array(
-        event(F.col("text").contains("�"), "replacement_char", F.substring("text", 1, 80)),
-        event(F.col("kind") == "punct", "lone_punct_attached", s),
-        event((F.col("kind") == "text") & F.col("line").startswith("- ") & ~s.startswith("-"), "bullet_normalized", F.substring(s, 1, 40)),
-    ))
-    return c.select("doc_id", "seq", F.inline(found))
+    lines = c.select("doc_id", "seq", F.inline(F.array_compact(F.array(
+        event(F.coalesce("_lig", F.lit(0)), "ligature_fixed", none), event(one(F.col("text").contains("\ufffd")), "replacement_char", F.substring("text", 1, 80)),
+        event(one(F.col("kind") == "punct"), "lone_punct_attached", s), event(one((F.col("kind") == "text") & F.col("line").startswith("- ") & ~s.startswith("-")), "bullet_normalized", F.substring(s, 1, 40)),
+    ))))
+    broken = hyphens(md_lines, p95).select("doc_id", "seq", F.concat(F.lit("hyphen_"), "how").alias("key"), F.lit(1).cast("bigint").alias("n"), F.col("text").alias("sample"))
+    b = blocks(rows, p95)
+    counts = T.fix_counts(F.col("joined"))
+    fixes = b.filter("joined IS NOT NULL").select("doc_id", "seq", F.explode(counts).alias("key", "_n")).filter("_n > 0").select("doc_id", "seq", "key", F.col("_n").cast("bigint").alias("n"), none.alias("sample"))
+    tables = b.filter("kind = 'bracket'").select("doc_id", "seq", F.lit("bareme_table_built").alias("key"), F.lit(1).cast("bigint").alias("n"), F.concat((F.size("out") - 2).cast("string"), F.lit(" lignes")).alias("sample"))
+    return lines.unionByName(broken).unionByName(fixes).unionByName(tables)

@@ -11,23 +11,58 @@ from juriflow.functions import text as T
 from juriflow.operators import chunks, inspect, layout, ocr, pack, qa, rawmd, reflow, units
 from juriflow.operators.ordered import neighbours, running_last
 from juriflow.plans import pipeline
-from juriflow.session import table
+from juriflow.session import stored, table
+from juriflow.sources import sinks
+
+
+#: The text and the height of a derived line, alike in Spark and in SQL.
+_DERIVED = """CASE WHEN doc_id % 11 = 0 AND seq % 10 > 1 THEN concat(substring(line, 1, 20), ' ..... ', cast(seq AS {S}))
+ WHEN seq % 10 = 0 THEN concat('R', cast((seq {div} 10) % 90 + 1 + CASE WHEN seq % 70 = 0 THEN 2 ELSE 0 END AS {S}), ' : ', substring(line, 1, 40))
+ WHEN seq % 10 = 1 THEN concat('Art. ', cast((doc_id + seq {div} 10 * 7) % 45 + 1 AS {S}), ' : ', substring(line, 1, 40), CASE WHEN (seq {div} 10) % 5 < 3 THEN concat('{{{{fn:', cast(seq {div} 10 + 1 + CASE WHEN (seq {div} 10) % 5 = 2 THEN 1 ELSE 0 END AS {S}), '}}}}') ELSE '' END)
+ WHEN seq % 10 = 3 THEN concat(cast(seq % 7 + 1 AS {S}), 'Toutefois ', substring(line, 1, 30))
+ WHEN seq % 10 = 8 THEN concat('{{{{fn:', cast(seq {div} 10 + 1 AS {S}), '}}}} Loi N°20', cast(10 + doc_id % 15 AS {S}), '-0', cast(10 + seq % 80 AS {S}), ' du 27 décembre 2020')
+ WHEN seq % 10 = 9 THEN cast(seq {div} 10 + 101 AS {S}) ELSE line END"""
+#: What a noisy line holds, alike in Spark and in SQL.
+_NOISY = """CASE seq % 12 WHEN 1 THEN concat('• ', line) WHEN 2 THEN concat('de ', cast(seq * 100 AS {S}), ' A ', cast(seq * 100 + 99 AS {S}), ' ', cast(seq % 30 AS {S}), '%')
+ WHEN 3 THEN ':' WHEN 4 THEN concat('<!--pg:', cast(seq {div} 12 + 1 AS {S}), '-->') WHEN 5 THEN concat(line, ' le 1 er janvier ( x ) , ci') WHEN 6 THEN concat('la ﬁn de ', line, ' exemp-')
+ WHEN 7 THEN concat('tions et ', line, ' ci-') WHEN 8 THEN concat('dessus eux mêmes euxmêmes cidessous ', line) WHEN 9 THEN concat('| ', line, ' | 1 |') ELSE line END"""
+_DERIVED_Y = "CASE WHEN seq % 10 = 8 THEN 700 WHEN seq % 10 = 9 THEN 805 ELSE 90 + 60 * (seq % 10) END * CAST(1 AS DOUBLE)"
 
 
 def _lines(spark, d):
     return layout.as_lines(table(spark, d, "doc_lines"))
 
 
-def _stats(spark, d):
-    lines = _lines(spark, d)
+def _stats(spark, d, source=None):
+    lines = (source or _lines)(spark, d)
     return lines, layout.doc_stats(lines, layout.settings(lines))
 
 
+def _derived_lines(spark, d):
+    """Pages of ten lines made of every line of ``documents.text``: rulings, articles whose numbers start again, leader dots, glued and small note markers, notes and page numbers."""
+    t = table(spark, d, "documents").filter("doc_id IS NOT NULL").select("doc_id", F.posexplode(F.split("text", "\n")).alias("seq", "line")).filter("trim(line) <> ''")
+    return t.selectExpr(
+        "concat('d:', cast(doc_id AS string)) AS doc_id", "cast(seq div 10 + 1 AS int) AS page", "cast(seq AS bigint) AS ix", f"{_DERIVED.format(S='string', div='div')} AS text",
+        "60.0D AS x0", f"{_DERIVED_Y} AS y0", "260.0D AS x1", f"{_DERIVED_Y} + 10.0D AS y1", "CASE WHEN seq % 10 = 8 THEN 8.0D ELSE 11.0D END AS size", "seq % 10 = 1 AS bold",
+        "CASE WHEN seq % 10 = 6 THEN 30.0D ELSE 14.0D END AS gap_before", "842.0D AS page_h",
+    )
+
+
+def _all_lines(spark, d):
+    """``doc_lines`` and the derived pages."""
+    return _lines(spark, d).unionByName(_derived_lines(spark, d))
+
+
 def _text_lines(spark, d):
     """Every line of ``documents.text``: doc_id, seq, text."""
     return table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("seq", "text")).withColumn("seq", F.col("seq").cast("bigint"))
 
 
+def _noisy_lines(spark, d):
+    """The lines of ``documents.text`` with bullets, brackets, marks, glued words, ligatures and broken words put in by place."""
+    return _text_lines(spark, d).withColumnRenamed("text", "line").selectExpr("doc_id", "seq", f"{_NOISY.format(S='string', div='div')} AS text")
+
+
 def _documents(spark, d):
     """``documents`` as metadata of one-page documents."""
     c = table(spark, d, "documents").filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
@@ -87,7 +122,7 @@ def line_flags(spark, d):
 
 
 def glued_markers(spark, d):
-    return _lines(spark, d).filter(F.col("text").rlike(P.GLUED_MARKER)).select("doc_id", F.col("ix").alias("seq"), F.regexp_extract("text", P.GLUED_MARKER, 1).alias("marker"))
+    return _all_lines(spark, d).filter(F.col("text").rlike(P.GLUED_MARKER)).select("doc_id", F.col("ix").alias("seq"), F.regexp_extract("text", P.GLUED_MARKER, 1).alias("marker"))
 
 
 def bracket_rows(spark, d):
@@ -126,7 +161,7 @@ def plain_text(spark, d):
 
 
 def hyphen_decisions(spark, d):
-    t = neighbours(_lines(spark, d).filter(F.col("page_h") > 0), ["doc_id"], "ix", after={"next": F.col("text")}).filter(F.col("text").rlike(r"[\p{L}\p{N}]-$") & F.col("next").isNotNull())
+    t = neighbours(_lines(spark, d), ["doc_id"], "ix", after={"next": F.col("text")}).filter(F.col("text").rlike(r"[\p{L}\p{N}]-$") & F.col("next").isNotNull())
     return t.select("doc_id", F.col("ix").alias("seq"), T.hyphen_decision(F.col("text"), F.col("next")).alias("how"), T.join_pair(F.col("text"), F.col("next")).alias("joined"))
 
 
@@ -173,9 +208,59 @@ def marks_and_characters(spark, d):
     return qa.marks_and_characters(_md(spark, d))
 
 
+def _typed_documents(spark, d):
+    """The born-digital documents of ``doc_lines`` and those of the derived pages, which are of each type in turn."""
+    derived = table(spark, d, "documents").filter("doc_id IS NOT NULL").selectExpr("concat('d:', cast(doc_id AS string)) AS doc_id", "CASE doc_id % 3 WHEN 0 THEN 'code' WHEN 1 THEN 'rescrits' ELSE 'generic' END AS doc_type", "1 AS first_page").distinct()
+    return pipeline.documents_of(table(spark, d, "documents_meta").filter("ocr IS NULL")).unionByName(derived)
+
+
+def _extracted(spark, d):
+    return pipeline.extract(_all_lines(spark, d), _typed_documents(spark, d))
+
+
+def _read(spark, d):
+    return pipeline.read(_all_lines(spark, d), _typed_documents(spark, d))
+
+
+def raw_markdown(spark, d):
+    return _extracted(spark, d).raw
+
+
+def note_links(spark, d):
+    return _read(spark, d).links.select("doc_id", "ix", "pos", "num", "page", "def_page", "fid", F.md5("text").alias("digest"))
+
+
+def orphan_notes(spark, d):
+    return _read(spark, d).orphans
+
+
+def unresolved_markers(spark, d):
+    return rawmd.unresolved(_read(spark, d).links)
+
+
+def extraction_report(spark, d):
+    r = sinks.extract_report(_extracted(spark, d))
+    return r.select("doc_id", "n_pages", "small_lines_returned", "n_orphan_notes", "n_headings", "n_articles", "n_rescrits", F.to_json("dropped_lines").alias("dropped"), F.to_json("footnote_detection").alias("detection"), F.size("page_map").alias("mapped"))
+
+
+def span_markdown(spark, d):
+    """Spans to raw Markdown: visual lines, superscript note markers, routing, builders."""
+    lines = stored(layout.page_lines(table(spark, d, "spans")).withColumn("ix", F.col("page").cast("bigint") * 10_000 + F.col("ix")))
+    return pipeline.extract(lines, pipeline.documents_of(table(spark, d, "documents_meta").filter("ocr IS NULL"))).raw
+
+
+def stage_chunks(spark, d):
+    """The three stages one after the other: extract, clean, chunk with page map and orphan notes; chunks of each document with what they carry."""
+    got = _extracted(spark, d)
+    meta = table(spark, d, "documents_meta").filter("ocr IS NULL").select("doc_id", "source_doc_id", "doc_type", "code", "version_year", "published", "source_url", "pdf_pages", "loaded_at")
+    derived = table(spark, d, "documents").filter("doc_id IS NOT NULL").selectExpr("concat('d:', cast(doc_id AS string)) AS doc_id", "source_doc_id", "CASE doc_id % 3 WHEN 0 THEN 'code' WHEN 1 THEN 'rescrits' ELSE 'generic' END AS doc_type", "'CGI' AS code", "version_year", "CAST(NULL AS string) AS published", "CAST(NULL AS string) AS source_url", "CAST(NULL AS array<int>) AS pdf_pages", "loaded_at")
+    meta = meta.withColumn("published", F.col("published").cast("string")).unionByName(derived)
+    found = pipeline.chunk(stored(pipeline.clean(got.raw)), meta, pipeline.page_map(got.pages), got.orphans)[0]
+    return found.select("chunk_id", "doc_id", "unit", "part", "n_parts", "page_start", "page_end", "printed_page_start", "printed_page_end", F.size("amended_by").alias("n_amended_by"), F.size("page_notes").alias("n_page_notes"), F.size("refs").alias("n_refs"), "n_chars", F.md5("text").alias("digest"))
+
+
 def notes_balance(spark, d):
-    u = table(spark, d, "units").select("doc_id", F.col("unit_ix").cast("bigint").alias("seq"), F.explode("footnotes").alias("f"))
-    return qa.notes_balance(u.select("doc_id", "seq", F.concat(F.lit("[^"), F.lower(F.replace("f.id", F.lit(" "))), F.lit("]: "), F.coalesce("f.text", F.lit(""))).alias("text")))
+    return qa.notes_balance(_extracted(spark, d).raw)
 
 
 def qa_flags(spark, d):
@@ -190,26 +275,26 @@ def raw_vs_clean(spark, d):
 # -- layout and inspection
 
 def line_statistics(spark, d):
-    return _stats(spark, d)[1].select("doc_id", "n_pages", "body_size", "p95_len", "median_leading")
+    return _stats(spark, d, _all_lines)[1].select("doc_id", "n_pages", "body_size", "p95_len", "median_leading")
 
 
 def repeated_margin_lines(spark, d):
-    lines = _lines(spark, d)
+    lines = _all_lines(spark, d)
     return layout.repeated_margin_lines(lines, layout.settings(lines))
 
 
 def routed_lines(spark, d):
-    lines, stats = _stats(spark, d)
+    lines, stats = _stats(spark, d, _all_lines)
     return layout.routed(lines, layout.settings(lines), stats).groupBy("doc_id", "route").agg(F.count(F.lit(1)).alias("n"))
 
 
 def page_records(spark, d):
-    lines, stats = _stats(spark, d)
+    lines, stats = _stats(spark, d, _all_lines)
     return layout.page_records(layout.routed(lines, layout.settings(lines), stats))
 
 
 def page_footnotes(spark, d):
-    lines, stats = _stats(spark, d)
+    lines, stats = _stats(spark, d, _all_lines)
     return layout.footnote_defs(layout.routed(lines, layout.settings(lines), stats))
 
 
@@ -218,49 +303,58 @@ def span_lines(spark, d):
 
 
 def text_per_page(spark, d):
-    return inspect.text_per_page(_lines(spark, d)).select("doc_id", "pages", "min_chars", "scan", "skip")
+    return inspect.text_per_page(_all_lines(spark, d)).select("doc_id", "pages", "min_chars", "scan", "skip")
 
 
 def font_sizes(spark, d):
-    return inspect.font_sizes(_lines(spark, d)).select("doc_id", "rank", "size", "chars")
+    return inspect.font_sizes(_all_lines(spark, d)).select("doc_id", "rank", "size", "chars")
 
 
 def number_positions(spark, d):
-    return inspect.number_positions(_lines(spark, d))
+    return inspect.number_positions(_all_lines(spark, d))
 
 
 def small_foot_lines(spark, d):
-    return inspect.small_foot_lines(*_stats(spark, d))
+    return inspect.small_foot_lines(*_stats(spark, d, _all_lines))
 
 
 def two_column_ratio(spark, d):
-    return inspect.two_columns(_lines(spark, d))
+    widths = table(spark, d, "spans").select("doc_id", "page", "page_w").dropna()
+    return inspect.two_columns(*_stats(spark, d, _all_lines), widths)
+
+
+def foot_samples(spark, d):
+    return inspect.foot_samples(*_stats(spark, d, _all_lines))
+
+
+def code_title_pages(spark, d):
+    return inspect.code_title_pages(_all_lines(spark, d))
 
 
 def large_gaps(spark, d):
-    return inspect.large_gaps(*_stats(spark, d))
+    return inspect.large_gaps(*_stats(spark, d, _all_lines))
 
 
 def headings_by_kind(spark, d):
-    return inspect.headings_by_kind(_lines(spark, d))
+    return inspect.headings_by_kind(_all_lines(spark, d))
 
 
 def numbering_resets(spark, d):
-    return inspect.numbering_resets(_lines(spark, d))
+    return inspect.numbering_resets(_all_lines(spark, d))
 
 
 def contents_pages(spark, d):
-    return inspect.contents_pages(_lines(spark, d))
+    return inspect.contents_pages(_all_lines(spark, d))
 
 
 def ruling_continuity(spark, d):
-    return inspect.rulings(_lines(spark, d))
+    return inspect.rulings(_all_lines(spark, d))
 
 
 # -- extraction, cleaning, chunking
 
 def article_order(spark, d):
-    return rawmd.article_order(_lines(spark, d))
+    return rawmd.article_order(_all_lines(spark, d))
 
 
 def reflowed_lines(spark, d):
@@ -272,8 +366,18 @@ def line_length_p95(spark, d):
 
 
 def clean_events(spark, d):
-    e = reflow.clean_events(_text_lines(spark, d))
-    return e.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n"))
+    e = reflow.clean_events(_noisy_lines(spark, d))
+    return e.groupBy("doc_id", "key").agg(F.sum("n").alias("n"))
+
+
+def cleaned_lines(spark, d):
+    """Cleaning by document: every fifth is structured Markdown already, every third knows its line length."""
+    meta = table(spark, d, "documents").filter("doc_id IS NOT NULL").selectExpr("doc_id", "doc_id % 5 = 0 AS structured_markdown", "CASE WHEN doc_id % 3 = 0 THEN 70 ELSE 0 END AS p95_len")
+    return reflow.clean(_noisy_lines(spark, d), meta)
+
+
+def event_samples(spark, d):
+    return qa.sampled(reflow.clean_events(_noisy_lines(spark, d)).filter("sample IS NOT NULL"), ["seq", "sample"]).select("doc_id", "key", "seq", "n", "sample")
 
 
 def legal_units(spark, d):
@@ -315,16 +419,11 @@ def chunk_id_duplicates(spark, d):
 
 
 def page_range_notes(spark, d):
-    u = table(spark, d, "units").filter("page_start IS NOT NULL AND page_end IS NOT NULL").groupBy("doc_id", "unit_ix").agg(F.min("page_start").alias("page_start"), F.max("page_end").alias("page_end")).withColumn("footnotes", F.array().cast("array<struct<id:string,text:string>>"))
+    u = table(spark, d, "units").filter("page_start IS NOT NULL AND page_end IS NOT NULL").groupBy("doc_id", "unit_ix").agg(F.min("page_start").alias("page_start"), F.max("page_end").alias("page_end"), F.flatten(F.collect_set(F.coalesce("footnotes", F.array().cast("array<struct<id:string,text:string>>")))).alias("footnotes"))
     n = chunks.page_notes(u, table(spark, d, "footnote_defs").filter("text IS NOT NULL"))
     return n.select("doc_id", "unit_ix", F.size("page_notes").alias("n"))
 
 
-def unit_contexts(spark, d):
-    u = table(spark, d, "units").filter("kind = 'article'").select("doc_id", "unit_ix", "kind", F.coalesce("unit_key", F.lit("")).alias("key"), F.coalesce("title", F.lit("")).alias("title"), F.coalesce("hier", F.array().cast("array<struct<k:string,v:string>>")).alias("hier")).distinct()
-    return u.select("doc_id", "unit_ix", chunks.build_context(F.col("doc_id"), F.col("kind"), F.col("key"), F.col("title"), F.col("hier"), F.lit(0), F.lit(1)).alias("context"))
-
-
 def all_unit_contexts(spark, d):
     """The context of each part of each unit, of every kind, with its document's label; a unit without a text has one part."""
     u = table(spark, d, "units").select("doc_id", "unit_ix", F.coalesce("kind", F.lit("")).alias("kind"), F.coalesce("unit_key", F.lit("")).alias("key"), F.coalesce("title", F.lit("")).alias("title"), F.coalesce("hier", F.array().cast("array<struct<k:string,v:string>>")).alias("hier"), F.coalesce("text", F.lit("")).alias("text")).distinct()
@@ -358,8 +457,8 @@ QUERIES = {f.__name__: f for f in (
     normalized_text, fixed_text, bullets, plain_text, hyphen_decisions, title_words, article_numbers, duplicate_articles, missing_article_numbers, article_order_violations,
     article_lengths, article_length_stats, longest_articles, markdown_headings, marks_and_characters, notes_balance, qa_flags, raw_vs_clean, line_statistics, repeated_margin_lines,
     routed_lines, page_records, page_footnotes, span_lines, text_per_page, font_sizes, number_positions, small_foot_lines, two_column_ratio, large_gaps, headings_by_kind,
-    numbering_resets, contents_pages, ruling_continuity, article_order, reflowed_lines, line_length_p95, clean_events, legal_units, legal_chunks,
-    chunk_stats, outside_lines, split_documents, chunk_sizes, chunk_id_duplicates, page_range_notes, unit_contexts, all_unit_contexts, ocr_page_report, ocr_figures, ocr_raw_lines,
+    numbering_resets, contents_pages, ruling_continuity, article_order, raw_markdown, span_markdown, note_links, orphan_notes, unresolved_markers, extraction_report, stage_chunks, reflowed_lines, cleaned_lines, line_length_p95, clean_events, event_samples, foot_samples, code_title_pages, legal_units, legal_chunks,
+    chunk_stats, outside_lines, split_documents, chunk_sizes, chunk_id_duplicates, page_range_notes, all_unit_contexts, ocr_page_report, ocr_figures, ocr_raw_lines,
 )}
 
 

@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ENTRY = "doc_id string, file string, file_glob string, doc_type string, code string, version_year int, published string, modified string, source_url string, ocr string, subdocs array<struct<code:string,first_page:int>>, layout map<string,string>"
+ENTRY = "doc_id string, file string, file_glob string, file_regex string, doc_type string, code string, version_year int, published string, modified string, source_url string, ocr string, subdocs array<struct<code:string,first_page:int>>, layout map<string,string>"
 
 
 def load_manifest(path: str) -> dict:
@@ -25,6 +25,8 @@ def entries(spark: SparkSession, manifest: dict) -> DataFrame:
 
     def value(d: dict, n: str):
         v = d.get(n)
+        if n == "file_regex":
+            return glob_to_regex(d["file_glob"]) if d.get("file_glob") else None
         if n == "subdocs":
             return [(s.get("code"), s.get("first_page")) for s in v or []]
         if n == "layout":
@@ -57,8 +59,7 @@ def resolve_files(found: DataFrame, files: DataFrame) -> DataFrame:
     single file was found, and NULL path there.
     """
     exact = found.join(files, found["file"] == files["name"]).select("doc_id", F.col("path").alias("_exact"))
-    to_regex = F.udf(lambda p: glob_to_regex(p) if p else None, "string")  # one call for each manifest entry
-    globs = found.filter("file_glob IS NOT NULL").select("doc_id", to_regex("file_glob").alias("_re"))
+    globs = found.filter("file_regex IS NOT NULL").select("doc_id", F.col("file_regex").alias("_re"))
     hits = globs.join(files, F.lower(F.col("name")).rlike(F.col("_re"))).groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"), F.min("path").alias("_path"))
     d = found.select("doc_id").join(exact, "doc_id", "left").join(hits, "doc_id", "left")
     one = F.coalesce("_exact", F.when(F.col("_n") == 1, F.col("_path")))
