@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cpus: int | str = "*", memory: str = "8g") -> SparkSession:
@@ -47,6 +48,12 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` written to the shared folder and, if it has at most ``rows`` rows, marked for broadcast; a larger one is joined by shuffle."""
+    kept = stored(df)
+    return F.broadcast(kept) if kept.count() <= rows else kept
+
+
 def release(spark: SparkSession) -> None:
     """Free what queries have kept so far: cached data and the tables in the shared folder.  Their results can no longer be read."""
     spark.catalog.clearCache()
