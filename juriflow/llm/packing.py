@@ -11,10 +11,13 @@ among the items of equal length.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from juriflow.session import stored
+
+#: Rows of one length that one window ranks, about.
+SHARD_ROWS = 20_000
 #: Ranks are looked up in blocks of so many.
 RANK_BLOCK = 32
 
@@ -78,8 +81,8 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int,
 def pieces(items: DataFrame, capacities: dict[int, int], item: str, size: Column) -> DataFrame:
     """spec_id, capacity, item, piece, size: an item whole unless it alone exceeds the capacity, else full pieces and a rest."""
     kinds = F.array(*[F.struct(F.lit(k).cast("int").alias("spec_id"), F.lit(c).cast("bigint").alias("capacity")) for k, c in sorted(capacities.items())])
-    # the sizes are costly and read several times; lost parts are computed again
-    sized = items.select(F.col(item), F.coalesce(size, F.lit(0)).cast("bigint").alias("_size")).persist(StorageLevel.MEMORY_AND_DISK).select(item, "_size", F.inline(kinds))
+    # the sizes are costly and read several times
+    sized = stored(items.select(F.col(item), F.coalesce(size, F.lit(0)).cast("bigint").alias("_size"))).select(item, "_size", F.inline(kinds))
     cap, full = F.col("capacity"), F.expr("_size div capacity")
     n = full + F.when((F.col("_size") % cap > 0) | (F.col("_size") == 0), 1).otherwise(0)
     return sized.select("spec_id", "capacity", item, "_size", full.alias("_full"), F.explode(F.sequence(F.lit(0), (n - 1).cast("int"))).alias("piece")).select(
@@ -87,19 +90,27 @@ def pieces(items: DataFrame, capacities: dict[int, int], item: str, size: Column
     )
 
 
-def ranked(rows: DataFrame, group: list[str], order: list[str], shards: int) -> DataFrame:
-    """``rank`` from 0 within each group, by shards of hashed order columns, so that no hot group is ranked by one task."""
-    shard = F.pmod(F.xxhash64(*order), F.lit(shards)).cast("int")
-    sharded = rows.withColumn("_shard", shard)
-    counts = sharded.groupBy(*group, "_shard").agg(F.count(F.lit(1)).alias("_n"))
+def ranked(rows: DataFrame, counts: DataFrame, group: list[str], order: list[str], shard_rows: int) -> DataFrame:
+    """``rank`` from 0 within each group, by shards of hashed order columns, so that no hot group is ranked by one task.
+
+    ``counts``: the group and n, its rows; a group has one shard for each ``shard_rows`` of them.
+    """
+    many = F.greatest(F.ceil(F.col("n") / shard_rows), F.lit(1)).cast("int").alias("_shards")
+    sharded = rows.join(counts.select(*group, many), group).withColumn("_shard", F.pmod(F.xxhash64(*order), F.col("_shards")).cast("int")).drop("_shards")
+    sizes = sharded.groupBy(*group, "_shard").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*group).orderBy("_shard").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    starts = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
     local = F.row_number().over(Window.partitionBy(*group, "_shard").orderBy(*order)) - 1
     return sharded.withColumn("_local", local).join(starts, [*group, "_shard"]).withColumn("rank", F.col("_start") + F.col("_local")).drop("_start", "_local", "_shard")
 
 
-def plans(parts: DataFrame) -> DataFrame:
-    """The packing plan of each capacity, from its histogram (at most ``capacity`` rows)."""
+def histogram(parts: DataFrame) -> DataFrame:
+    """spec_id, capacity, size, n: at most ``capacity`` rows a spec, however many pieces there are."""
+    return stored(parts.filter("size > 0").groupBy("spec_id", "capacity", "size").agg(F.count(F.lit(1)).alias("n")))
+
+
+def plans(sizes: DataFrame) -> DataFrame:
+    """The packing plan of each capacity, from its histogram."""
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = plan({int(s): int(n) for s, n in zip(pdf["size"], pdf["n"], strict=True)}, int(pdf["capacity"].iloc[0]))
@@ -107,11 +118,10 @@ def plans(parts: DataFrame) -> DataFrame:
         out.insert(0, "spec_id", int(pdf["spec_id"].iloc[0]))
         return out
 
-    histogram = parts.filter("size > 0").groupBy("spec_id", "capacity", "size").agg(F.count(F.lit(1)).alias("n"))
-    return histogram.groupBy("spec_id").applyInPandas(one, "spec_id int, size bigint, first_rank bigint, per_bin bigint, times bigint, first_bin bigint")
+    return sizes.groupBy("spec_id").applyInPandas(one, "spec_id int, size bigint, first_rank bigint, per_bin bigint, times bigint, first_bin bigint")
 
 
-def pack(items: DataFrame, capacities: dict[int, int], item: str, size: Column, shards: int = 64) -> DataFrame:
+def pack(items: DataFrame, capacities: dict[int, int], item: str, size: Column, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """Every item's pieces with their container: spec_id, capacity, item, piece, size, bin.
 
     ``item`` identifies an item; repeated rows are packed as often as they
@@ -119,10 +129,11 @@ def pack(items: DataFrame, capacities: dict[int, int], item: str, size: Column,
     Containers are numbered from 0 in each spec.  A NULL item is an item too.
     """
     parts = pieces(items, capacities, item, size)
-    steps = plans(parts).select("spec_id", "size", "first_rank", "per_bin", "first_bin", (F.col("first_rank") + F.col("per_bin") * F.col("times") - 1).alias("last_rank"))
+    sizes = histogram(parts)
+    steps = plans(sizes).select("spec_id", "size", "first_rank", "per_bin", "first_bin", (F.col("first_rank") + F.col("per_bin") * F.col("times") - 1).alias("last_rank"))
     block = lambda c: F.expr(f"{c} div {RANK_BLOCK}")
     steps = steps.withColumn("block", F.explode(F.sequence(block("first_rank"), block("last_rank"))))
-    dealt = ranked(parts.filter("size > 0"), ["spec_id", "size"], [item, "piece"], shards).withColumn("block", block("rank"))
+    dealt = ranked(parts.filter("size > 0"), sizes, ["spec_id", "size"], [item, "piece"], shard_rows).withColumn("block", block("rank"))
     placed = dealt.join(steps, ["spec_id", "size", "block"]).filter("rank BETWEEN first_rank AND last_rank")
     cols = ["spec_id", "capacity", item, "piece", "size"]
     placed = placed.select(*cols, F.expr("first_bin + (rank - first_rank) div per_bin").alias("bin"))

@@ -78,7 +78,7 @@ def test_fullest_against_brute_force():
 def test_pack(spark):
     sizes = [0, None, 5, 5, 5, 12, 25, 10, 3, 3, 3, 1]
     df = spark.createDataFrame([(i, s, "x") for i, s in enumerate(sizes)] + [(2, 5, "again")], "doc_id long, n int, bin string")
-    got = packing.pack(df, {1: 10, 2: 100}, "doc_id", F.col("n"), shards=3).collect()
+    got = packing.pack(df, {1: 10, 2: 100}, "doc_id", F.col("n"), shard_rows=2).collect()
     for spec, cap in ((1, 10), (2, 100)):
         rows = [r for r in got if r.spec_id == spec]
         bins: dict[int, int] = {}
