@@ -4,26 +4,34 @@ Prefix-partitioned suffix trees.  Suffixes start at anchors: of any 101
 consecutive windows of 100 code points the one with the least hash is an
 anchor, so every span of 200 code points holds one, at the same place in each
 of its copies.  Suffixes are partitioned by their first 100 code points; a
-partition that only one text has is dropped at once.  In each remaining one the
-sorted suffixes and their common prefixes are the suffix tree; its internal
-nodes of depth d join the suffixes that also agree on the 200 - d code points
-before the anchor.  Partitions too large for memory take longer keys, the
-windows of 200 code points around the anchor, and need no tree.
+partition that only one text has is dropped at once, and suffixes with the same
+200 code points after and 100 before their anchor are one leaf.
+
+A partition with more leaves than a task holds gets a longer prefix.  Its
+leaves share a code points before and b after the anchor; two of them that
+share a span of 200 also share half of what is missing, on one side or on the
+other, so each leaf goes into two partitions with prefixes of (a + half, b) and
+(a, b + half), and so on until a partition fits or its prefix is the span
+itself.  In each partition the sorted suffixes and their common prefixes are
+the suffix tree; its internal nodes of depth d join the suffixes that also
+agree on the 200 - d code points before the anchor.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from juriflow.session import small, stored
+
 #: Least length of a shared span, in code points; half of it is the prefix of a partition.
 SPAN = 200
-#: Suffixes of one partition that a task holds at once; larger partitions are split by longer keys.
+#: Leaves of one partition that a task holds at once; a larger one gets longer prefixes.
 HELD = 20_000
 #: So many ids (16 MB) are broadcast at most.
 BROADCAST_IDS = 2_000_000
@@ -145,12 +153,14 @@ def tree_nodes(rights: list[str]) -> list[tuple[int, list[tuple[int, int]]]]:
     return out
 
 
-def shared_spans(docs: list[int], poss: list[int], lefts: list[str], rights: list[str], span: int) -> Iterator[tuple[int, int, int, int, int]]:
-    """(node, child, doc, lo, hi) for one partition: suffixes of one node in different children share at least ``span``.
+def shared_spans(docs: list[str], lefts: list[str], rights: list[str], span: int) -> Iterator[tuple[int, int, int, int, int]]:
+    """(node, child, leaf, before, after) for one partition: leaves of one node in different children share at least ``span``.
 
     ``rights`` are sorted and end after ``span``, ``lefts`` are reversed and
-    end after half of it.  [lo, hi) is the longest part around the anchor that
-    another document of the node shares.
+    end after half of it; ``docs`` names the document of a leaf, or the leaf
+    itself where it has several.  ``before`` and ``after`` are the longest part
+    around the anchor that another document of the node shares.  Depths lie between half a span and a
+    span, so a leaf is visited by as many nodes as that at most.
     """
     for k, (depth, children) in enumerate(tree_nodes(rights)):
         need = max(0, span - depth)
@@ -182,28 +192,28 @@ def shared_spans(docs: list[int], poss: list[int], lefts: list[str], rights: lis
                             reach[r] = max(reach[r], other)
                     near, last = (docs[i], len(left)), left
             for (_, c, i), left in zip(rows, reach, strict=True):
-                yield (k * 1_000_003 + j, c, docs[i], poss[i] - max(left, need), poss[i] + depth)
+                yield (k * 1_000_003 + j, c, i, max(left, need), depth)
 
 
 def _trees(span: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cols = ["h", "node", "child", "doc_id", "lo", "hi"]
+        cols = ["h", "node", "child", "x", "y", "before", "after"]
         held: list[tuple] = []
         out: list[tuple] = []
 
         def close():
             if len(held) > 1:
-                h = held[0][0]
-                out.extend((h, *row) for row in shared_spans([x[1] for x in held], [x[2] for x in held], [x[3] for x in held], [x[4] for x in held], span))
+                h, who, x, y, left, right = zip(*held, strict=True)
+                out.extend((h[0], node, child, x[i], y[i], before, after) for node, child, i, before, after in shared_spans(who, left, right, span))
             held.clear()
 
         def flush():
             pdf = pd.DataFrame(out, columns=cols)
             out.clear()
-            return pdf.astype({"node": "int64", "child": "int32", "lo": "int32", "hi": "int32"})
+            return pdf.astype({"node": "int64", "child": "int32", "before": "int32", "after": "int32"})
 
         for pdf in batches:
-            for row in zip(pdf["h"], pdf["doc_id"], pdf["pos"], pdf["l"], pdf["r"], strict=True):
+            for row in zip(pdf["h"], pdf["who"], pdf["x"], pdf["y"], pdf["l"], pdf["r"], strict=True):
                 if held and held[0][0] != row[0]:
                     close()
                     if len(out) > 20_000:
@@ -216,62 +226,107 @@ def _trees(span: int):
     return run
 
 
-def spans_of_texts(texts: DataFrame, span: int = SPAN, held: int = HELD) -> DataFrame:
-    """Memberships (h, node, child, doc_id, lo, hi) over texts that are all different.
+def leaves(texts: DataFrame, span: int = SPAN) -> tuple[DataFrame, DataFrame]:
+    """The leaves of all partitions that several texts have, and where they come from.
 
-    Rows of one (h, node) in different children share the span; in a node of a
-    split partition each document is its own child.
+    Leaves: h (the prefix), leaf (a 128-bit hash), who (its document, or the
+    leaf itself where it has several), l (reversed, before the anchor), r.
+    Places: leaf, doc_id, pos.  A leaf that two documents have is a shared span
+    by itself.
     """
     half = span // 2
-    # read for the partitions' sizes and for their suffixes; lost parts are computed again
-    found = anchors(texts, span).persist(StorageLevel.MEMORY_AND_DISK)
-    groups = found.groupBy("h").agg(F.min("doc_id").alias("_a"), F.max("doc_id").alias("_b"), F.count(F.lit(1)).alias("n")).filter("_a < _b").select("h", "n")
+    # read for the partitions' sizes and for their suffixes
+    found = stored(anchors(texts, span))
+    groups = found.groupBy("h").agg(F.min("doc_id").alias("_a"), F.max("doc_id").alias("_b")).filter("_a < _b").select("h")
     hits = found.join(groups, "h")
     # the places of one text are as many as its length allows
-    places = hits.groupBy("doc_id").agg(F.collect_list(F.struct("h", "n", "pos")).alias("_p"))
+    places = hits.groupBy("doc_id").agg(F.collect_list(F.struct("h", "pos")).alias("_p"))
     context = F.transform(
         "_p",
         lambda p: F.struct(
-            p["h"].alias("h"), p["n"].alias("n"), p["pos"].alias("pos"),
+            p["h"].alias("h"), p["pos"].alias("pos"),
             F.reverse(F.substring(F.col("text"), F.greatest(p["pos"] - half, F.lit(0)) + 1, F.least(p["pos"], F.lit(half)))).alias("l"),
             F.substring(F.col("text"), p["pos"] + 1, F.lit(span)).alias("r"),
         ),
     )
-    # the few suffixes of shared partitions, read by both ways below
-    suffixes = texts.select("doc_id", "text").join(places, "doc_id").select("doc_id", F.inline(context)).persist(StorageLevel.MEMORY_AND_DISK)
-    small = suffixes.filter(F.col("n") <= held).drop("n").repartition("h").sortWithinPartitions("h", "r", "doc_id", "pos")
-    trees = small.mapInPandas(_trees(span), "h bigint, node bigint, child int, doc_id bigint, lo int, hi int")
-    # split partitions: every window of the span around the anchor that the text has, as a key of its own
-    shift = F.explode(F.sequence(F.lit(0), F.lit(half))).alias("s")
-    large = suffixes.filter(F.col("n") > held).select("h", "doc_id", "pos", F.reverse("l").alias("l"), "r", shift)
-    large = large.filter((F.length("l") >= F.col("s")) & (F.length("r") >= span - F.col("s")))
-    window = F.concat(F.substring("l", F.length("l") - F.col("s") + 1, F.col("s")), F.substring("r", F.lit(1), span - F.col("s")))
-    keyed = large.select(F.xxhash64(window).alias("h"), (F.xxhash64(window, F.lit(1))).alias("node"), "doc_id", (F.col("pos") - F.col("s")).cast("int").alias("lo"))
-    several = keyed.groupBy("h", "node").agg(F.min("doc_id").alias("_a"), F.max("doc_id").alias("_b")).filter("_a < _b").select("h", "node")
-    split = keyed.join(several, ["h", "node"]).select("h", "node", F.lit(None).cast("int").alias("child"), "doc_id", "lo", (F.col("lo") + span).cast("int").alias("hi"))
-    return trees.unionByName(split)
+    suffixes = texts.select("doc_id", "text").join(places, "doc_id").select("doc_id", F.inline(context))
+    suffixes = stored(suffixes.withColumn("leaf", F.struct(F.xxhash64("l", "r").alias("x"), F.xxhash64("r", "l", F.lit(1)).alias("y"))))
+    one = suffixes.groupBy("h", "leaf").agg(F.first("l").alias("l"), F.first("r").alias("r"), F.min("doc_id").alias("_a"), F.max("doc_id").alias("_b"))
+    who = F.when(F.col("_a") == F.col("_b"), F.col("_a").cast("string")).otherwise(F.concat(F.lit("#"), F.col("leaf.x").cast("string")))
+    return one.select("h", "leaf", who.alias("who"), "l", "r"), suffixes.select("leaf", "doc_id", "pos")
+
+
+def partitioned(found: DataFrame, span: int, held: int) -> tuple[DataFrame, DataFrame | None]:
+    """Leaves with the key of a partition that fits (``h``), and those of partitions whose prefix became a whole span (``h``, one node each)."""
+    d = found.select(F.struct("h", F.lit(0).alias("k")).alias("key"), F.lit(0).alias("a"), F.lit(span // 2).alias("b"), "leaf", "who", "l", "r")
+    small_, whole = [], []
+    while True:
+        # the next round reads these again
+        d = stored(d)
+        big = d.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > held).select("key")
+        big = small(big, BROADCAST_IDS)
+        if big.isEmpty():
+            small_.append(d)
+            break
+        small_.append(d.join(big, "key", "left_anti"))
+        over = d.join(big, "key", "left_semi")
+        full = F.col("a") + F.col("b") >= span
+        whole.append(over.filter(full))
+        more = F.ceil((span - F.col("a") - F.col("b")) / 2).cast("int")
+        two = F.explode(F.array(F.struct((F.col("a") + more).alias("a"), F.col("b").alias("b")), F.struct(F.col("a").alias("a"), (F.col("b") + more).alias("b")))).alias("_t")
+        over = over.filter(~full).select("key", "leaf", "who", "l", "r", two).select("key", "leaf", "who", "l", "r", "_t.a", "_t.b").filter((F.length("l") >= F.col("a")) & (F.length("r") >= F.col("b")))
+        text = F.concat_ws("|", F.substring("l", F.lit(1), F.col("a")), F.substring("r", F.lit(1), F.col("b")))
+        d = over.select(F.struct(F.xxhash64(text, "a").alias("h"), (F.col("a") * 1000 + F.col("b")).alias("k")).alias("key"), "a", "b", "leaf", "who", "l", "r")
+    fits = functools.reduce(DataFrame.unionByName, small_)
+    return fits, functools.reduce(DataFrame.unionByName, whole) if whole else None
+
+
+def spans_of_texts(texts: DataFrame, span: int = SPAN, held: int = HELD) -> DataFrame:
+    """Memberships (h, node, child, doc_id, lo, hi) over texts that are all different.
+
+    Rows of one (h, node) in different children share the span; where the child
+    is NULL, all documents of the node do.  Leaves that several documents have
+    are nodes of their own with a NULL child.
+    """
+    half = span // 2
+    found, places = leaves(texts, span)
+    fits, whole = partitioned(found, span, held)
+    key = F.xxhash64("key")
+    rows = fits.select(key.alias("h"), "who", F.col("leaf.x").alias("x"), F.col("leaf.y").alias("y"), "l", "r")
+    trees = rows.repartition("h").sortWithinPartitions("h", "r", "l").mapInPandas(_trees(span), "h bigint, node bigint, child int, x bigint, y bigint, before int, after int")
+    in_tree = trees.withColumn("leaf", F.struct("x", "y")).join(places, "leaf")
+    in_tree = in_tree.select("h", "node", "child", "doc_id", (F.col("pos") - F.col("before")).alias("lo"), (F.col("pos") + F.col("after")).alias("hi"))
+    several = places.groupBy("leaf").agg(F.min("doc_id").alias("_a"), F.max("doc_id").alias("_b")).filter("_a < _b").select("leaf")
+    sizes = texts.select("doc_id", F.length("text").alias("_n"))
+    own = places.join(several, "leaf").join(sizes, "doc_id")
+    own = own.select(F.col("leaf.x").alias("h"), F.col("leaf.y").alias("node"), F.lit(None).cast("int").alias("child"), "doc_id", F.greatest(F.col("pos") - half, F.lit(0)).alias("lo"), F.least(F.col("pos") + span, F.col("_n")).alias("hi"))
+    out = in_tree.unionByName(own)
+    if whole is not None:
+        nodes = whole.select(key.alias("h"), F.col("key.k").cast("bigint").alias("node"), "leaf", "a", "b").join(places, "leaf")
+        out = out.unionByName(nodes.select("h", "node", F.lit(None).cast("int").alias("child"), "doc_id", (F.col("pos") - F.col("a")).alias("lo"), (F.col("pos") + F.col("b")).alias("hi")))
+    return out
 
 
 def copy_classes(documents: DataFrame, span: int) -> DataFrame:
     """doc_id, first (the least doc_id with the same text), n (documents with it), for texts of at least ``span`` code points."""
     sized = documents.filter(F.length("text") >= span).select("doc_id", F.xxhash64("text").alias("_x"), F.xxhash64("text", F.lit(1)).alias("_y"))
     classes = sized.groupBy("_x", "_y").agg(F.min("doc_id").alias("first"), F.count_distinct("doc_id").alias("n"))
-    return sized.distinct().join(classes, ["_x", "_y"]).select("doc_id", "first", "n").persist(StorageLevel.MEMORY_AND_DISK)
+    return stored(sized.distinct().join(classes, ["_x", "_y"]).select("doc_id", "first", "n"))
 
 
 def different_texts(documents: DataFrame, classes: DataFrame, span: int) -> DataFrame:
     """One document of each text.  The ids of the copies are counted: few enough are broadcast, so that no text is shuffled; more are joined by shuffle."""
-    copies = classes.filter("doc_id <> first").select("doc_id").distinct()
+    copies = classes.filter("doc_id <> first").select("doc_id")
     texts = documents.filter(F.length("text") >= span).select("doc_id", "text")
     return texts.join(F.broadcast(copies) if copies.count() <= BROADCAST_IDS else copies, "doc_id", "left_anti")
 
 
 def sharing_texts(members: DataFrame) -> DataFrame:
     """Pairs a < b of different texts that share a span."""
-    rows = members.select("h", "node", "child", "doc_id").distinct().persist(StorageLevel.MEMORY_AND_DISK)
+    rows = stored(members.select("h", "node", "child", "doc_id").distinct())
     a = rows.select("h", "node", F.col("child").alias("ca"), F.col("doc_id").alias("a"))
     b = rows.select("h", "node", F.col("child").alias("cb"), F.col("doc_id").alias("b"))
-    apart = (F.col("a") < F.col("b")) & (F.col("ca").isNull() | (F.col("ca") != F.col("cb")))
+    apart = (F.col("a") < F.col("b")) & (F.col("ca").isNull() | F.col("cb").isNull() | (F.col("ca") != F.col("cb")))
     return a.join(b, ["h", "node"]).filter(apart).select("a", "b").distinct()
 
 
@@ -308,3 +363,18 @@ def shared_share(documents: DataFrame, span: int = SPAN, held: int = HELD) -> Da
     out = rows.join(classes, "doc_id", "left").join(covered.withColumnRenamed("doc_id", "first"), "first", "left")
     shared = F.when(F.col("n") > 1, F.col("n_chars")).otherwise(F.coalesce("_shared", F.lit(0)))
     return out.select("doc_id", F.coalesce("first", "doc_id").alias("first"), F.coalesce("n", F.lit(1)).alias("copies"), F.coalesce("n_chars", F.lit(0)).alias("n_chars"), shared.cast("bigint").alias("shared_chars"), F.when(F.col("n_chars") > 0, shared / F.col("n_chars")).otherwise(0.0).alias("share"))
+
+
+def span_members(documents: DataFrame, span: int = SPAN, held: int = HELD) -> DataFrame:
+    """Who shares what, in as many rows as there are shared places: span (its hash), doc_id, lo, hi (from 0), n_docs.
+
+    Links between different texts stand between the rows of one span; copies of
+    a text are named by ``p8_shares``' first.  Of the children of a tree's node
+    each row keeps its own, so rows of one span with the same ``child`` need not
+    share it; a NULL child shares it with all.
+    """
+    documents = documents.select("doc_id", "text").dropna()
+    texts = different_texts(documents, copy_classes(documents, span), span)
+    rows = stored(spans_of_texts(texts, span, held).withColumn("span", F.xxhash64("h", "node")).select("span", "child", "doc_id", "lo", "hi").distinct())
+    many = rows.groupBy("span").agg(F.count_distinct("doc_id").alias("n_docs")).filter("n_docs > 1")
+    return rows.join(many, "span")
