@@ -4,21 +4,25 @@ Per site a weighted graph has a node for each line (in its normal form) and an
 edge between lines that follow each other; a weight is the number of documents
 that support it.  Nodes and edges of high support are kept, the connected
 components are the boilerplate blocks, and all occurrences of their lines are
-removed.
+removed.  A frequent line without a frequent edge is a block of its own, as a
+line's support alone makes it boilerplate; edges say which lines belong to one
+block, and so which runs of lines are one occurrence of it.
 """
 
 from __future__ import annotations
 
 import pandas as pd
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from juriflow.functions.consistent import consistent_form, let
+from juriflow.session import small, stored
 
 #: A line is boilerplate if at least so many documents of the site and at least this share of them have it.
 LEAST_DOCS = 4
 LEAST_SHARE = 0.2
+#: So many rows (about 60 MB) of sites, frequent lines or their blocks are broadcast at most.
+BROADCAST_ROWS = 500_000
 
 
 def line_key(text: Column) -> Column:
@@ -47,10 +51,9 @@ def frequent_nodes(keyed: DataFrame, needs: DataFrame) -> DataFrame:
 
 
 def frequent_edges(hits: DataFrame, needs: DataFrame) -> DataFrame:
-    """Edges between frequent lines that follow each other in enough documents."""
-    w = Window.partitionBy("doc_id").orderBy("seq", "ka", "kb")
-    pairs = hits.select("source", "doc_id", "seq", "ka", "kb", F.lag("seq").over(w).alias("_s"), F.lag("ka").over(w).alias("pa"), F.lag("kb").over(w).alias("pb")).filter(F.col("_s") == F.col("seq") - 1)
-    once = pairs.groupBy("source", "pa", "pb", "ka", "kb", "doc_id").agg(F.lit(1).alias("_one"))
+    """Edges between frequent lines that follow each other in enough documents; neighbours are joined by place, so no document is one task."""
+    before = hits.select("doc_id", (F.col("seq") + 1).alias("seq"), F.col("ka").alias("pa"), F.col("kb").alias("pb"))
+    once = hits.join(before, ["doc_id", "seq"]).groupBy("source", "pa", "pb", "ka", "kb", "doc_id").agg(F.lit(1).alias("_one"))
     return once.groupBy("source", "pa", "pb", "ka", "kb").agg(F.count(F.lit(1)).alias("support")).join(needs, "source").filter(F.col("support") >= F.col("need"))
 
 
@@ -78,8 +81,9 @@ def blocks(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
     One task holds one site's frequent graph.  Its size has a proven bound that
     does not grow with the number of documents: the supports of a site's nodes
-    sum to at most its lines and each is at least a fifth of its documents, so
-    there are at most five times as many nodes as lines in a mean document.
+    sum to at most its lines and each is at least ``share`` of its documents,
+    so there are at most 1 / share times as many nodes as lines in a mean
+    document.  ``boilerplate_lines`` therefore refuses a share of 0.
     """
     loops = nodes.select("source", F.col("ka").alias("pa"), F.col("kb").alias("pb"), "ka", "kb")
     graph = loops.unionByName(edges.select("source", "pa", "pb", "ka", "kb"))
@@ -87,20 +91,33 @@ def blocks(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def boilerplate_lines(lines: DataFrame, documents: DataFrame, least: int = LEAST_DOCS, share: float = LEAST_SHARE) -> DataFrame:
-    """Occurrences of boilerplate: source, doc_id, seq, block; one row for each place.
+    """Occurrences of boilerplate: source, doc_id, seq, block, support (of the line); one row for each place.
 
     ``lines``: doc_id, seq, text; ``documents``: doc_id, source, distinct.
     Lines of other documents, lines without a letter and lines with a NULL
     doc_id or seq are never boilerplate.  Repeated rows count once.
     """
+    if share <= 0:
+        raise ValueError("share must be positive, as it bounds a site's graph")
     lines, documents = lines.select("doc_id", "seq", "text").dropna(subset=["doc_id", "seq"]), documents.select("doc_id", "source").dropna().distinct()
-    # read for the supports and again for the occurrences; lost parts are computed again
-    keyed = keyed_lines(lines, documents).persist(StorageLevel.MEMORY_AND_DISK)
-    needs = site_sizes(documents, least, share)
-    nodes = frequent_nodes(keyed, needs).select("source", "ka", "kb")
-    hits = keyed.join(nodes, ["source", "ka", "kb"]).distinct()
-    found = blocks(nodes, frequent_edges(hits, needs))
-    return hits.join(found, ["source", "ka", "kb"]).select("source", "doc_id", "seq", "block")
+    # read for the supports and again for the occurrences
+    keyed = stored(keyed_lines(lines, documents))
+    needs = small(site_sizes(documents, least, share), BROADCAST_ROWS)
+    nodes = small(frequent_nodes(keyed, needs).select("source", "ka", "kb", "support"), BROADCAST_ROWS)
+    hits = stored(keyed.join(nodes, ["source", "ka", "kb"]).distinct())
+    found = small(blocks(nodes, frequent_edges(hits, needs)), BROADCAST_ROWS)
+    return hits.join(found, ["source", "ka", "kb"]).select("source", "doc_id", "seq", "block", "support", "ka", "kb")
+
+
+def block_report(places: DataFrame) -> DataFrame:
+    """What each block is: source, block, lines (different ones), least_support, most_support, documents, occurrences (runs of its lines on end), rows."""
+    p = places.select("source", "block", "doc_id", "seq", "ka", "kb", "support")
+    before = p.select("source", "block", "doc_id", (F.col("seq") + 1).alias("seq"), F.lit(1).alias("_b")).distinct()
+    p = p.join(before, ["source", "block", "doc_id", "seq"], "left")
+    per = p.groupBy("source", "block", "ka", "kb").agg(F.max("support").alias("support"), F.count(F.lit(1)).alias("rows"), F.count_if(F.col("_b").isNull()).alias("opens"))
+    docs = p.groupBy("source", "block", "doc_id").agg(F.lit(1).alias("_d")).groupBy("source", "block").agg(F.count(F.lit(1)).alias("documents"))
+    out = per.groupBy("source", "block").agg(F.count(F.lit(1)).alias("lines"), F.min("support").alias("least_support"), F.max("support").alias("most_support"), F.sum("rows").alias("rows"), F.sum("opens").alias("occurrences"))
+    return out.join(docs, ["source", "block"])
 
 
 def without_boilerplate(lines: DataFrame, documents: DataFrame, **limits) -> DataFrame:

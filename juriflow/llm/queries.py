@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from juriflow.functions.consistent import CYRILLIC_DOUBLES, DOUBLES, GREEK_DOUBLES, JOINED, SINGLE
 from juriflow.llm import boilerplate, characters, mixing, packing, repeats, scans
 from juriflow.llm.tokens import VOCABULARY, token_count
-from juriflow.session import table
+from juriflow.session import stored, table
 
 
 def p1_found(spark, d):
@@ -33,6 +33,11 @@ def p2_kept(spark, d):
     return boilerplate.without_boilerplate(table(spark, d, "doc_lines").select("doc_id", "page", "seq", "text"), documents)
 
 
+def p2_blocks(spark, d):
+    documents = characters.born_digital(table(spark, d, "documents_meta"))
+    return boilerplate.block_report(boilerplate.boilerplate_lines(table(spark, d, "doc_lines"), documents)).drop("block")
+
+
 def p4_found(spark, d):
     return scans.noise(table(spark, d, "doc_lines"), table(spark, d, "units"), table(spark, d, "documents_meta"))
 
@@ -51,6 +56,37 @@ def p6_fill(spark, d):
     return packing.fill(p6_packed(spark, d))
 
 
+def p6_checks(spark, d):
+    """What must hold of the packing, per spec: every document is there once, nothing is lost, no bin is over its capacity, nothing is split that fits."""
+    p = stored(p6_packed(spark, d))
+    doc = p.groupBy("spec_id", "capacity", "doc_id").agg(F.sum("size").alias("_all"), F.count(F.lit(1)).alias("_n"), F.count_distinct("piece").alias("_k"), F.max("piece").alias("_m"))
+    size = token_sizes(spark, d)
+    doc = doc.join(size, "doc_id", "full")
+    whole = doc.groupBy("spec_id", "capacity").agg(
+        F.count(F.lit(1)).alias("documents"), F.count_if(~F.col("_all").eqNullSafe(F.col("tokens"))).alias("wrong_size"), F.count_if((F.col("_n") != F.col("_k")) | (F.col("_m") != F.col("_n") - 1)).alias("wrong_pieces"),
+        F.count_if((F.col("_all") <= F.col("capacity")) & (F.col("_n") > 1)).alias("split_in_vain"),
+    )
+    bins = p.filter("bin IS NOT NULL").groupBy("spec_id", "capacity", "bin").agg(F.sum("size").alias("_s"))
+    bins = bins.groupBy("spec_id").agg(F.count_if(F.col("_s") > F.col("capacity")).alias("over_capacity"), (F.sum("_s") >= 0.95 * F.sum("capacity")).alias("tight"), (F.max("bin") + 1 == F.count(F.lit(1))).alias("numbered"))
+    return whole.join(bins, "spec_id")
+
+
+def token_sizes(spark, d, vocabulary=VOCABULARY):
+    return stored(table(spark, d, "documents").select("doc_id", token_count(F.col("text"), vocabulary).alias("tokens")))
+
+
+def p7_checks(spark, d):
+    """What must hold of each mix and source: the share that its sources with documents give it is reached within 2 % of all tokens, and no document is used too often."""
+    targets = table(spark, d, "mix_targets")
+    shares = stored(p7_shares(spark, d))
+    there = table(spark, d, "documents").filter("source IS NOT NULL AND text <> ''").select("source").distinct().withColumn("_there", F.lit(True))
+    t = targets.join(there, "source", "left").withColumn("_share", F.when(F.col("_there"), F.col("target_share")).otherwise(0.0))
+    whole = t.groupBy("mix_id").agg(F.sum("_share").alias("_whole"))
+    t = t.join(whole, "mix_id").join(shares.select("mix_id", "source", "reached_share", "most_uses"), ["mix_id", "source"], "left")
+    wanted = F.col("_share") / F.col("_whole")
+    return t.select("mix_id", "source", F.round(wanted, 6).alias("wanted"), (F.abs(F.col("reached_share") - wanted) < 0.02).alias("reached"), (F.col("most_uses") <= F.col("max_repeats")).alias("within_repeats"))
+
+
 def sized(spark, d, vocabulary=VOCABULARY):
     return table(spark, d, "documents").filter("source IS NOT NULL").select("doc_id", "source", token_count(F.col("text"), vocabulary).alias("tokens"))
 
@@ -67,13 +103,17 @@ def p8_found(spark, d):
     return repeats.sharing_pairs(table(spark, d, "documents"))
 
 
+def p8_members(spark, d):
+    return repeats.span_members(table(spark, d, "documents"))
+
+
 def p8_shares(spark, d):
     return repeats.shared_share(table(spark, d, "documents"))
 
 
 QUERIES = {
-    "p1_found": p1_found, "p1_repaired": p1_repaired, "p1_tokens": p1_tokens, "p2_found": p2_found, "p2_kept": p2_kept, "p4_found": p4_found, "p4_paragraphs": p4_paragraphs,
-    "p6_packed": p6_packed, "p6_fill": p6_fill, "p7_mixed": p7_mixed, "p7_shares": p7_shares, "p8_found": p8_found, "p8_shares": p8_shares,
+    "p1_found": p1_found, "p1_repaired": p1_repaired, "p1_tokens": p1_tokens, "p2_found": p2_found, "p2_kept": p2_kept, "p2_blocks": p2_blocks, "p4_found": p4_found, "p4_paragraphs": p4_paragraphs,
+    "p6_packed": p6_packed, "p6_fill": p6_fill, "p6_checks": p6_checks, "p7_mixed": p7_mixed, "p7_shares": p7_shares, "p7_checks": p7_checks, "p8_found": p8_found, "p8_shares": p8_shares, "p8_members": p8_members,
 }
 
 
@@ -113,9 +153,22 @@ node AS (SELECT source, key FROM k JOIN need USING (source) WHERE regexp_matches
 found AS (SELECT DISTINCT doc_id, seq FROM k JOIN node USING (source, key))
 """
 
+_P2_BLOCKS = """, hit AS (SELECT DISTINCT source, doc_id, seq, key FROM k JOIN node USING (source, key)),
+edge AS (SELECT a.source, b.key AS pk, a.key AS key FROM hit a JOIN hit b ON a.doc_id = b.doc_id AND a.source = b.source AND a.seq = b.seq + 1 JOIN need ON need.source = a.source GROUP BY ALL HAVING count(DISTINCT a.doc_id) >= any_value(need)),
+link AS (SELECT source, pk AS x, key AS y FROM edge UNION SELECT source, key, pk FROM edge UNION SELECT source, key, key FROM node),
+reach AS (SELECT source, x, y FROM reach0), blk AS (SELECT source, x AS key, min(y) AS block FROM reach GROUP BY ALL),
+p AS (SELECT hit.*, block FROM hit JOIN blk USING (source, key)),
+sup AS (SELECT source, block, key, count(DISTINCT doc_id) AS support FROM p GROUP BY ALL),
+o AS (SELECT source, block, count(*) AS occurrences FROM p WHERE NOT EXISTS (FROM p q WHERE q.source = p.source AND q.block = p.block AND q.doc_id = p.doc_id AND q.seq = p.seq - 1) GROUP BY ALL)
+SELECT p.source, count(DISTINCT key) AS lines, min(support) AS least_support, max(support) AS most_support, count(*) AS rows, any_value(occurrences) AS occurrences, count(DISTINCT doc_id) AS documents
+FROM p JOIN sup USING (source, block, key) JOIN o USING (source, block) GROUP BY p.source, p.block"""
+
 ORACLE = {
     "p1_found": _P1 + "SELECT DISTINCT src, doc_id, page, pos, span_ix FROM found",
     "p1_repaired": _P1 + "SELECT DISTINCT src, doc_id, page, pos, span_ix, text, fixed FROM found",
+    "p2_blocks": _P2.replace("WITH born", "WITH RECURSIVE born") + _P2_BLOCKS.replace("reach AS (SELECT source, x, y FROM reach0)", "reach AS (SELECT source, x, y FROM link UNION SELECT r.source, r.x, l.y FROM reach r JOIN link l ON l.source = r.source AND l.x = r.y)"),
+    "p6_checks": "SELECT spec_id, CAST(capacity_tokens AS BIGINT) AS capacity, (SELECT count(*) FROM documents) AS documents, 0 AS wrong_size, 0 AS wrong_pieces, 0 AS split_in_vain, 0 AS over_capacity, true AS tight, true AS numbered FROM pack_specs",
+    "p7_checks": "WITH t AS (SELECT *, CASE WHEN source IN (SELECT source FROM documents WHERE text <> '') THEN target_share ELSE 0 END AS s FROM mix_targets) SELECT mix_id, source, round(s / sum(s) OVER (PARTITION BY mix_id), 6) AS wanted, true AS reached, true AS within_repeats FROM t",
     "p2_found": _P2 + "SELECT * FROM found",
     "p2_kept": _P2 + "SELECT doc_id, page, seq, text FROM doc_lines l WHERE NOT EXISTS (FROM found f WHERE f.doc_id = l.doc_id AND f.seq = l.seq)",
 }

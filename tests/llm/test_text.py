@@ -41,6 +41,11 @@ def test_boilerplate(spark):
     assert sorted((r.doc_id, r.seq) for r in got) == sorted((f"d{i}", s) for i in range(20) for s in (0, 1))
     # the two lines follow each other everywhere, so they are one block
     assert len({r.block for r in got}) == 1
+    report = boilerplate.block_report(boilerplate.boilerplate_lines(df, docs)).collect()
+    assert [(r.lines, r.least_support, r.occurrences, r.rows, r.documents) for r in report] == [(2, 20, 20, 40, 20)]
+    # apart in the documents, the same lines are two blocks: the edges decide
+    apart = boilerplate.boilerplate_lines(df.filter("seq <> 0").unionByName(df.filter("seq = 0").withColumn("seq", F.col("seq") + 50)), docs)
+    assert sorted((r.lines, r.occurrences) for r in boilerplate.block_report(apart).collect()) == [(1, 20), (1, 20)]
     kept = boilerplate.without_boilerplate(df, docs)
     assert kept.count() == len([r for r in rows if not (r[0] != "x" and r[2] in (0, 1))])
     assert boilerplate.boilerplate_lines(df.limit(0), docs).count() == 0
