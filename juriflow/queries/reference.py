@@ -17,6 +17,7 @@ from juriflow.sources import sinks
 
 #: The text and the height of a derived line, alike in Spark and in SQL.
 _DERIVED = """CASE WHEN doc_id % 11 = 0 AND seq % 10 > 1 THEN concat(substring(line, 1, 20), ' ..... ', cast(seq AS {S}))
+ WHEN doc_id % 13 = 0 AND seq % 10 = 2 THEN 'CODE GÉNÉRAL DES IMPÔTS'
  WHEN seq % 10 = 0 THEN concat('R', cast((seq {div} 10) % 90 + 1 + CASE WHEN seq % 70 = 0 THEN 2 ELSE 0 END AS {S}), ' : ', substring(line, 1, 40))
  WHEN seq % 10 = 1 THEN concat('Art. ', cast((doc_id + seq {div} 10 * 7) % 45 + 1 AS {S}), ' : ', substring(line, 1, 40), CASE WHEN (seq {div} 10) % 5 < 3 THEN concat('{{{{fn:', cast(seq {div} 10 + 1 + CASE WHEN (seq {div} 10) % 5 = 2 THEN 1 ELSE 0 END AS {S}), '}}}}') ELSE '' END)
  WHEN seq % 10 = 3 THEN concat(cast(seq % 7 + 1 AS {S}), 'Toutefois ', substring(line, 1, 30))
@@ -491,6 +492,40 @@ _L = (
     "l AS (SELECT doc_id, page, seq AS ix, text, x0, y0, x1, y1, size, bold, gap_before, page_h FROM doc_lines WHERE doc_id IS NOT NULL AND seq IS NOT NULL AND trim(text) <> '' "
     "QUALIFY row_number() OVER (PARTITION BY doc_id, seq ORDER BY page NULLS FIRST, text, y0 NULLS FIRST, x0 NULLS FIRST) = 1)"
 )
+_SQL = {"S": "VARCHAR", "div": "//"}
+#: ``doc_lines`` and the derived pages.
+_LL = _L.replace("l AS (", "l0 AS (") + (
+    f", w AS (SELECT doc_id, unnest(range(len(p))) AS seq, unnest(p) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL)), "
+    f"l AS (FROM l0 UNION ALL SELECT 'd:' || doc_id, CAST(seq // 10 + 1 AS INTEGER), seq, {_DERIVED.format(**_SQL)}, 60.0, {_DERIVED_Y}, 260.0, {_DERIVED_Y} + 10, CASE WHEN seq % 10 = 8 THEN 8.0 ELSE 11.0 END, seq % 10 = 1, CASE WHEN seq % 10 = 6 THEN 30.0 ELSE 14.0 END, 842.0 FROM w WHERE trim(line) <> '')"
+)
+#: Statistics of documents.
+_STATS = f"""{_LL}, c AS (SELECT *, (y0 + y1) / 2 AS cy FROM l), np AS (SELECT doc_id, max(page) AS n_pages FROM l GROUP BY doc_id),
+body AS (SELECT doc_id, s FROM (SELECT doc_id, round_even(size, 1) AS s, sum(length(text)) AS n, min(ix) AS f FROM l WHERE size IS NOT NULL GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, f) = 1),
+bs AS (SELECT doc_id, n_pages, coalesce(s, 10.0) AS body_size FROM np LEFT JOIN body USING (doc_id)),
+inn AS (SELECT c.*, body_size FROM c JOIN bs USING (doc_id) WHERE abs(size - body_size) <= 0.6 AND cy > CAST(0.08 AS DOUBLE) * page_h AND cy < CAST(0.92 AS DOUBLE) * page_h),
+len95 AS (SELECT doc_id, list_sort(list(length(text))) AS v FROM inn GROUP BY doc_id), med AS (SELECT doc_id, median(gap_before) AS m FROM inn WHERE gap_before > 0 AND gap_before < 3 * body_size GROUP BY doc_id),
+st AS (SELECT doc_id, n_pages, body_size, coalesce(CAST(v[1 + CAST(floor(0.95 * (len(v) - 1)) AS INTEGER)] AS DOUBLE), 80.0) AS p95_len, coalesce(m, body_size * 1.2) AS median_leading FROM bs LEFT JOIN len95 USING (doc_id) LEFT JOIN med USING (doc_id))"""
+_KIND = "(?:Loi|Ordonnance|D[ée]cret|Arr[êe]t[ée]|Directive|R[èe]glement)"
+_DIGITS = "'^\\s*[0-9]{1,4}\\s*$'"
+#: Lines with their route.
+_ROUTED = f"""{_STATS}, g AS (SELECT c.*, body_size, coalesce(cy < CAST(0.08 AS DOUBLE) * c.page_h OR cy > CAST(0.92 AS DOUBLE) * c.page_h, false) AS mar, lower(regexp_replace(regexp_replace(text, '[\\s\\p{{Z}}]+', ' ', 'g'), '^ | $', '', 'g')) AS nk,
+ regexp_matches(text, {_DIGITS}) AS dig, cy > CAST(0.8 AS DOUBLE) * c.page_h AS low, size <= CAST(0.92 AS DOUBLE) * body_size AS tiny, trim(text) AS tx FROM c JOIN st USING (doc_id)),
+rep AS (SELECT doc_id, nk FROM g JOIN np USING (doc_id) WHERE mar AND NOT dig GROUP BY doc_id, nk, n_pages HAVING n_pages >= 4 AND count(*) >= greatest(3, floor(0.25 * n_pages))),
+r1 AS (SELECT g.*, CASE WHEN mar AND dig THEN 'page_number' WHEN mar AND rep.nk IS NOT NULL THEN 'running_header_footer' WHEN low AND tiny THEN 'foot' ELSE 'body' END AS r FROM g LEFT JOIN rep USING (doc_id, nk)),
+r2 AS (SELECT *, min(CASE WHEN r = 'foot' AND regexp_matches(tx, '^(?:\\{{\\{{fn:[0-9]+\\}}\\}}|[0-9]{{1,3}}$|[0-9]{{1,3}}\\s*{_KIND}|(?:Loi|Ordonnance|D[ée]cret|Arr[êe]t[ée])\\s+N°)') THEN ix END) OVER (PARTITION BY doc_id, page) AS lab FROM r1),
+r3 AS (SELECT * REPLACE (CASE WHEN r = 'foot' AND (lab IS NULL OR ix < lab) THEN 'body' ELSE r END AS r), coalesce(r = 'foot' AND (lab IS NULL OR ix < lab), false) AS reclaimed FROM r2),
+r4 AS (SELECT *, first_value(CASE WHEN r = 'body' THEN text END IGNORE NULLS) OVER (PARTITION BY doc_id, page ORDER BY ix ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS nxt FROM r3),
+r5 AS (SELECT *, max(CASE WHEN r = 'foot' THEN 1 ELSE 0 END) OVER p = 1 AS geo, min(CASE WHEN r = 'body' AND low AND ((dig AND coalesce(regexp_matches(nxt, '^{_KIND}'), false)) OR regexp_matches(text, '^\\{{\\{{fn:[0-9]+\\}}\\}}\\s*{_KIND}')) THEN ix END) OVER p AS since FROM r4 WINDOW p AS (PARTITION BY doc_id, page)),
+rt AS (SELECT *, CASE WHEN NOT geo AND r = 'body' AND ix >= since THEN 'foot' ELSE r END AS route, CASE WHEN geo THEN 'geometry' WHEN since IS NOT NULL THEN 'text' ELSE 'none' END AS footnote_method FROM r5)"""
+_NUM = "CASE WHEN regexp_matches(tx, '^\\{\\{fn:[0-9]+\\}\\}') THEN regexp_extract(tx, '^\\{\\{fn:([0-9]+)', 1) WHEN dig THEN tx WHEN regexp_matches(tx, '^[0-9]{1,2}\\s+" + _KIND + "') THEN regexp_extract(tx, '^([0-9]{1,2})', 1) END"
+_PIECE = "CASE WHEN regexp_matches(tx, '^\\{\\{fn:[0-9]+\\}\\}') THEN trim(regexp_replace(tx, '^\\{\\{fn:[0-9]+\\}\\}\\s*', '')) WHEN dig THEN '' WHEN regexp_matches(tx, '^[0-9]{1,2}\\s+" + _KIND + "') THEN regexp_replace(tx, '^[0-9]{1,2}\\s+', '') ELSE tx END"
+_DEFS = f"""{_ROUTED}, ft AS (SELECT doc_id, page, ix, {_PIECE} AS piece, last_value(CAST({_NUM} AS INTEGER) IGNORE NULLS) OVER (PARTITION BY doc_id, page ORDER BY ix) AS num FROM rt WHERE route = 'foot'),
+df AS (SELECT doc_id, page, num, trim(regexp_replace(coalesce(string_agg(piece, ' ' ORDER BY ix) FILTER (piece <> ''), ''), '\\{{\\{{fn:([0-9]+)\\}}\\}}', '', 'g')) AS text FROM ft WHERE num IS NOT NULL GROUP BY ALL)"""
+#: Only documents whose marked numbers are unique, so that no marker competes for a page's note.
+_LINKS = f"""{_DEFS}, docs AS (SELECT DISTINCT doc_id FROM documents_meta WHERE ocr IS NULL UNION SELECT 'd:' || doc_id FROM documents WHERE doc_id IS NOT NULL), mk AS (SELECT doc_id, page, CAST(page AS BIGINT) * 1000000 + ix % 1000000 AS ix, unnest(range(len(m))) AS pos, CAST(unnest(m) AS INTEGER) AS num FROM (SELECT *, regexp_extract_all(text, '\\{{\\{{fn:([0-9]+)\\}}\\}}', 1) AS m FROM rt WHERE route = 'body' AND doc_id IN (FROM docs))),
+nd AS (SELECT doc_id, num, any_value(page) AS def_page, any_value(text) AS note FROM df WHERE doc_id IN (FROM docs) GROUP BY ALL),
+lk AS (SELECT mk.*, CASE WHEN row_number() OVER (PARTITION BY doc_id, num ORDER BY ix, pos) = 1 THEN def_page END AS def_page, CASE WHEN row_number() OVER (PARTITION BY doc_id, num ORDER BY ix, pos) = 1 THEN note END AS note FROM mk LEFT JOIN nd USING (doc_id, num)),
+ln AS (SELECT *, CASE WHEN def_page IS NOT NULL THEN 'fn' || count(def_page) OVER (PARTITION BY doc_id ORDER BY ix, pos) END AS fid FROM lk)"""
 _ART2 = _re2(P.ARTICLE_START.replace(r"\s*(?::|[.\-–](?=\s))\s*(.*)$", r"\s*(?::\s*|[.\-–]\s+)(.*)$"))
 
 
@@ -520,7 +555,7 @@ _BR = f"{_L}, c AS (SELECT doc_id, ix AS seq, {_S(_PLACE)} AS c FROM l)"
 _TIDY = lambda x: _S(f"regexp_replace({x}, '[\\s\\p{{Z}}]+', ' ', 'g')")
 _N = f"{_A}, n AS (SELECT doc_id, seq, id, CAST(nullif(regexp_extract(id, '^([0-9]+)', 1), '') AS BIGINT) AS n FROM a)"
 _LEN = f"{_A}, ln AS (SELECT t.doc_id, t.seq, CASE WHEN a.id IS NOT NULL THEN a.rest WHEN h.level IS NOT NULL THEN repeat('#', h.level) || ' ' || t.text ELSE t.text END AS text, CASE WHEN a.id IS NOT NULL THEN t.seq END AS start, a.id FROM t LEFT JOIN a USING (doc_id, seq) LEFT JOIN (SELECT doc_id, seq, {_heading_cases('c', 'level')} AS level FROM s) h USING (doc_id, seq)), sec AS (SELECT doc_id, text, last_value(start IGNORE NULLS) OVER w AS seq, last_value(id IGNORE NULLS) OVER w AS id FROM ln WINDOW w AS (PARTITION BY doc_id ORDER BY seq)), len AS (SELECT doc_id, seq, id, CAST(sum(length(text) + 1) AS BIGINT) AS chars FROM sec WHERE seq IS NOT NULL GROUP BY ALL)"
-_LA = f"{_L}, a AS (SELECT doc_id, ix, page, {_aid(f'regexp_extract({_S('text')}, {_ART2}, 1)')} AS id FROM l WHERE regexp_matches({_S('text')}, {_ART2}))"
+_LA = f"{_LL}, a AS (SELECT doc_id, ix, page, {_aid(f'regexp_extract({_S('text')}, {_ART2}, 1)')} AS id FROM l WHERE regexp_matches({_S('text')}, {_ART2}))"
 _FLAGS = {"is_list": P.LIST_START, "is_sub": P.SUBHEADING, "is_ruling": P.RULING_START, "is_digits": P.DIGITS_ONLY, "is_legal": P.LEGAL_START, "is_punct": P.LONE_PUNCT, "is_caption": P.TABLE_CAPTION}
 
 ORACLE: dict[str, str] = {
@@ -543,18 +578,30 @@ ORACLE: dict[str, str] = {
     "article_length_stats": f"WITH {_LEN} SELECT doc_id, min(chars) AS min_chars, CAST(floor(median(chars)) AS BIGINT) AS median_chars, max(chars) AS max_chars, count_if(chars > 3000) AS over_3000 FROM len GROUP BY doc_id",
     "longest_articles": f"WITH {_LEN} SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY chars DESC, seq) AS INTEGER) AS rank, id, chars FROM len QUALIFY rank <= 10",
     "markdown_headings": f"WITH {_H}, m AS (SELECT h.doc_id, coalesce(level, length(regexp_extract(t.text, '^(#+)', 1))) AS level FROM h JOIN t USING (doc_id, seq) WHERE NOT regexp_matches({_S('t.text')}, {_ART2})) SELECT doc_id, level, count(*) AS n FROM m WHERE level > 0 GROUP BY ALL",
-    "notes_balance": "WITH f AS (SELECT doc_id, unnest(footnotes) AS f FROM units) SELECT doc_id, lower(replace(f.id, ' ', '')) AS fid, CAST(0 AS BIGINT) AS refs, count(*) AS defs FROM f GROUP BY ALL",
-    "text_per_page": f"WITH {_L}, p AS (SELECT doc_id, page, sum(length({_S('text')})) AS c FROM l WHERE page <= 30 GROUP BY ALL) SELECT doc_id, count(*) AS pages, CAST(min(c) AS BIGINT) AS min_chars, sum(c) / count(*) < 200 AS scan, sum(c) / count(*) < 100 AS skip FROM p GROUP BY doc_id",
-    "font_sizes": f"WITH {_L}, h AS (SELECT doc_id, round(size, 1) AS size, CAST(sum(length(text)) AS BIGINT) AS chars FROM l WHERE size IS NOT NULL GROUP BY ALL) SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY chars DESC, size) AS INTEGER) AS rank, size, chars FROM h QUALIFY rank <= 6",
-    "headings_by_kind": f"WITH {_L}, k AS (SELECT doc_id, {_heading_cases(_S('text'), 'kind')} AS kind FROM l) SELECT doc_id, kind, count(*) AS n FROM k WHERE kind IS NOT NULL GROUP BY ALL",
-    "two_column_ratio": f"WITH {_L}, c AS (SELECT doc_id, count(*) AS n, count_if(x0 > 0.45 * 595.0) AS \"right\" FROM l WHERE x0 IS NOT NULL GROUP BY doc_id) SELECT *, \"right\" * 4 > n AS two_columns FROM c",
-    "contents_pages": f"WITH {_L} SELECT doc_id, page, count(*) AS n FROM l WHERE regexp_matches(text, {_re2(inspect.LEADERS)}) GROUP BY ALL HAVING count(*) >= 8",
-    "ruling_continuity": f"WITH {_L}, r AS (SELECT doc_id, ix, CAST(regexp_extract(text, {_re2(P.RULING_START)}, 1) AS INTEGER) AS number FROM l WHERE regexp_matches(text, {_re2(P.RULING_START)})) SELECT doc_id, ix, number, coalesce(number = lag(number) OVER (PARTITION BY doc_id ORDER BY ix) + 1, true) AS follows FROM r",
+    "notes_balance": f"WITH {_LINKS} SELECT doc_id, fid, CAST(1 AS BIGINT) AS refs, CAST(1 AS BIGINT) AS defs FROM ln WHERE fid IS NOT NULL",
+    "text_per_page": f"WITH {_LL}, p AS (SELECT doc_id, page, sum(length({_S('text')})) AS c FROM l GROUP BY ALL), q AS (SELECT doc_id, least(max(page), 30) AS n, count(*) FILTER (page <= 30) AS seen, coalesce(sum(c) FILTER (page <= 30), 0) AS s, min(c) FILTER (page <= 30) AS m FROM p GROUP BY doc_id) SELECT doc_id, CAST(n AS BIGINT) AS pages, CAST(CASE WHEN seen < n THEN 0 ELSE m END AS BIGINT) AS min_chars, s / n < 200 AS scan, s / n < 100 AS skip FROM q",
+    "font_sizes": f"WITH {_LL}, h AS (SELECT doc_id, round(size, 1) AS size, CAST(sum(length(text)) AS BIGINT) AS chars FROM l WHERE size IS NOT NULL GROUP BY ALL) SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY chars DESC, size) AS INTEGER) AS rank, size, chars FROM h QUALIFY rank <= 6",
+    "headings_by_kind": f"WITH {_LL}, k AS (SELECT doc_id, {_heading_cases(_S('text'), 'kind')} AS kind FROM l) SELECT doc_id, kind, count(*) AS n FROM k WHERE kind IS NOT NULL GROUP BY ALL",
+    "two_column_ratio": f"WITH {_STATS}, wd AS (SELECT doc_id, page, max(page_w) AS pw FROM spans WHERE page_w IS NOT NULL GROUP BY ALL) SELECT doc_id, count(*) AS n, count_if(x0 > CAST(0.45 AS DOUBLE) * coalesce(pw, 595.0)) AS \"right\", count_if(x0 > CAST(0.45 AS DOUBLE) * coalesce(pw, 595.0)) * 4 > count(*) AS two_columns FROM inn LEFT JOIN wd USING (doc_id, page) GROUP BY doc_id",
+    "large_gaps": f"WITH {_STATS} SELECT doc_id, count(*) AS n, count_if(gap_before > CAST(1.6 AS DOUBLE) * median_leading) AS large FROM l JOIN st USING (doc_id) WHERE gap_before > 0 AND gap_before < 3 * body_size GROUP BY doc_id",
+    "line_statistics": f"WITH {_STATS} SELECT * FROM st",
+    "small_foot_lines": f"WITH {_STATS}, q AS (SELECT doc_id, page, text, coalesce(size <= CAST(0.92 AS DOUBLE) * body_size AND cy > CAST(0.8 AS DOUBLE) * page_h, false) AS sm FROM c JOIN st USING (doc_id)) SELECT doc_id, count_if(sm) AS small_lines, count(DISTINCT page) FILTER (sm) AS pages, count_if(regexp_matches(text, '^[0-9]{{1,2}}(?:Art\\.|[A-ZÉÈÀÂ][a-zà-ÿ]+|[0-9]{{1,2}}\\s*[-–]\\s*\\S)') AND NOT regexp_matches(text, {_DIGITS})) AS glued_markers, CAST(sum(len(regexp_extract_all(text, '\\{{\\{{fn:[0-9]+\\}}\\}}'))) AS BIGINT) AS superscripts FROM q GROUP BY doc_id",
+    "foot_samples": f"WITH {_STATS} SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY page, ix) AS INTEGER) AS rank, page, size, left(text, 90) AS text FROM c JOIN st USING (doc_id) WHERE size <= CAST(0.92 AS DOUBLE) * body_size AND cy > CAST(0.8 AS DOUBLE) * page_h QUALIFY rank <= 6",
+    "number_positions": f"WITH {_LL}, q AS (SELECT doc_id, (y0 + y1) / 2 / page_h AS y FROM l WHERE regexp_matches(text, {_DIGITS})) SELECT doc_id, count(*) AS n, count_if(y < 0.5) AS n_top, count_if(y >= 0.5) AS n_bottom, count_if(y >= CAST(0.08 AS DOUBLE) AND y <= CAST(0.92 AS DOUBLE)) AS outside, CAST(floor(min(y) * 1000) AS BIGINT) AS min_y, CAST(floor(median(y) * 1000) AS BIGINT) AS median_y, CAST(floor(max(y) * 1000) AS BIGINT) AS max_y FROM q WHERE y IS NOT NULL GROUP BY doc_id",
+    "glued_markers": f"WITH {_LL} SELECT doc_id, ix AS seq, regexp_extract(text, '^([0-9]{{1,2}})', 1) AS marker FROM l WHERE regexp_matches(text, '^[0-9]{{1,2}}(?:Art\\.|[A-ZÉÈÀÂ][a-zà-ÿ]+|[0-9]{{1,2}}\\s*[-–]\\s*\\S)')",
+    "code_title_pages": f"WITH {_LL} SELECT doc_id, page, text FROM l WHERE regexp_matches(lower({_S('text')}), '^(?:code\\s+g[ée]n[ée]ral\\s+des\\s+imp[ôo]ts|livre\\s+des\\s+proc[ée]dures\\s+fiscales)$')",
+    "routed_lines": f"WITH {_ROUTED} SELECT doc_id, route, count(*) AS n FROM rt GROUP BY ALL",
+    "page_records": f"WITH {_ROUTED} SELECT doc_id, page, arg_max(TRY_CAST(tx AS INTEGER), ix) FILTER (route = 'page_number') AS printed_page, count_if(route = 'body') AS n_lines, count_if(route IN ('page_number', 'running_header_footer')) AS dropped, count_if(reclaimed) AS reclaimed, max(footnote_method) AS footnote_method FROM rt GROUP BY ALL",
+    "page_footnotes": f"WITH {_DEFS} SELECT * FROM df",
+    "note_links": f"WITH {_LINKS} SELECT doc_id, ix, CAST(pos AS INTEGER) AS pos, num, page, def_page, fid, md5(note) AS digest FROM ln",
+    "orphan_notes": f"WITH {_LINKS} SELECT df.* FROM df WHERE doc_id IN (FROM docs) AND NOT EXISTS (FROM ln WHERE ln.doc_id = df.doc_id AND ln.num = df.num AND ln.def_page = df.page)",
+    "unresolved_markers": f"WITH {_LINKS} SELECT doc_id, page, num FROM ln WHERE def_page IS NULL",
+    "contents_pages": f"WITH {_LL} SELECT doc_id, page, count(*) AS n FROM l WHERE regexp_matches(text, {_re2(inspect.LEADERS)}) GROUP BY ALL HAVING count(*) >= 8",
+    "ruling_continuity": f"WITH {_LL}, r AS (SELECT doc_id, ix, CAST(regexp_extract(text, {_re2(P.RULING_START)}, 1) AS INTEGER) AS number FROM l WHERE regexp_matches(text, {_re2(P.RULING_START)})) SELECT doc_id, ix, number, coalesce(number = lag(number) OVER (PARTITION BY doc_id ORDER BY ix) + 1, true) AS follows FROM r",
     "numbering_resets": f"WITH {_LA}, n AS (SELECT doc_id, ix, page, CAST(regexp_extract(id, '^([0-9]+)', 1) AS INTEGER) AS number FROM a WHERE regexp_matches(id, '^[0-9]')), p AS (SELECT *, lag(number) OVER (PARTITION BY doc_id ORDER BY ix) AS prev_number FROM n) SELECT doc_id, ix, page, prev_number, number FROM p WHERE prev_number >= 20 AND number <= 3",
     "article_order": f"WITH {_LA}, k AS (SELECT *, {_KEY} AS k FROM a), p AS (SELECT *, lag(id) OVER w AS prev_id, lag(k) OVER w AS pk FROM k WINDOW w AS (PARTITION BY doc_id ORDER BY ix)) SELECT doc_id, ix, page, id, prev_id, prev_id IS NULL OR (k.n, k.rank, k.suffix) > (pk.n, pk.rank, pk.suffix) AS rising FROM p",
     "line_length_p95": f"WITH {_T}, n AS (SELECT doc_id, list_sort(list(length(text)) FILTER (length(text) > 0 AND NOT regexp_matches(text, '^(?:#|<!--|\\[\\^|\\*\\*)'))) AS v FROM t GROUP BY doc_id) SELECT doc_id, CAST(coalesce(v[1 + CAST(floor(0.95 * (len(v) - 1)) AS INTEGER)], 80) AS DOUBLE) AS p95 FROM n",
-    "repeated_margin_lines": f"WITH {_L}, m AS (SELECT doc_id, lower({_TIDY('text')}) AS key, (y0 + y1) / 2 AS cy, page_h FROM l WHERE NOT regexp_matches(text, {_re2(P.DIGITS_ONLY)})), n AS (SELECT doc_id, key, count(*) AS n FROM m WHERE cy < 0.08 * page_h OR cy > (1 - 0.08) * page_h GROUP BY ALL), p AS (SELECT doc_id, max(page) AS np FROM l GROUP BY doc_id) SELECT doc_id, key, n FROM n JOIN p USING (doc_id) WHERE np >= 4 AND n >= greatest(3, floor(0.25 * np))",
+    "repeated_margin_lines": f"WITH {_LL}, m AS (SELECT doc_id, lower({_TIDY('text')}) AS key, (y0 + y1) / 2 AS cy, page_h FROM l WHERE NOT regexp_matches(text, {_re2(P.DIGITS_ONLY)})), n AS (SELECT doc_id, key, count(*) AS n FROM m WHERE cy < 0.08 * page_h OR cy > (1 - 0.08) * page_h GROUP BY ALL), p AS (SELECT doc_id, max(page) AS np FROM l GROUP BY doc_id) SELECT doc_id, key, n FROM n JOIN p USING (doc_id) WHERE np >= 4 AND n >= greatest(3, floor(0.25 * np))",
     "chunk_sizes": "WITH c AS (SELECT DISTINCT chunk_id, doc_type, text FROM chunks) SELECT doc_type, count(*) AS n, min(length(text)) AS min_chars, CAST(floor(median(length(text))) AS BIGINT) AS median_chars, max(length(text)) AS max_chars, count_if(length(text) > 3750) AS over FROM c GROUP BY doc_type",
-    "page_range_notes": "WITH u AS (SELECT doc_id, unit_ix, min(page_start) AS a, max(page_end) AS b FROM units WHERE page_start IS NOT NULL AND page_end IS NOT NULL GROUP BY ALL), n AS (SELECT DISTINCT doc_id, page, text FROM footnote_defs WHERE text IS NOT NULL) SELECT u.doc_id, unit_ix, CAST(count(*) AS INTEGER) AS n FROM u JOIN n ON n.doc_id = u.doc_id AND n.page BETWEEN a AND greatest(a, b) GROUP BY ALL",
-    "unit_contexts": "WITH u AS (SELECT DISTINCT doc_id, unit_ix, coalesce(unit_key, '') AS key, coalesce(title, '') AS title, coalesce(hier, []) AS hier FROM units WHERE kind = 'article') SELECT doc_id, unit_ix, concat_ws(' | ', nullif(doc_id, ''), nullif(array_to_string(list_transform(hier, lambda h: h.v), ' > '), ''), 'Art. ' || key) AS context FROM u",
+    "page_range_notes": "WITH u0 AS (SELECT doc_id, unit_ix, page_start, page_end, footnotes FROM units WHERE page_start IS NOT NULL AND page_end IS NOT NULL), u AS (SELECT doc_id, unit_ix, min(page_start) AS a, max(page_end) AS b FROM u0 GROUP BY ALL), cited AS (SELECT DISTINCT doc_id, unit_ix, f.text AS text FROM (SELECT doc_id, unit_ix, unnest(footnotes) AS f FROM u0)), n AS (SELECT DISTINCT doc_id, page, text FROM footnote_defs WHERE text IS NOT NULL) SELECT u.doc_id, unit_ix, CAST(count(*) AS INTEGER) AS n FROM u JOIN n ON n.doc_id = u.doc_id AND n.page BETWEEN a AND greatest(a, b) WHERE NOT EXISTS (FROM cited c WHERE c.doc_id = u.doc_id AND c.unit_ix = u.unit_ix AND c.text = n.text) GROUP BY ALL",
 }
