@@ -376,9 +376,8 @@ def misread(rows: DataFrame, lex: DataFrame) -> DataFrame:
     return found.select(*KEY, "read", right.alias("right"))
 
 
-def findings(body: DataFrame, lex: DataFrame, *keep: str) -> DataFrame:
-    """Per body line: glue (it ends in a broken word), hyphen (whose mark must go) and ``fixes``, the misread words (read, right)."""
-    rows = edges(body, *keep)
+def findings(rows: DataFrame, lex: DataFrame, *keep: str) -> DataFrame:
+    """Per line (see ``edges``): glue (it ends in a broken word), hyphen (whose mark must go) and ``fixes``, the misread words (read, right)."""
     fixes = misread(rows, lex).groupBy(*KEY).agg(F.collect_set(F.struct("read", "right")).alias("_f"))
     compounds = compound_ends(rows, lex).distinct().withColumn("_c", F.lit(True))
     out = rows.join(fixes, KEY, "left").join(compounds, KEY, "left")
@@ -430,14 +429,16 @@ def paragraphs(doc_lines: DataFrame, documents_meta: DataFrame, units: DataFrame
     if units is not None:
         blocks = pages.unionByName(unit_blocks(units, documents, pages))
     kinds = [body_lines(blocks, k).withColumn("kind", F.lit(k)) for k in ("body", "note")]
-    keep = ("kind", "prev", "next", "top", "bottom")
-    rows = stored(findings(stored(kinds[0].unionByName(kinds[1])), lexicon(doc_lines), *keep))
     of_units = F.col("src") == "units"
-    rows = rows.withColumn("at", F.when(of_units, _stripped_hash("text")).otherwise(F.col("seq"))).join(indents(doc_lines, documents, pages), ["src", "doc_id", "at"], "left")
     short = F.col("prev").rlike(r"[.!?]\s*$") & F.col("text").rlike(r"^\s*\p{Lu}") & (F.length("prev") < F.length("text") - 8)
-    body = F.col("text").rlike(r"^\s*(?:Art(?:icle)?\.?\s*[0-9IlOo]|[IVX]+\s*[.-]|[A-H]\s*-\s)") | F.coalesce("indented", short)
+    # what the neighbours say is kept, the neighbours are not
+    both = kinds[0].unionByName(kinds[1]).withColumns({"short": short, "alone": F.col("prev").isNull(), "goes_on": F.col("next").isNotNull() & ~(of_units & F.col("bottom"))})
+    keep = ("kind", "top", "short", "alone", "goes_on")
+    rows = stored(findings(stored(edges(both, *keep)), lexicon(doc_lines), *keep))
+    rows = rows.withColumn("at", F.when(of_units, _stripped_hash("text")).otherwise(F.col("seq"))).join(indents(doc_lines, documents, pages), ["src", "doc_id", "at"], "left")
+    body = F.col("text").rlike(r"^\s*(?:Art(?:icle)?\.?\s*[0-9IlOo]|[IVX]+\s*[.-]|[A-H]\s*-\s)") | F.coalesce("indented", "short")
     note = F.col("text").rlike(_NOTE) | (F.col("top") & ~F.col("joined"))
-    opens = F.col("prev").isNull() | (of_units & F.col("top")) | F.when(F.col("kind") == "note", note).otherwise(body)
+    opens = F.col("alone") | (of_units & F.col("top")) | F.when(F.col("kind") == "note", note).otherwise(body)
     rows = rows.withColumn("_open", F.coalesce(opens, F.lit(False)).cast("int")).withColumn("_unit", F.when(of_units, F.col("ord")).otherwise(-1))
     whole = ["src", "doc_id", "_unit", "variant", "kind"]
     starts = rows.groupBy(*whole, "ord").agg(F.sum("_open").alias("_n"))
@@ -447,7 +448,7 @@ def paragraphs(doc_lines: DataFrame, documents_meta: DataFrame, units: DataFrame
     rows = rows.withColumn("_in", F.sum("_open").over(within)).join(starts, [*whole, "ord"]).withColumn("para_no", F.col("_before") + F.col("_in"))
     fixed = F.aggregate("fixes", F.col("text"), lambda acc, x: F.regexp_replace(acc, F.concat(F.lit(r"(?<![\p{L}\p{N}])"), x["read"], F.lit(r"(?![\p{L}\p{N}])")), x["right"]))
     # a word whose rest does not follow keeps its mark
-    goes_on = F.col("next").isNotNull() & ~(of_units & F.col("bottom"))
+    goes_on = F.col("goes_on")
     piece = F.when(F.col("hyphen") & goes_on, F.regexp_replace(fixed, rf"[{MARKS}]\s*$", "")).when(F.col("glue") & goes_on, F.regexp_replace(fixed, rf"[{MARKS}]\s*$", "-")).otherwise(F.concat(F.regexp_replace(fixed, r"^\s+|\s+$", ""), F.lit(" ")))
     lines = F.array_sort(F.collect_list(F.struct("ord", "seq", piece.alias("piece"))))
     out = rows.groupBy(*whole, "para_no").agg(lines.alias("_p"))
