@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from juriflow.functions import patterns as P
@@ -115,3 +115,50 @@ def table_pages(tables: DataFrame) -> DataFrame:
 def page_dump(lines: DataFrame, pages: list[int], page_w: float = 595.0) -> DataFrame:
     """Lines of the given pages with their place in percent: doc_id, page, ix, y, x, size, bold, text."""
     return lines.filter(F.col("page").isin(pages)).select("doc_id", "page", "ix", F.round(F.col("y0") * 100 / F.col("page_h"), 1).alias("y"), F.round(F.col("x0") * 100 / page_w, 1).alias("x"), "size", "bold", "text")
+
+
+def _part(d: DataFrame, order: list[str], line: Column, title: str, most: int = 60) -> DataFrame:
+    """doc_id and a section of a report: a title and the first ``most`` lines."""
+    w = Window.partitionBy("doc_id").orderBy(*order)
+    d = d.select("doc_id", F.row_number().over(w).alias("_r"), line.alias("_t")).filter(F.col("_r") <= most)
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_r", "_t"))), lambda x: x["_t"]), "\n")
+    return d.groupBy("doc_id").agg(F.concat(F.lit(f"\n## {title}\n"), body).alias("text"))
+
+
+def report(lines: DataFrame, stats: DataFrame, documents: DataFrame, repeated: DataFrame, tables: DataFrame | None = None, dump: DataFrame | None = None) -> DataFrame:
+    """doc_id, value: a Markdown report of what inspection finds in each document."""
+    bullet = lambda *parts: F.concat(F.lit("- "), *[F.lit(p) if isinstance(p, str) else F.coalesce(p.cast("string"), F.lit("-")) for p in parts])
+    c = F.col
+    arts = article_starts(lines)
+    near = neighbours(arts.filter("number IS NOT NULL").select("doc_id", "number").distinct(), ["doc_id"], "number", after={"nx": c("number")})
+    first = arts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min_by("id", "ix").alias("a"), F.max_by("id", "ix").alias("z"))
+    double = arts.groupBy("doc_id", "id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    head = lines.withColumn("_h", P.heading(P.strip(c("text")))).filter("_h IS NOT NULL")
+    sections = [
+        _part(text_per_page(lines), ["doc_id"], bullet("pages read: ", c("pages"), ", characters a page: mean ", F.round("mean_chars", 0), ", least ", c("min_chars"), F.when(c("scan"), " (probably scanned)").otherwise("")), "Text"),
+        _part(font_sizes(lines), ["rank"], bullet(c("size"), " pt: ", c("percent"), " %"), "Font sizes"),
+        _part(stats, ["doc_id"], bullet("body ", c("body_size"), " pt, line length p95 ", c("p95_len"), ", median leading ", F.round("median_leading", 1)), "Body"),
+        _part(repeated, ["key"], bullet(c("key"), " (", c("n"), ")"), "Repeated margin lines"),
+        _part(number_positions(lines), ["doc_id"], bullet(c("n"), " lines of digits, ", c("n_top"), " at the top, ", c("n_bottom"), " at the bottom, ", c("outside"), " outside of the margins; median height ", c("median_y"), " of 1000"), "Page numbers"),
+        _part(small_foot_lines(lines, stats), ["doc_id"], bullet(c("small_lines"), " small lines on ", c("pages"), " pages, ", c("superscripts"), " superscripts, ", c("glued_markers"), " glued markers"), "Notes"),
+        _part(foot_samples(lines, stats), ["rank"], bullet("p", c("page"), " ", c("size"), " pt: ", c("text")), "Samples of notes"),
+        _part(two_columns(lines, stats), ["doc_id"], bullet(c("right"), " of ", c("n"), " lines begin in the right half", F.when(c("two_columns"), " (probably two columns)").otherwise("")), "Columns"),
+        _part(large_gaps(lines, stats), ["doc_id"], bullet(c("large"), " of ", c("n"), " gaps are large"), "Gaps"),
+        _part(headings_by_kind(lines), ["kind"], bullet(c("kind"), ": ", c("n")), "Headings"),
+        _part(head, ["page", "ix"], bullet("p", c("page"), " [", c("_h.kind"), "] ", F.substring("text", 1, 90)), "Samples of headings", 14),
+        _part(first, ["doc_id"], bullet(c("n"), " articles, first ", c("a"), ", last ", c("z")), "Articles"),
+        _part(near.filter("nx > number + 1").select("doc_id", F.explode(F.sequence(c("number") + 1, c("nx") - 1)).alias("m")), ["m"], bullet(c("m")), "Missing articles", 40),
+        _part(double, ["id"], bullet(c("id"), " (", c("n"), " times)"), "Articles found more than once", 20),
+        _part(numbering_resets(lines), ["ix"], bullet("from article ", c("prev_number"), " to ", c("number"), " on page ", c("page"), ": a second code may begin here"), "Numbering starts again"),
+        _part(code_title_pages(lines), ["page"], bullet("p", c("page"), ": ", c("text")), "Titles of codes", 12),
+        _part(contents_pages(lines), ["page"], bullet("p", c("page"), ": ", c("n"), " lines with leader dots"), "Tables of contents", 20),
+        _part(rulings(lines), ["ix"], bullet("R", c("number"), F.when(c("follows"), "").otherwise(" (does not follow)")), "Rulings", 12),
+    ]
+    if tables is not None:
+        sections.append(_part(table_pages(tables), ["page"], bullet("p", c("page"), ": ", c("tables")), "Pages with tables", 40))
+    if dump is not None:
+        sections.append(_part(dump, ["page", "ix"], bullet("p", c("page"), " y ", c("y"), " x ", c("x"), " ", c("size"), " pt", F.when(c("bold"), " B").otherwise(""), " ", F.substring("text", 1, 110)), "Lines", 10_000))
+    out = documents.select("doc_id", F.lit(0).alias("_i"), F.concat(F.lit("# Inspection: "), "doc_id", F.lit("\n- type: "), "doc_type").alias("text"))
+    for i, one in enumerate(sections, 1):
+        out = out.unionByName(one.withColumn("_i", F.lit(i)))
+    return out.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_i", "text"))), lambda x: x["text"]), "\n").alias("value"))

@@ -96,6 +96,21 @@ def settings(documents: DataFrame, layout: dict | None = None) -> DataFrame:
     return documents.select("doc_id").distinct().select("doc_id", *[typed.get(k, F.lit(v)).alias(k) for k, v in cfg.items()])
 
 
+def settings_of(entries: DataFrame) -> DataFrame:
+    """doc_id and the layout settings of manifest entries (doc_id, layout as a MAP of texts); defaults where a document gives none, unknown keys are ignored."""
+
+    def value(k: str, default) -> Column:
+        given = F.try_element_at("layout", F.lit(k))
+        if isinstance(default, list):
+            kind = "array<int>" if k == "skip_pages" else "array<string>"
+            return F.coalesce(F.from_json(given, kind), F.array().cast(kind))
+        if isinstance(default, bool):
+            return F.coalesce(F.lower(given) == "true", F.lit(default))
+        return F.coalesce(F.expr(f"try_cast(layout['{k}'] AS double)"), F.lit(default).cast("double"))
+
+    return entries.select("doc_id", *[value(k, v).alias(k) for k, v in DEFAULTS.items()])
+
+
 def _margins(d: DataFrame) -> DataFrame:
     cy = (F.col("y0") + F.col("y1")) / 2
     d = d.withColumn("cy", cy)

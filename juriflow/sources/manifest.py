@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import fnmatch
+import json
 import re
 from pathlib import Path
 
@@ -30,7 +31,7 @@ def entries(spark: SparkSession, manifest: dict) -> DataFrame:
         if n == "subdocs":
             return [(s.get("code"), s.get("first_page")) for s in v or []]
         if n == "layout":
-            return {k: str(x) for k, x in (v or {}).items()}
+            return {k: json.dumps(x) if isinstance(x, list) else str(x) for k, x in (v or {}).items()}
         return str(v) if v is not None and n in ("published", "modified") else v
 
     return spark.createDataFrame([tuple(value(d, n) for n in names) for d in manifest.get("docs", [])], ENTRY)

@@ -11,9 +11,17 @@ FRONT = r"(?s)^---\n(.*?)\n---\n"
 def read_markdown(spark: SparkSession, path: str, suffix: str, stems: list[str] | None = None) -> DataFrame:
     """stem, header (YAML, NULL where there is none), body of the files ``*suffix``."""
     d = spark.read.text(f"{path}/*{suffix}", wholetext=True).select(F.regexp_replace(F.col("_metadata.file_name"), F.lit(suffix.replace(".", r"\.") + "$"), F.lit("")).alias("stem"), "value")
-    d = d.withColumn("stem", F.url_decode("stem"))
-    if stems:
-        d = d.filter(F.col("stem").isin(stems))
+    return _parted(d.withColumn("stem", F.url_decode("stem")), stems)
+
+
+def read_documents(spark: SparkSession, path: str, stems: list[str] | None = None) -> DataFrame:
+    """The same for what ``sinks.write_markdown`` wrote."""
+    d = spark.read.schema("value string, doc_id string").text(path, wholetext=True)
+    return _parted(d.select(F.col("doc_id").alias("stem"), F.regexp_replace("value", "\n$", "").alias("value")), stems)
+
+
+def _parted(d: DataFrame, stems: list[str] | None) -> DataFrame:
+    d = d.filter(F.col("stem").isin(stems)) if stems else d
     has = F.col("value").rlike(FRONT)
     return d.select("stem", F.when(has, F.regexp_extract("value", FRONT, 1)).alias("header"), F.when(has, F.regexp_replace("value", FRONT, "")).otherwise(F.col("value")).alias("body"))
 

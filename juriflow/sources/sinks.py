@@ -37,6 +37,17 @@ def write_markdown(texts: DataFrame, path: str) -> None:
     texts.write.mode("overwrite").partitionBy("doc_id").text(path)
 
 
+def extract_headers(documents_meta: DataFrame, got: Extracted, parts: DataFrame | None = None) -> DataFrame:
+    """The front matter of extracted documents: metadata, page range, body size and line length; parts of a document name their code and its id."""
+    m = documents_meta.withColumn("_whole", F.col("doc_id"))
+    if parts is not None:
+        m = m.drop("code").join(parts.select("doc_id", "stem", "code"), "doc_id").withColumn("doc_id", F.col("stem")).drop("stem")
+    pages = got.pages.groupBy("doc_id").agg(F.array(F.min("page"), F.max("page")).alias("pdf_pages"))
+    size = got.stats.select(F.col("doc_id").alias("_whole"), F.col("body_size").alias("body_size_pt"), F.bround("p95_len", 0).cast("int").alias("p95_len"))
+    m = m.drop("pdf_pages", "body_size_pt", "p95_len").join(pages, "doc_id").join(size, "_whole", "left").withColumn("source_doc_id", F.coalesce("source_doc_id", "_whole") if "source_doc_id" in m.columns else F.col("_whole"))
+    return front_matter(m)
+
+
 def write_json(rows: DataFrame, path: str) -> None:
     """JSON lines; NULLs are kept, letters are not escaped."""
     rows.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
