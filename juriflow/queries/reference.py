@@ -425,6 +425,14 @@ def page_range_notes(spark, d):
     return n.select("doc_id", "unit_ix", F.size("page_notes").alias("n"))
 
 
+def unit_contexts(spark, d):
+    """The context of each unit of every kind, with its document's label."""
+    u = table(spark, d, "units").select("doc_id", "unit_ix", F.coalesce("kind", F.lit("")).alias("kind"), F.coalesce("unit_key", F.lit("")).alias("key"), F.coalesce("title", F.lit("")).alias("title"), F.coalesce("hier", F.array().cast("array<struct<k:string,v:string>>")).alias("hier")).distinct()
+    m = table(spark, d, "documents_meta").groupBy("doc_id").agg(F.max(F.struct("loaded_at", "doc_type", "code", "version_year")).alias("_m")).select("doc_id", "_m.doc_type", "_m.code", "_m.version_year")
+    label = chunks.doc_label(F.col("doc_type"), F.col("code"), F.col("version_year"), F.col("doc_id"))
+    return u.join(m, "doc_id", "left").select("doc_id", "unit_ix", "kind", chunks.build_context(label, F.col("kind"), F.col("key"), F.col("title"), F.col("hier"), F.lit(0), F.lit(1)).alias("context"))
+
+
 def all_unit_contexts(spark, d):
     """The context of each part of each unit, of every kind, with its document's label; a unit without a text has one part."""
     u = table(spark, d, "units").select("doc_id", "unit_ix", F.coalesce("kind", F.lit("")).alias("kind"), F.coalesce("unit_key", F.lit("")).alias("key"), F.coalesce("title", F.lit("")).alias("title"), F.coalesce("hier", F.array().cast("array<struct<k:string,v:string>>")).alias("hier"), F.coalesce("text", F.lit("")).alias("text")).distinct()
@@ -459,7 +467,7 @@ QUERIES = {f.__name__: f for f in (
     article_lengths, article_length_stats, longest_articles, markdown_headings, marks_and_characters, notes_balance, qa_flags, raw_vs_clean, line_statistics, repeated_margin_lines,
     routed_lines, page_records, page_footnotes, span_lines, text_per_page, font_sizes, number_positions, small_foot_lines, two_column_ratio, large_gaps, headings_by_kind,
     numbering_resets, contents_pages, ruling_continuity, article_order, raw_markdown, span_markdown, note_links, orphan_notes, unresolved_markers, extraction_report, stage_chunks, reflowed_lines, cleaned_lines, line_length_p95, clean_events, event_samples, foot_samples, code_title_pages, legal_units, legal_chunks,
-    chunk_stats, outside_lines, split_documents, chunk_sizes, chunk_id_duplicates, page_range_notes, all_unit_contexts, ocr_page_report, ocr_figures, ocr_raw_lines,
+    chunk_stats, outside_lines, split_documents, chunk_sizes, chunk_id_duplicates, page_range_notes, unit_contexts, all_unit_contexts, ocr_page_report, ocr_figures, ocr_raw_lines,
 )}
 
 
@@ -558,7 +566,81 @@ _LEN = f"{_A}, ln AS (SELECT t.doc_id, t.seq, CASE WHEN a.id IS NOT NULL THEN a.
 _LA = f"{_LL}, a AS (SELECT doc_id, ix, page, {_aid(f'regexp_extract({_S('text')}, {_ART2}, 1)')} AS id FROM l WHERE regexp_matches({_S('text')}, {_ART2}))"
 _FLAGS = {"is_list": P.LIST_START, "is_sub": P.SUBHEADING, "is_ruling": P.RULING_START, "is_digits": P.DIGITS_ONLY, "is_legal": P.LEGAL_START, "is_punct": P.LONE_PUNCT, "is_caption": P.TABLE_CAPTION}
 
+def _let(value: str, name: str, body: str) -> str:
+    return f"list_transform([{value}], lambda {name}: {body})[1]"
+
+
+def _packed(items: str, sep: str, limit: int, v: str) -> str:
+    """Greedy packing in SQL; ``v`` makes the names of nested packings differ."""
+    start = f"list_prepend({{'o': CAST([] AS VARCHAR[]), 'c': ''}}, list_transform({items}, lambda i_{v}: {{'o': CAST([] AS VARCHAR[]), 'c': i_{v}}}))"
+    step = f"CASE WHEN a_{v}.c <> '' AND length(a_{v}.c) + {len(sep)} + length(x_{v}.c) > {limit} THEN {{'o': list_append(a_{v}.o, a_{v}.c), 'c': x_{v}.c}} ELSE {{'o': a_{v}.o, 'c': CASE WHEN a_{v}.c = '' THEN x_{v}.c ELSE a_{v}.c || {_chars(sep)} || x_{v}.c END}} END"
+    return _let(f"list_reduce({start}, lambda a_{v}, x_{v}: {step})", f"r_{v}", f"CASE WHEN r_{v}.c <> '' THEN list_append(r_{v}.o, r_{v}.c) ELSE r_{v}.o END")
+
+
+def _chars(text: str) -> str:
+    return " || ".join(f"chr({ord(c)})" for c in text)
+
+
+def _cut(items: str, limit: int, by: str, v: str) -> str:
+    return f"flatten(list_transform({items}, lambda {v}: CASE WHEN length({v}) <= {limit} THEN [{v}] ELSE {by} END))"
+
+
+def _split_sql(text: str, limit: int = 3000, least: int = 250) -> str:
+    """The ladder of splits in SQL (no text of the tables begins with a table)."""
+    at = f"CASE WHEN contains(left(h1.c, {limit}), ' ') THEN {limit} - strpos(reverse(left(h1.c, {limit})), ' ') ELSE -1 END"
+    place = f"CASE WHEN {at} < {limit // 2} THEN {limit} ELSE {at} END"
+    step = f"CASE WHEN length(h1.c) > {limit} THEN {{'o': list_append(h1.o, {_S(f'left(h1.c, {place})')}), 'c': {_S(f'substr(h1.c, {place} + 1)')}}} ELSE h1 END"
+    hard = _let(f"list_reduce(list_prepend({{'o': CAST([] AS VARCHAR[]), 'c': s1}}, list_transform(range(length(s1) // {limit // 2} + 2), lambda q1: {{'o': CAST([] AS VARCHAR[]), 'c': ''}})), lambda h1, h2: {step})", "h3", "CASE WHEN h3.c <> '' THEN list_append(h3.o, h3.c) ELSE h3.o END")
+    pieces = lambda t: f"string_split(regexp_replace({t}, '([.;:!?])[\\s\\p{{Z}}]+([«(\"A-ZÀ-ÖØ-Þ0-9-])', '\\1' || chr(1) || '\\2', 'g'), chr(1))"
+    of_line = _packed(_cut(pieces("l1"), limit, hard, "s1"), " ", limit, "p")
+    of_block = _packed(_cut("string_split(b1, chr(10))", limit, of_line, "l1"), chr(10), limit, "n")
+    one_line = of_line.replace("l1", "b1")
+    blocks = f"list_filter(list_transform(regexp_split_to_array({text}, '\\n[\\s\\p{{Z}}]*\\n'), lambda w: regexp_replace(w, '^\\n+|\\n+$', '', 'g')), lambda w: {_S('w')} <> '')"
+    parts = _packed(_cut(blocks, limit, f"CASE WHEN contains(b1, chr(10)) THEN {of_block} ELSE {one_line} END", "b1"), chr(10) * 2, limit, "z")
+    tail = _let(parts, "f", f"CASE WHEN len(f) > 1 AND length(f[-1]) < {least} AND length(f[-2]) + 2 + length(f[-1]) <= {limit * 1.25} THEN list_append(f[:-3], f[-2] || chr(10) || chr(10) || f[-1]) ELSE f END")
+    return f"CASE WHEN length({text}) <= {limit} THEN CASE WHEN {_S(text)} <> '' THEN [array_to_string({blocks}, chr(10) || chr(10))] ELSE [] END ELSE {tail} END"
+
+
+_IN = lambda words: "(" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + ")"
+_MD = f"{_A}, md AS (SELECT t.doc_id, t.seq, CASE WHEN a.id IS NOT NULL THEN '<!--art:' || a.id || '-->' || a.rest WHEN h.level IS NOT NULL THEN repeat('#', h.level) || ' ' || t.text ELSE t.text END AS text FROM t LEFT JOIN a USING (doc_id, seq) LEFT JOIN (SELECT doc_id, seq, {_heading_cases('c', 'level')} AS level FROM s) h USING (doc_id, seq))"
+_TITLED = "array_to_string(list_transform(regexp_extract_all({0}, '\\p{{L}}+|\\P{{L}}+'), lambda w: upper(w[1]) || lower(w[2:])), '')"
+_LABEL = f"CASE WHEN doc_type = 'code' THEN concat_ws(' ', nullif(code, ''), CASE WHEN version_year <> 0 THEN CAST(version_year AS VARCHAR) END) WHEN doc_type = 'rescrits' THEN 'Rescrits fiscaux' ELSE {_TITLED.format(chr(40) + 'replace(split_part(doc_id, ' + chr(39) + '__' + chr(39) + ', 1), ' + chr(39) + '_' + chr(39) + ', ' + chr(39) + ' ' + chr(39) + ')' + chr(41))} END"
+_CTX = f"""mt AS (SELECT doc_id, m.doc_type AS doc_type, m.code AS code, m.version_year AS version_year FROM (SELECT doc_id, max(struct_pack(l := loaded_at, doc_type := doc_type, code := code, version_year := version_year)) AS m FROM documents_meta GROUP BY doc_id)),
+u AS (SELECT DISTINCT doc_id, unit_ix, coalesce(kind, '') AS kind, coalesce(unit_key, '') AS key, coalesce(title, '') AS title, coalesce(hier, []) AS hier, coalesce(text, '') AS text FROM units),
+cx AS (SELECT u.*, concat_ws(' | ', nullif({_LABEL}, ''), nullif(array_to_string(list_transform(hier, lambda h: h.v), ' > '), ''), nullif(CASE kind WHEN 'article' THEN 'Art. ' || key WHEN 'rescrit' THEN 'R' || key || ' : ' || title ELSE title END, '')) AS context FROM u LEFT JOIN mt USING (doc_id))"""
+_OCR = f"{_L}, sc AS (SELECT DISTINCT doc_id FROM documents_meta WHERE ocr IS NOT NULL), raw0 AS (SELECT doc_id, page, CAST(row_number() OVER (PARTITION BY doc_id, page ORDER BY ix, text) - 1 AS INTEGER) AS line_no, text FROM l WHERE doc_id IN (FROM sc)), ol AS (SELECT doc_id, page, line_no, regexp_replace(regexp_replace(regexp_replace(text, '[\\s\\p{{Z}}]+$', ''), '(?i)\\[?\\bicon\\s*:\\s*[^\\]\\n]*\\]?\\s*', '', 'g'), '[\\s\\p{{Z}}]+$', '') AS tx FROM raw0), od AS (SELECT *, regexp_matches({_S('tx')}, '(?i)^(?:logo|photo|figure|image)\\s*:\\s*.*$') AS gone FROM ol)"
+#: Units of the marked lines of ``documents``.
+_UNITS = f"""{_A}, hd AS (SELECT doc_id, seq, {_heading_cases('c', 'level')} AS level FROM s), dt AS (SELECT doc_id, coalesce(any_value(doc_type), 'generic') AS dt FROM documents WHERE doc_id IS NOT NULL GROUP BY doc_id),
+m0 AS (SELECT t.doc_id, t.seq * 2 AS q, CASE WHEN a.id IS NOT NULL THEN '<!--art:' || a.id || '-->' WHEN hd.level IS NOT NULL THEN repeat('#', hd.level) || ' ' || t.text ELSE t.text END AS text FROM t LEFT JOIN a USING (doc_id, seq) LEFT JOIN hd USING (doc_id, seq) UNION ALL SELECT doc_id, seq * 2 + 1, '**Art. ' || id || ' :** ' || rest FROM a),
+m1 AS (SELECT m0.*, dt, {_S('m0.text')} AS c FROM m0 JOIN dt USING (doc_id)),
+m2 AS (SELECT *, length(regexp_extract(c, '^(#{{1,6}})[\\s\\p{{Z}}]+.*\\S', 1)) AS hl, {_S("regexp_extract(c, '^#{1,6}[\\s\\p{Z}]+(.*)$', 1)")} AS ht, {_S("regexp_extract(c, '^\\*\\*(.+?)\\*\\*$', 1)")} AS bd, regexp_matches(c, '^\\*\\*.+?\\*\\*$') AS isb FROM m1),
+m3 AS (SELECT *, CASE WHEN c = '' THEN 'blank' WHEN hl > 0 THEN CASE WHEN dt = 'rescrits' AND hl >= 2 AND regexp_matches(ht, '^R[\\s\\p{{Z}}]?[0-9]{{1,3}}[\\s\\p{{Z}}]*[:–-][\\s\\p{{Z}}]*.+$') THEN 'ruling' ELSE 'heading' END WHEN dt = 'code' AND regexp_matches(c, '^<!--art:[^ >]+-->$') THEN 'article'
+ WHEN dt = 'code' AND isb AND regexp_matches(bd, '^(?:I{{1,3}}|IV|VI{{0,3}}|IX|X|[A-H])\\s*[-–—]\\s*\\S.{{2,90}}$') THEN 'sub' WHEN dt NOT IN ('code', 'rescrits') AND isb THEN 'bold' ELSE 'text' END AS role FROM m2),
+m4 AS (SELECT *, role IN ('article', 'ruling', 'bold') OR (role = 'heading' AND dt NOT IN ('code', 'rescrits')) AS op, role = 'sub' OR (role = 'heading' AND dt IN ('code', 'rescrits')) AS cl, CASE WHEN role = 'heading' THEN hl END AS lv, CASE WHEN role IN ('heading', 'ruling') THEN ht WHEN role IN ('sub', 'bold') THEN bd END AS tt FROM m3),
+m5 AS (SELECT *, dt NOT IN ('code', 'rescrits') AND role = 'text' AND coalesce(count_if(op OR cl) OVER w, 0) = 0 AS loose FROM m4 WINDOW w AS (PARTITION BY doc_id ORDER BY q)),
+m6 AS (SELECT *, op OR (loose AND count_if(loose) OVER w = 1) AS op2 FROM m5 WINDOW w AS (PARTITION BY doc_id ORDER BY q)),
+m7 AS (SELECT *, count_if(op2 OR cl) OVER w AS un, last_value(CASE WHEN op2 OR cl THEN op2 END IGNORE NULLS) OVER w AS isop, {", ".join(f"max(CASE WHEN lv = {k} THEN q END) OVER w AS s{k}, max(CASE WHEN lv < {k} THEN q END) OVER w AS r{k}, last_value(CASE WHEN lv = {k} THEN tt END IGNORE NULLS) OVER w AS v{k}" for k in range(1, 7))},
+ max(CASE WHEN role = 'sub' THEN q END) OVER w AS ss, max(CASE WHEN role = 'heading' THEN q END) OVER w AS sr, last_value(CASE WHEN role = 'sub' THEN tt END IGNORE NULLS) OVER w AS sv FROM m6 WINDOW w AS (PARTITION BY doc_id ORDER BY q)),
+ua AS (SELECT doc_id, un, min(CASE WHEN op2 THEN q END) AS q, string_agg(CASE WHEN role = 'text' THEN regexp_replace(text, '[\\s\\p{{Z}}]+$', '') WHEN role = 'blank' THEN '' END, chr(10) ORDER BY q) AS body FROM m7 WHERE isop GROUP BY ALL),
+uh AS (SELECT doc_id, un, CASE role WHEN 'article' THEN 'article' WHEN 'ruling' THEN 'rescrit' ELSE 'section' END AS kind, CASE role WHEN 'article' THEN regexp_extract(c, 'art:([^ >]+)-->', 1) WHEN 'ruling' THEN regexp_extract(ht, '^R\\s?([0-9]{{1,3}})', 1) ELSE '' END AS key,
+ CASE role WHEN 'ruling' THEN {_S("regexp_extract(ht, '^R\\s?[0-9]{1,3}\\s*[:–-]\\s*(.+)$', 1)")} WHEN 'bold' THEN tt ELSE '' END AS title, concat_ws(' > ', {", ".join(f"CASE WHEN s{k} > coalesce(r{k}, -1) THEN v{k} END" for k in range(1, 7))}, CASE WHEN ss > coalesce(sr, -1) THEN sv END) AS hierarchy FROM m7 WHERE op2),
+uu AS (SELECT CAST(doc_id AS VARCHAR) AS doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY q) - 1 AS INTEGER) AS unit_ix, kind, key, title, hierarchy, {_S("regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(coalesce(body, ''), '**', ''), '<!--pg:[0-9]+-->', '', 'g'), '\\[\\^(fn[0-9]+)\\]', '', 'g'), '[ \\t]{2,}', ' ', 'g'), ' +\\n', chr(10), 'g'), '\\n{3,}', chr(10) || chr(10), 'g')")} AS text FROM ua JOIN uh USING (doc_id, un))"""
+
 ORACLE: dict[str, str] = {
+    "legal_units": f"WITH {_UNITS} SELECT doc_id, unit_ix, kind, key, title, hierarchy, length(text) AS n_chars, md5(text) AS digest, 1 AS page_start, 1 AS page_end FROM uu",
+    "outside_lines": f"WITH {_UNITS} SELECT CAST(doc_id AS VARCHAR) AS doc_id, q AS seq, c AS text FROM m7 WHERE NOT coalesce(isop, false) AND role = 'text'",
+    "split_documents": f"WITH p AS (SELECT doc_id, {_split_sql('text')} AS p FROM documents WHERE text IS NOT NULL) SELECT doc_id, CAST(unnest(range(len(p))) AS INTEGER) AS part, length(unnest(p)) AS n, md5(unnest(p)) AS digest FROM p",
+    "unit_contexts": f"WITH {_CTX} SELECT doc_id, unit_ix, kind, context FROM (SELECT DISTINCT doc_id, unit_ix, kind, key, title, hier, context FROM cx)",
+    "all_unit_contexts": f"WITH {_CTX}, pt AS (SELECT *, greatest(len({_split_sql('text')}), 1) AS n_parts FROM cx) SELECT doc_id, unit_ix, kind, CAST(unnest(range(n_parts)) AS INTEGER) AS part, CAST(n_parts AS INTEGER) AS n_parts, context || CASE WHEN n_parts > 1 THEN ' (partie ' || (unnest(range(n_parts)) + 1) || '/' || n_parts || ')' ELSE '' END AS context FROM pt",
+    "normalized_text": "SELECT doc_id, md5(regexp_replace(regexp_replace(translate(" + "replace(" * len(T.LIGATURES) + "nfc_normalize(text)" + "".join(f", '{k}', '{v}')" for k, v in T.LIGATURES.items()) + ", chr(160) || chr(8239) || chr(8201) || chr(8199) || '’‘ʼ' || chr(8203) || chr(8204) || chr(8205) || chr(65279) || chr(8288) || chr(173), '    '''''''), '[ \\t]+', ' ', 'g'), '[\\s\\p{Z}]+$', '')) AS digest FROM documents",
+    "plain_text": f"SELECT doc_id, length({_S('''regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(text, '**', ''), '<!--pg:[0-9]+-->', '', 'g'), '[[]\\^fn[0-9]+[]]', '', 'g'), '[ \\t]{2,}', ' ', 'g'), ' +\\n', chr(10), 'g'), '\\n{3,}', chr(10) || chr(10), 'g')''')}) AS n FROM documents",
+    "title_words": f"WITH {_H}, q AS (SELECT *, regexp_replace(title, '\\P{{L}}', '', 'g') AS lt, lower(regexp_extract(title, '([^\\s\\p{{Z}}]+)[\\s\\p{{Z}}]*$', 1)) AS lw FROM h WHERE level IS NOT NULL) SELECT doc_id, seq, lt <> '' AND NOT regexp_matches(lt, '[^\\p{{Lu}}]') AS capitals, lw IN {_IN(T.FUNCTION_WORDS)} OR regexp_matches(lw, '[''’]$') AS goes_on, CASE kind WHEN 'partie' THEN upper(num) || ' PARTIE' WHEN 'section' THEN 'Section ' || num WHEN 'paragraphe' THEN 'Paragraphe ' || num ELSE upper(kind) || ' ' || upper(num) END AS label FROM q",
+    "hyphen_decisions": f"WITH {_L}, q AS (SELECT doc_id, ix AS seq, text, lead(text) OVER (PARTITION BY doc_id ORDER BY ix) AS nx FROM l), r AS (SELECT *, split_part(nx, ' ', 1) AS f, lower(regexp_extract(text, '([\\p{{L}}\\p{{N}}_'']+)-$', 1)) AS lw FROM q WHERE nx IS NOT NULL AND regexp_matches(text, '[\\p{{L}}\\p{{N}}]-$')), k AS (SELECT *, regexp_matches(f, '^[\\p{{Lu}}0-9]') OR regexp_matches(text, '[0-9]-$') OR lw IN {_IN(T.KEEP_PREFIX)} OR lower(regexp_replace(f, '^[.,;:)]+|[.,;:)]+$', '', 'g')) IN {_IN(T.KEEP_SUFFIX)} AS keep FROM r) SELECT doc_id, seq, CASE WHEN keep THEN 'kept' ELSE 'joined' END AS how, CASE WHEN keep THEN text || nx ELSE left(text, length(text) - 1) || nx END AS joined FROM k",
+    "marks_and_characters": f"WITH {_MD} SELECT doc_id, CAST(sum(len(regexp_extract_all(text, '<!--pg:[0-9]+-->'))) AS BIGINT) AS page_markers, count_if(regexp_matches(text, '^\\|(?: --- \\|)+$')) AS tables, CAST(sum(length(regexp_replace(text, '[^\\x{{E000}}-\\x{{F8FF}}]', '', 'g'))) AS BIGINT) AS private_use_chars, CAST(sum(length(regexp_replace(text, '[^\\x{{FFFD}}]', '', 'g'))) AS BIGINT) AS replacement_chars, count_if(length(text) > 2500) AS very_long_paragraphs, count_if(regexp_matches({_S('text')}, '^[0-9]{{1,4}}$')) AS digit_only_paragraphs, count_if(regexp_matches(text, '^## R[0-9]+')) AS n_rescrits FROM md GROUP BY doc_id",
+    "qa_flags": f"WITH {_MD}, nn AS (SELECT doc_id, id, seq, CAST(nullif(regexp_extract(id, '^([0-9]+)', 1), '') AS BIGINT) AS n FROM a), kk AS (SELECT doc_id, seq, id, {_KEY} AS k FROM a), pp AS (SELECT doc_id, k, lag(k) OVER (PARTITION BY doc_id ORDER BY seq) AS pk FROM kk), f AS (SELECT doc_id, 'missing_numbers' AS flag FROM nn WHERE n IS NOT NULL GROUP BY doc_id HAVING count(DISTINCT n) < max(n) - min(n) + 1 UNION SELECT doc_id, 'duplicate_articles' FROM nn GROUP BY doc_id, id HAVING count(*) > 1 UNION SELECT doc_id, 'order_violations' FROM pp WHERE pk IS NOT NULL AND (k.n, k.rank, k.suffix) <= (pk.n, pk.rank, pk.suffix) UNION SELECT doc_id, 'refs_without_def' FROM md WHERE regexp_matches(text, '\\[\\^fn[0-9]+\\]') UNION SELECT doc_id, 'digit_only_paragraphs' FROM md WHERE regexp_matches({_S('text')}, '^[0-9]{{1,4}}$') UNION SELECT doc_id, 'very_long_paragraphs' FROM md WHERE length(text) > 2500) SELECT * FROM f",
+    "ocr_raw_lines": f"WITH {_OCR}, pg AS (SELECT DISTINCT doc_id, page FROM ol) SELECT doc_id, CAST(page AS BIGINT) * 1000002 + line_no + 2 AS seq, tx AS text FROM od WHERE NOT gone UNION ALL SELECT doc_id, CAST(page AS BIGINT) * 1000002, '<!--pg:' || page || '-->' FROM pg UNION ALL SELECT doc_id, CAST(page AS BIGINT) * 1000002 + 1, '' FROM pg UNION ALL SELECT doc_id, CAST(page AS BIGINT) * 1000002 + 1000001, '' FROM pg",
+    "ocr_page_report": f"WITH {_OCR}, q AS (SELECT doc_id, page, sum(CASE WHEN gone THEN 0 ELSE length({_S('tx')}) END) AS c, count_if(gone) AS dropped, count_if(NOT gone AND regexp_matches(tx, '^#{{1,6}} ')) AS h, count_if(NOT gone AND starts_with(tx, '|')) AS r FROM od GROUP BY ALL) SELECT doc_id, count(*) AS n_pages, count_if(c < 20) AS empty_pages, CAST(sum(dropped) AS BIGINT) AS dropped_lines, CAST(sum(h) AS BIGINT) AS headings, CAST(sum(r) AS BIGINT) AS table_rows FROM q GROUP BY doc_id",
+    "ocr_figures": f"WITH {_OCR} SELECT doc_id, page, line_no, left({_S('text')}, 300) AS text FROM raw0 WHERE {_S('text')} <> '' AND regexp_matches(text, '(?i)[0-9][0-9 \\x{{A0}}\\x{{202F}}.,]*\\s?(?:%|FCFA|F\\s?CFA|francs)|\\b[0-9]{{1,3}}(?:[ \\x{{A0}}\\x{{202F}}.][0-9]{{3}})+\\b') AND NOT regexp_matches(text, '^\\s*\\| ---')",
     "heading_lines": f"WITH {_H} SELECT * FROM h WHERE level IS NOT NULL",
     "heading_levels": f"WITH {_H} SELECT doc_id, level, count(*) AS n FROM h WHERE level IS NOT NULL GROUP BY ALL",
     "heading_stack": f"WITH {_H}, g AS (SELECT doc_id, seq, level, title, " + ", ".join(f"max(CASE WHEN level = {k} THEN seq END) OVER w AS s{k}, max(CASE WHEN level < {k} THEN seq END) OVER w AS r{k}, last_value(CASE WHEN level = {k} THEN title END IGNORE NULLS) OVER w AS v{k}" for k in range(1, 7)) + " FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY seq)) SELECT doc_id, seq, " + ", ".join(f"CASE WHEN s{k} > coalesce(r{k}, -1) THEN v{k} END AS l{k}" for k in range(1, 7)) + " FROM g",
