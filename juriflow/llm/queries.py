@@ -165,7 +165,17 @@ o AS (SELECT source, block, count(*) AS occurrences FROM p WHERE NOT EXISTS (FRO
 SELECT p.source, count(DISTINCT key) AS lines, min(support) AS least_support, max(support) AS most_support, count(*) AS rows, any_value(occurrences) AS occurrences, count(DISTINCT doc_id) AS documents
 FROM p JOIN sup USING (source, block, key) JOIN o USING (source, block) GROUP BY p.source, p.block"""
 
+#: Every window of 200 code points by its hash, and those that several documents have.
+_P8 = """WITH d AS (SELECT doc_id, text FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL AND length(text) >= 200),
+w AS (SELECT doc_id, pos, hash(substr(text, pos, 200)) AS h FROM (SELECT doc_id, text, unnest(range(1, length(text) - 198)) AS pos FROM d)),
+g AS (SELECT h FROM w GROUP BY h HAVING min(doc_id) < max(doc_id)), hit AS (SELECT doc_id, pos, h FROM w WHERE h IN (FROM g))"""
+
 ORACLE = {
+    "p8_found": _P8 + ", o AS (SELECT DISTINCT doc_id, h FROM hit) SELECT DISTINCT a.doc_id AS doc_a, b.doc_id AS doc_b FROM o a JOIN o b ON a.h = b.h AND a.doc_id < b.doc_id",
+    "p8_shares": _P8 + """, c AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS first, count(*) OVER (PARTITION BY text) AS copies FROM d),
+ s AS (SELECT doc_id, CAST(sum(least(200, coalesce(nx - pos, 200))) AS BIGINT) AS chars FROM (SELECT doc_id, pos, lead(pos) OVER (PARTITION BY doc_id ORDER BY pos) AS nx FROM (SELECT DISTINCT doc_id, pos FROM hit)) GROUP BY doc_id),
+ r AS (SELECT DISTINCT doc_id, coalesce(length(text), 0) AS n_chars FROM documents WHERE doc_id IS NOT NULL)
+ SELECT r.doc_id, coalesce(c.first, r.doc_id) AS first, coalesce(copies, 1) AS copies, n_chars, coalesce(chars, 0) AS shared_chars, CASE WHEN n_chars > 0 THEN coalesce(chars, 0) / n_chars ELSE 0.0 END AS share FROM r LEFT JOIN c USING (doc_id) LEFT JOIN s USING (doc_id)""",
     "p1_found": _P1 + "SELECT DISTINCT src, doc_id, page, pos, span_ix FROM found",
     "p1_repaired": _P1 + "SELECT DISTINCT src, doc_id, page, pos, span_ix, text, fixed FROM found",
     "p2_blocks": _P2.replace("WITH born", "WITH RECURSIVE born") + _P2_BLOCKS.replace("reach AS (SELECT source, x, y FROM reach0)", "reach AS (SELECT source, x, y FROM link UNION SELECT r.source, r.x, l.y FROM reach r JOIN link l ON l.source = r.source AND l.x = r.y)"),
