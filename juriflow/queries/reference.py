@@ -626,7 +626,47 @@ uh AS (SELECT doc_id, un, CASE role WHEN 'article' THEN 'article' WHEN 'ruling'
  CASE role WHEN 'ruling' THEN {_S("regexp_extract(ht, '^R\\s?[0-9]{1,3}\\s*[:–-]\\s*(.+)$', 1)")} WHEN 'bold' THEN tt ELSE '' END AS title, concat_ws(' > ', {", ".join(f"CASE WHEN s{k} > coalesce(r{k}, -1) THEN v{k} END" for k in range(1, 7))}, CASE WHEN ss > coalesce(sr, -1) THEN sv END) AS hierarchy FROM m7 WHERE op2),
 uu AS (SELECT CAST(doc_id AS VARCHAR) AS doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY q) - 1 AS INTEGER) AS unit_ix, kind, key, title, hierarchy, {_S("regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(coalesce(body, ''), '**', ''), '<!--pg:[0-9]+-->', '', 'g'), '\\[\\^(fn[0-9]+)\\]', '', 'g'), '[ \\t]{2,}', ' ', 'g'), ' +\\n', chr(10), 'g'), '\\n{3,}', chr(10) || chr(10), 'g')")} AS text FROM ua JOIN uh USING (doc_id, un))"""
 
+_B0, _B1 = "(^|[^\\p{L}\\p{N}_])", "($|[^\\p{L}\\p{N}_])"
+
+
+def _fixed_sql(c: str) -> str:
+    """The corrections of a paragraph in SQL; word bounds are spelled out, as \\b knows only ASCII there."""
+    out = f"regexp_replace({c}, '(?i){_B0}ci(dessous|dessus|après|apres|joint|jointe|contre|annexé|annexée|avant){_B1}', '\\1ci-\\2\\3', 'g')"
+    out = f"regexp_replace({out}, '(?i){_B0}(eux|elles|lui|elle|moi|soi|nous|vous|toi)(mêmes?){_B1}', '\\1\\2-\\3\\4', 'g')"
+    out = f"regexp_replace({out}, '(?i){_B0}([0-9]+) (er|ère|ème|èmes|e)( (?:{P.MONTHS}|trimestre|alinéa|jour|janv))', '\\1\\2\\3\\4', 'g')"
+    out = f"regexp_replace({out}, '[\\s\\p{{Z}}]+([,.])([\\s\\p{{Z}}]|$)', '\\1\\2', 'g')"
+    out = f"regexp_replace(regexp_replace({out}, '\\([\\s\\p{{Z}}]+', '(', 'g'), '[\\s\\p{{Z}}]+\\)', ')', 'g')"
+    return _S(f"regexp_replace({out}, ' {{2,}}', ' ', 'g')")
+
+
+def _normal_sql(c: str) -> str:
+    return "regexp_replace(regexp_replace(translate(" + "replace(" * len(T.LIGATURES) + f"nfc_normalize({c})" + "".join(f", '{k}', '{v}')" for k, v in T.LIGATURES.items()) + ", chr(160) || chr(8239) || chr(8201) || chr(8199) || '’‘ʼ' || chr(8203) || chr(8204) || chr(8205) || chr(65279) || chr(8288) || chr(173), '    '''''''), '[ \\t]+', ' ', 'g'), '[\\s\\p{Z}]+$', '')"
+
+
+_KEEP = f"regexp_matches(split_part(x, ' ', 1), '^[\\p{{Lu}}0-9]') OR regexp_matches(a, '[0-9]-$') OR lower(regexp_extract(a, '([\\p{{L}}\\p{{N}}_'']+)-$', 1)) IN {_IN(T.KEEP_PREFIX)} OR lower(regexp_replace(split_part(x, ' ', 1), '^[.,;:)]+|[.,;:)]+$', '', 'g')) IN {_IN(T.KEEP_SUFFIX)}"
+_JOIN = f"CASE WHEN regexp_matches(a, '[\\p{{L}}\\p{{N}}]-$') THEN CASE WHEN {_KEEP} THEN a || x ELSE left(a, length(a) - 1) || x END ELSE a || ' ' || x END"
+_BULLET_SQL = "'^[•·▪‣₋–—*●\\x{F0B7}][\\s\\p{Z}]*'"
+_IS_BRACKET = f"regexp_matches(c, {_re2(P.BRACKET_ROW)}) OR regexp_matches(c, {_re2(P.BRACKET_LAST)})"
+#: Clean lines of text lines that hold no page marks and no lone punctuation: ``cl`` has blocks, ``cz`` their lines.
+_REFLOW = f"""{_T}, rn AS (SELECT doc_id, seq, {_normal_sql("text")} AS nt FROM t), rc AS (SELECT doc_id, seq, {_S("nt")} AS c FROM rn),
+rp AS (SELECT doc_id, list_sort(list(length(nt)) FILTER (length(nt) > 0 AND NOT regexp_matches(nt, '^(?:#|<!--|\\[\\^|\\*\\*)'))) AS v FROM rn GROUP BY doc_id),
+rq AS (SELECT doc_id, CAST(coalesce(v[1 + CAST(floor(0.95 * (len(v) - 1)) AS INTEGER)], 80) AS DOUBLE) AS p95 FROM rp),
+rk AS (SELECT doc_id, seq, c, CASE WHEN c = '' THEN 'blank' WHEN {_IS_BRACKET} THEN 'bracket' WHEN starts_with(c, '|') THEN 'row' WHEN starts_with(c, '#') OR regexp_matches(c, '^\\*\\*[^*]+\\*\\*$') OR regexp_matches(c, '^\\[\\^fn[0-9]+\\]:') THEN 'struct' ELSE 'text' END AS kind FROM rc),
+rl AS (SELECT *, CASE WHEN kind = 'text' AND regexp_matches(c, {_BULLET_SQL}) AND NOT starts_with(c, '**') THEN regexp_replace(c, {_BULLET_SQL}, '- ') ELSE c END AS line FROM rk),
+rm AS (SELECT *, lag(kind) OVER w AS pk, lag(line) OVER w AS pl FROM rl JOIN rq USING (doc_id) WINDOW w AS (PARTITION BY doc_id ORDER BY seq)),
+ro AS (SELECT *, CASE WHEN kind = 'text' THEN coalesce(pk, '') <> 'text' OR starts_with(line, '**Art.') OR regexp_matches(line, {_re2(P.TABLE_CAPTION)}) OR regexp_matches(line, {_re2(P.LIST_START)}) OR coalesce(regexp_matches(pl, '[.!?:»]$') AND length(pl) < p95 * CAST(0.9 AS DOUBLE) AND regexp_matches(line, '^[\\p{{Lu}}«(]'), false) WHEN kind = 'bracket' THEN coalesce(pk, '') <> 'bracket' ELSE true END AS op FROM rm),
+rb AS (SELECT *, count_if(op) OVER (PARTITION BY doc_id ORDER BY seq) AS blk FROM ro),
+ry AS (SELECT doc_id, blk, min(seq) AS seq, any_value(kind) AS kind, list(line ORDER BY seq) AS ls FROM rb WHERE kind <> 'blank' GROUP BY ALL),
+cl AS (SELECT doc_id, seq, kind, CASE WHEN kind = 'text' THEN [{_fixed_sql(f"list_reduce(ls, lambda a, x: {_JOIN})")}] WHEN kind = 'bracket' THEN ['| Tranche (FCFA) | Taux |', '| --- | --- |'] || list_transform(ls, lambda r: CASE WHEN regexp_matches(r, {_re2(P.BRACKET_ROW)}) THEN '| de ' || {_TIDY(f"regexp_extract(r, {_re2(P.BRACKET_ROW)}, 1)")} || ' à ' || {_TIDY(f"regexp_extract(r, {_re2(P.BRACKET_ROW)}, 2)")} || ' | ' || {_S(f"regexp_extract(r, {_re2(P.BRACKET_ROW)}, 3)")} || ' |' ELSE '| plus de ' || {_TIDY(f"regexp_extract(r, {_re2(P.BRACKET_LAST)}, 1)")} || ' | ' || {_S(f"regexp_extract(r, {_re2(P.BRACKET_LAST)}, 2)")} || ' |' END) WHEN starts_with(ls[1], '#') THEN [{_fixed_sql("ls[1]")}] ELSE ls END AS o FROM ry),
+cs AS (SELECT *, lag(kind) OVER w AS pk, lag(o[-1]) OVER w AS pt FROM cl WINDOW w AS (PARTITION BY doc_id ORDER BY seq)),
+cz AS (SELECT doc_id, seq, CASE WHEN pk IS NULL OR (pk = 'row' AND kind = 'row') OR (starts_with(pt, '- ') AND starts_with(o[1], '- ')) THEN o ELSE [''] || o END AS o FROM cs),
+ce AS (SELECT doc_id, seq, unnest(range(len(o))) AS i, unnest(o) AS text FROM cz)"""
+
+
 ORACLE: dict[str, str] = {
+    "reflowed_lines": f"WITH {_REFLOW} SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY seq, i) - 1 AS BIGINT) AS seq, text FROM ce",
+    "fixed_text": f"WITH {_T}, f AS (SELECT doc_id, seq, text AS old, {_fixed_sql('text')} AS text FROM t) SELECT doc_id, seq, text FROM f WHERE text <> old",
+    "chunk_id_duplicates": f"WITH u AS (SELECT doc_id, unit_ix, min(struct_pack(kind := kind, key := coalesce(unit_key, ''), title := coalesce(title, ''))) AS u FROM units GROUP BY ALL), b AS (SELECT doc_id, unit_ix, u.kind AS kind, CASE WHEN u.key <> '' THEN u.key ELSE coalesce(nullif(regexp_replace(regexp_replace(lower(u.title), '[^\\p{{L}}\\p{{M}}\\p{{Nd}}_]+', '-', 'g'), '^-+|-+$', '', 'g'), ''), 's' || (row_number() OVER (PARTITION BY doc_id ORDER BY unit_ix) - 1)) END AS base FROM u), n AS (SELECT *, row_number() OVER (PARTITION BY doc_id, kind, base ORDER BY unit_ix) AS nth FROM b) SELECT doc_id, unit_ix, CASE WHEN nth > 1 THEN base || '-dup' || nth ELSE base END AS uid FROM n",
     "legal_units": f"WITH {_UNITS} SELECT doc_id, unit_ix, kind, key, title, hierarchy, length(text) AS n_chars, md5(text) AS digest, 1 AS page_start, 1 AS page_end FROM uu",
     "outside_lines": f"WITH {_UNITS} SELECT CAST(doc_id AS VARCHAR) AS doc_id, q AS seq, c AS text FROM m7 WHERE NOT coalesce(isop, false) AND role = 'text'",
     "split_documents": f"WITH p AS (SELECT doc_id, {_split_sql('text')} AS p FROM documents WHERE text IS NOT NULL) SELECT doc_id, CAST(unnest(range(len(p))) AS INTEGER) AS part, length(unnest(p)) AS n, md5(unnest(p)) AS digest FROM p",
