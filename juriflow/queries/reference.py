@@ -651,7 +651,7 @@ _IS_BRACKET = f"regexp_matches(c, {_re2(P.BRACKET_ROW)}) OR regexp_matches(c, {_
 _REFLOW = f"""{_T}, rn AS (SELECT doc_id, seq, {_normal_sql("text")} AS nt FROM t), rc AS (SELECT doc_id, seq, {_S("nt")} AS c FROM rn),
 rp AS (SELECT doc_id, list_sort(list(length(nt)) FILTER (length(nt) > 0 AND NOT regexp_matches(nt, '^(?:#|<!--|\\[\\^|\\*\\*)'))) AS v FROM rn GROUP BY doc_id),
 rq AS (SELECT doc_id, CAST(coalesce(v[1 + CAST(floor(0.95 * (len(v) - 1)) AS INTEGER)], 80) AS DOUBLE) AS p95 FROM rp),
-rk AS (SELECT doc_id, seq, c, CASE WHEN c = '' THEN 'blank' WHEN {_IS_BRACKET} THEN 'bracket' WHEN starts_with(c, '|') THEN 'row' WHEN starts_with(c, '#') OR regexp_matches(c, '^\\*\\*[^*]+\\*\\*$') OR regexp_matches(c, '^\\[\\^fn[0-9]+\\]:') THEN 'struct' ELSE 'text' END AS kind FROM rc),
+rk AS (SELECT doc_id, seq, c, CASE WHEN c = '' THEN 'blank' WHEN {_IS_BRACKET} THEN 'bracket' WHEN starts_with(c, '|') THEN 'row' WHEN starts_with(c, '#') OR regexp_matches(c, '^\\*\\*[^*]+\\*\\*$') OR regexp_matches(c, '^\\[\\^fn[0-9]+\\]:') OR regexp_matches(c, '^<!--art:[^ >]+-->$') THEN 'struct' ELSE 'text' END AS kind FROM rc),
 rl AS (SELECT *, CASE WHEN kind = 'text' AND regexp_matches(c, {_BULLET_SQL}) AND NOT starts_with(c, '**') THEN regexp_replace(c, {_BULLET_SQL}, '- ') ELSE c END AS line FROM rk),
 rm AS (SELECT *, lag(kind) OVER w AS pk, lag(line) OVER w AS pl FROM rl JOIN rq USING (doc_id) WINDOW w AS (PARTITION BY doc_id ORDER BY seq)),
 ro AS (SELECT *, CASE WHEN kind = 'text' THEN coalesce(pk, '') <> 'text' OR starts_with(line, '**Art.') OR regexp_matches(line, {_re2(P.TABLE_CAPTION)}) OR regexp_matches(line, {_re2(P.LIST_START)}) OR coalesce(regexp_matches(pl, '[.!?:»]$') AND length(pl) < p95 * CAST(0.9 AS DOUBLE) AND regexp_matches(line, '^[\\p{{Lu}}«(]'), false) WHEN kind = 'bracket' THEN coalesce(pk, '') <> 'bracket' ELSE true END AS op FROM rm),
@@ -659,11 +659,22 @@ rb AS (SELECT *, count_if(op) OVER (PARTITION BY doc_id ORDER BY seq) AS blk FRO
 ry AS (SELECT doc_id, blk, min(seq) AS seq, any_value(kind) AS kind, list(line ORDER BY seq) AS ls FROM rb WHERE kind <> 'blank' GROUP BY ALL),
 cl AS (SELECT doc_id, seq, kind, CASE WHEN kind = 'text' THEN [{_fixed_sql(f"list_reduce(ls, lambda a, x: {_JOIN})")}] WHEN kind = 'bracket' THEN ['| Tranche (FCFA) | Taux |', '| --- | --- |'] || list_transform(ls, lambda r: CASE WHEN regexp_matches(r, {_re2(P.BRACKET_ROW)}) THEN '| de ' || {_TIDY(f"regexp_extract(r, {_re2(P.BRACKET_ROW)}, 1)")} || ' à ' || {_TIDY(f"regexp_extract(r, {_re2(P.BRACKET_ROW)}, 2)")} || ' | ' || {_S(f"regexp_extract(r, {_re2(P.BRACKET_ROW)}, 3)")} || ' |' ELSE '| plus de ' || {_TIDY(f"regexp_extract(r, {_re2(P.BRACKET_LAST)}, 1)")} || ' | ' || {_S(f"regexp_extract(r, {_re2(P.BRACKET_LAST)}, 2)")} || ' |' END) WHEN starts_with(ls[1], '#') THEN [{_fixed_sql("ls[1]")}] ELSE ls END AS o FROM ry),
 cs AS (SELECT *, lag(kind) OVER w AS pk, lag(o[-1]) OVER w AS pt FROM cl WINDOW w AS (PARTITION BY doc_id ORDER BY seq)),
-cz AS (SELECT doc_id, seq, CASE WHEN pk IS NULL OR (pk = 'row' AND kind = 'row') OR (starts_with(pt, '- ') AND starts_with(o[1], '- ')) THEN o ELSE [''] || o END AS o FROM cs),
+cz AS (SELECT doc_id, seq, CASE WHEN pk IS NULL OR regexp_matches(pt, '^<!--art:[^ >]+-->$') OR (pk = 'row' AND kind = 'row') OR (starts_with(pt, '- ') AND starts_with(o[1], '- ')) THEN o ELSE [''] || o END AS o FROM cs),
 ce AS (SELECT doc_id, seq, unnest(range(len(o))) AS i, unnest(o) AS text FROM cz)"""
 
 
+def _article_sums(lines: str, at: str, out: str) -> str:
+    """CTEs ``out``: characters of each article in ordered lines."""
+    mark = "<!--art:([^ >]+)-->"
+    rest = f"regexp_replace(regexp_replace(text, '{mark}', '', 'g'), '<!--pg:[0-9]+-->', '', 'g')"
+    run = f"SELECT doc_id, length({rest}) + 1 AS n, last_value(CASE WHEN regexp_matches(text, '{mark}') THEN regexp_extract(text, '{mark}', 1) END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY {at}) AS id FROM {lines}"
+    return f"{out} AS (SELECT doc_id, id, CAST(sum(n) AS BIGINT) AS n FROM ({run}) WHERE id IS NOT NULL GROUP BY ALL)"
+
+
+_MARKED = _UNITS[: _UNITS.index("m1 AS (")].rstrip(",\n ") + ", mk AS (SELECT CAST(doc_id AS VARCHAR) AS doc_id, q AS seq, text FROM m0)"
+
 ORACLE: dict[str, str] = {
+    "raw_vs_clean": f"WITH {_MARKED}{_REFLOW[len(_T):].replace('FROM t), rc', 'FROM mk), rc')}, {_article_sums('mk', 'seq', 'sa')}, {_article_sums('ce', 'seq, i', 'sb')} SELECT doc_id, id, coalesce(sa.n, 0) AS raw_chars, sb.n AS clean_chars, sb.n - coalesce(sa.n, 0) AS change FROM sb LEFT JOIN sa USING (doc_id, id)",
     "reflowed_lines": f"WITH {_REFLOW} SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY seq, i) - 1 AS BIGINT) AS seq, text FROM ce",
     "fixed_text": f"WITH {_T}, f AS (SELECT doc_id, seq, text AS old, {_fixed_sql('text')} AS text FROM t) SELECT doc_id, seq, text FROM f WHERE text <> old",
     "chunk_id_duplicates": f"WITH u AS (SELECT doc_id, unit_ix, min(struct_pack(kind := kind, key := coalesce(unit_key, ''), title := coalesce(title, ''))) AS u FROM units GROUP BY ALL), b AS (SELECT doc_id, unit_ix, u.kind AS kind, CASE WHEN u.key <> '' THEN u.key ELSE coalesce(nullif(regexp_replace(regexp_replace(lower(u.title), '[^\\p{{L}}\\p{{M}}\\p{{Nd}}_]+', '-', 'g'), '^-+|-+$', '', 'g'), ''), 's' || (row_number() OVER (PARTITION BY doc_id ORDER BY unit_ix) - 1)) END AS base FROM u), n AS (SELECT *, row_number() OVER (PARTITION BY doc_id, kind, base ORDER BY unit_ix) AS nth FROM b) SELECT doc_id, unit_ix, CASE WHEN nth > 1 THEN base || '-dup' || nth ELSE base END AS uid FROM n",
