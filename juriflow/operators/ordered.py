@@ -1,8 +1,9 @@
 """Order-dependent columns over a document's lines.
 
-All windows share one partitioning and order, so a chain of them costs one
-shuffle and one sort.  Every frame runs from a document's start to the row or to
-a direct neighbour, so a task streams a document and never holds it.
+``running`` and ``paged_sum`` hold a bucket or a page of a document in a window
+and carry what came before it in a second window over one row for each bucket,
+so no document is one task.  The others run over a whole document: their frames
+reach from its start to the row or to a direct neighbour, so a task streams it.
 """
 
 from __future__ import annotations
@@ -10,6 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from juriflow.session import stored
+
+#: Places of a document that one window holds.
+BUCKET = 16_384
+
 
 def running_last(df: DataFrame, keys: list[str], order: str, cols: dict[str, Column]) -> DataFrame:
     """Each column's last value that is not NULL, up to and including the row."""
@@ -43,3 +49,22 @@ def paged_sum(df: DataFrame, order: str | list[str], cols: dict[str, Column]) ->
     carried = totals.select(*page, *[F.coalesce(F.sum(f"_t_{o}").over(before), F.lit(0)).alias(f"_c_{o}") for o in cols])
     d = d.withColumns({o: F.coalesce(F.sum(f"_v_{o}").over(w), F.lit(0)) for o in cols}).join(carried, page)
     return d.withColumns({o: F.col(o) + F.col(f"_c_{o}") for o in cols}).drop(*[f"{x}{o}" for o in cols for x in ("_v_", "_c_")])
+
+
+def running(df: DataFrame, order: str, lasts: dict[str, Column], sums: dict[str, Column], bucket: int | None = None) -> DataFrame:
+    """Each column's last value that is not NULL (``lasts``) and sum (``sums``) over the document up to and including the row, for rows with doc_id.
+
+    The rows are written once, read for the buckets' totals and for themselves.
+    """
+    key = ["doc_id", "_bk"]
+    d = df.withColumns({f"_v_{o}": c for o, c in (lasts | sums).items()}).withColumn("_bk", F.floor(F.col(order) / (bucket or BUCKET)))
+    d = stored(d)
+    ends = [F.max_by(f"_v_{o}", F.when(F.col(f"_v_{o}").isNotNull(), F.col(order))).alias(f"_e_{o}") for o in lasts] + [F.sum(f"_v_{o}").alias(f"_e_{o}") for o in sums]
+    before = Window.partitionBy("doc_id").orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = d.groupBy(*key).agg(*ends).select(
+        *key, *[F.last(f"_e_{o}", ignorenulls=True).over(before).alias(f"_c_{o}") for o in lasts], *[F.coalesce(F.sum(f"_e_{o}").over(before), F.lit(0)).alias(f"_c_{o}") for o in sums]
+    )
+    w = Window.partitionBy(*key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    d = d.withColumns({o: F.last(f"_v_{o}", ignorenulls=True).over(w) for o in lasts} | {o: F.coalesce(F.sum(f"_v_{o}").over(w), F.lit(0)) for o in sums}).join(carried, key)
+    both = {o: F.coalesce(F.col(o), F.col(f"_c_{o}")) for o in lasts} | {o: F.col(o) + F.col(f"_c_{o}") for o in sums}
+    return d.withColumns(both).drop("_bk", *[f"{x}{o}" for o in (*lasts, *sums) for x in ("_v_", "_c_")])

@@ -1,7 +1,8 @@
 """Clean Markdown lines to units: articles, rulings, sections.
 
 Lines are classified, unit ids are running sums of the lines that open or close
-a unit, and the hierarchy is a running last value per level.
+a unit, and the hierarchy is a running last value per level; all are taken in
+one pass over buckets of a document.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from juriflow.functions import patterns as P
 from juriflow.functions.text import clean_text
-from juriflow.operators.ordered import running_last, running_sum
+from juriflow.operators.ordered import running, running_sum
 
 #: A Markdown heading, and the heading of a ruling.
 HEADING = r"(?U)^(#{1,6})\s+(.*\S)\s*$"
@@ -20,7 +21,7 @@ BOLD = r"(?U)^\*\*(.+?)\*\*\s*$"
 
 
 def unit_lines(clean_lines: DataFrame, documents: DataFrame) -> DataFrame:
-    """Every line with its unit: unit (NULL outside), opens, kind, key, utitle, hier, page_before, page_after, role.
+    """Every line with its unit: unit (NULL outside), opens, kind, key, utitle, hier (on opening lines), page_before, page_after, role.
 
     ``documents``: doc_id, doc_type ('code', 'rescrits', else generic),
     first_page.  role: blank, page, heading, open, close, note, text.
@@ -49,18 +50,17 @@ def unit_lines(clean_lines: DataFrame, documents: DataFrame) -> DataFrame:
     cols["_sub"] = F.when(F.col("role") == "sub", F.struct(F.col("htitle").alias("t"))).when(F.col("role") == "heading", F.struct(F.lit(None).cast("string").alias("t")))
     opening = F.col("role").isin("article", "ruling", "bold") | ((F.col("role") == "heading") & generic)
     closing = F.col("role").isin("sub") | ((F.col("role") == "heading") & ~generic)
-    cols["_any"] = F.when(opening | closing, F.lit(1))
     cols["page_after"] = F.col("_pg")
     cols["_page_line"] = F.when(F.col("role") == "page", F.col("_pg"))
-    d = running_last(d, ["doc_id"], "seq", cols)
     # in a generic document loose text before any title opens a section: only its first line
-    loose = generic & (F.col("role") == "text") & F.col("_any").isNull()
-    d = d.withColumn("_loose", loose)
-    d = running_sum(d, ["doc_id"], "seq", {"_nloose": F.col("_loose").cast("int")})
-    opens = opening | (F.col("_loose") & (F.col("_nloose") == 1))
-    d = d.withColumn("opens", F.coalesce(opens, F.lit(False))).withColumn("_event", (F.col("opens") | closing).cast("int"))
-    d = running_sum(d, ["doc_id"], "seq", {"_unit": F.col("_event")})
-    d = running_last(d, ["doc_id"], "seq", {"_open": F.when(F.col("_event") == 1, F.col("opens"))})
+    d = d.withColumns({"_opening": opening, "_closing": closing})
+    firsts = d.filter(generic).groupBy("doc_id").agg(F.min(F.when(F.col("_opening") | F.col("_closing"), F.col("seq"))).alias("_event1"), F.min(F.when(F.col("role") == "text", F.col("seq"))).alias("_text1"))
+    d = d.join(firsts, "doc_id", "left")
+    loose = (F.col("seq") == F.col("_text1")) & (F.col("_event1").isNull() | (F.col("_text1") < F.col("_event1")))
+    d = d.withColumn("opens", F.coalesce(F.col("_opening") | loose, F.lit(False)))
+    event = F.col("opens") | F.col("_closing")
+    cols["_open"] = F.when(event, F.col("opens"))
+    d = running(d.drop("_event1", "_text1"), "seq", cols, {"_unit": event.cast("int")})
     names = F.when(code, F.array(*map(F.lit, P.LEVELS))).otherwise(F.array(*[F.lit(f"h{i}") for i in range(1, 7)]))
     entries = [F.when(F.col(f"_h{k}.t").isNotNull(), F.struct(F.get(names, F.lit(k - 1)).alias("k"), F.col(f"_h{k}.t").alias("v"))) for k in range(1, 7)]
     entries.append(F.when(F.col("_sub.t").isNotNull(), F.struct(F.lit("sous").alias("k"), F.col("_sub.t").alias("v"))))
@@ -71,7 +71,7 @@ def unit_lines(clean_lines: DataFrame, documents: DataFrame) -> DataFrame:
     before = F.when((F.col("role") != "page") & F.col("_pg").isNotNull(), F.col("_page_line")).otherwise(F.col("page_after"))
     return d.select(
         "doc_id", "seq", "text", "s", "doc_type", "role", "opens", F.when(F.coalesce("_open", F.lit(False)), F.col("_unit")).alias("unit"),
-        kind.alias("kind"), key.alias("key"), utitle.alias("utitle"), F.array_compact(F.array(*entries)).alias("hier"),
+        kind.alias("kind"), key.alias("key"), utitle.alias("utitle"), F.when(F.col("opens"), F.array_compact(F.array(*entries))).alias("hier"),
         F.coalesce(before, "first_page").alias("page_before"), F.coalesce("page_after", "first_page").alias("page_after"),
     )
 

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from juriflow.operators import chunks, layout, ocr, pack, qa, rawmd, reflow, units
+from juriflow.operators import chunks, layout, ocr, ordered, pack, qa, rawmd, reflow, units
 from juriflow.plans import pipeline
 from juriflow.queries import reference
 
@@ -35,7 +35,20 @@ def meta(spark, kind="code", doc="d"):
     return spark.createDataFrame([(doc, None, kind, "CGI", 2023, None, None, [1])], "doc_id string, source_doc_id string, doc_type string, code string, version_year int, published string, source_url string, pdf_pages array<int>")
 
 
-def test_units_of_a_code(spark):
+def test_running_in_buckets(spark):
+    rows = [("a", i, i % 7 if i % 3 else None) for i in range(0, 60, 2)] + [("b", 5, None), (None, 1, 1)]
+    df = spark.createDataFrame(rows, "doc_id string, seq long, v int")
+    got = {r.seq: (r.l, r.s) for r in ordered.running(df, "seq", {"l": F.col("v")}, {"s": F.col("v")}, bucket=8).filter("doc_id = 'a'").collect()}
+    last, total = None, 0
+    for _, i, v in rows[:30]:
+        last, total = (last, total) if v is None else (v, total + v)
+        assert got[i] == (last, total)
+    assert ordered.running(df.limit(0), "seq", {"l": F.col("v")}, {"s": F.col("v")}).count() == 0
+
+
+@pytest.mark.parametrize("bucket", [ordered.BUCKET, 3])
+def test_units_of_a_code(spark, bucket, monkeypatch):
+    monkeypatch.setattr(ordered, "BUCKET", bucket)
     docs = pipeline.documents_of(meta(spark))
     got = units.units(lines(spark, MD), docs).orderBy("unit_ix").collect()
     assert [(u.kind, u.key, u.page_start, u.page_end) for u in got] == [("article", "1", 1, 1), ("article", "2", 1, 2)]
