@@ -11,8 +11,7 @@ A partition with more leaves than a task holds gets a longer prefix.  Its
 leaves share a code points before and b after the anchor; two of them that
 share a span of 200 also share half of what is missing, on one side or on the
 other, so each leaf goes into two partitions with prefixes of (a + half, b) and
-(a, b + half), and so on until a partition fits or its prefix is the span
-itself.  In each partition the sorted suffixes and their common prefixes are
+(a, b + half), and so on until a partition fits or all its leaves share a span.  In each partition the sorted suffixes and their common prefixes are
 the suffix tree; its internal nodes of depth d join the suffixes that also
 agree on the 200 - d code points before the anchor.
 """
@@ -24,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from juriflow.session import small, stored
@@ -256,20 +255,32 @@ def leaves(texts: DataFrame, span: int = SPAN) -> tuple[DataFrame, DataFrame]:
     return one.select("h", "leaf", who.alias("who"), "l", "r"), suffixes.select("leaf", "doc_id", "pos")
 
 
-def partitioned(found: DataFrame, span: int, held: int) -> tuple[DataFrame, DataFrame | None]:
-    """Leaves with the key of a partition that fits (``h``), and those of partitions whose prefix became a whole span (``h``, one node each)."""
+def _common(x: str, y: str, most: int) -> Column:
+    """Length of the common prefix of two texts of at most ``most`` code points."""
+    return F.size(F.filter(F.sequence(F.lit(1), F.lit(most)), lambda i: (F.length(x) >= i) & (F.substring(F.col(x), F.lit(1), i) == F.substring(F.col(y), F.lit(1), i))))
+
+
+def partitioned(found: DataFrame, span: int, held: int, widest: bool) -> tuple[DataFrame, DataFrame | None]:
+    """Leaves with the key of a partition that fits, and those of partitions whose leaves all share a span, one node each.
+
+    With ``widest`` such a partition is split on until its prefix is one window
+    of the span, so that every window that a leaf shares with any other is met.
+    """
     d = found.select(F.struct("h", F.lit(0).alias("k")).alias("key"), F.lit(0).alias("a"), F.lit(span // 2).alias("b"), "leaf", "who", "l", "r")
     small_, whole = [], []
     while True:
         # the next round reads these again
         d = stored(d)
-        big = d.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > held).select("key")
-        big = small(big, BROADCAST_IDS)
+        # what all leaves of a partition share is what the first and the last of them share
+        ends = [f(c).alias(f"_{f.__name__}_{c}") for f in (F.min, F.max) for c in ("l", "r")]
+        big = d.groupBy("key").agg(F.count(F.lit(1)).alias("_n"), *ends).filter(F.col("_n") > held)
+        big = small(big.select("key", _common("_min_l", "_max_l", span).alias("_a"), _common("_min_r", "_max_r", span).alias("_b")), BROADCAST_IDS)
+        jump = (F.col("_a") + F.col("_b") < span) if widest else F.lit(True)
         if big.isEmpty():
             small_.append(d)
             break
         small_.append(d.join(big, "key", "left_anti"))
-        over = d.join(big, "key", "left_semi")
+        over = d.join(big, "key").withColumns({"a": F.when(jump, F.col("_a")).otherwise(F.col("a")), "b": F.when(jump, F.col("_b")).otherwise(F.col("b"))}).drop("_a", "_b")
         full = F.col("a") + F.col("b") >= span
         whole.append(over.filter(full))
         more = F.ceil((span - F.col("a") - F.col("b")) / 2).cast("int")
@@ -281,16 +292,17 @@ def partitioned(found: DataFrame, span: int, held: int) -> tuple[DataFrame, Data
     return fits, functools.reduce(DataFrame.unionByName, whole) if whole else None
 
 
-def spans_of_texts(texts: DataFrame, span: int = SPAN, held: int = HELD) -> DataFrame:
+def spans_of_texts(texts: DataFrame, span: int = SPAN, held: int = HELD, widest: bool = False) -> DataFrame:
     """Memberships (h, node, child, doc_id, lo, hi) over texts that are all different.
 
     Rows of one (h, node) in different children share the span; where the child
     is NULL, all documents of the node do.  Leaves that several documents have
-    are nodes of their own with a NULL child.
+    are nodes of their own with a NULL child.  ``widest`` finds every shared
+    place in partitions that do not fit, where otherwise every link is enough.
     """
     half = span // 2
     found, places = leaves(texts, span)
-    fits, whole = partitioned(found, span, held)
+    fits, whole = partitioned(found, span, held, widest)
     key = F.xxhash64("key")
     rows = fits.select(key.alias("h"), "who", F.col("leaf.x").alias("x"), F.col("leaf.y").alias("y"), "l", "r")
     trees = rows.repartition("h").sortWithinPartitions("h", "r", "l").mapInPandas(_trees(span), "h bigint, node bigint, child int, x bigint, y bigint, before int, after int")
@@ -356,7 +368,7 @@ def shared_share(documents: DataFrame, span: int = SPAN, held: int = HELD) -> Da
     documents = documents.select("doc_id", "text").filter("doc_id IS NOT NULL")
     classes = copy_classes(documents.dropna(), span)
     texts = different_texts(documents.dropna(), classes, span)
-    spans = spans_of_texts(texts, span, held).groupBy("doc_id", "lo").agg(F.max("hi").alias("hi"))
+    spans = spans_of_texts(texts, span, held, widest=True).groupBy("doc_id", "lo").agg(F.max("hi").alias("hi"))
     w = Window.partitionBy("doc_id").orderBy("lo", "hi").rowsBetween(Window.unboundedPreceding, -1)
     covered = spans.withColumn("_end", F.coalesce(F.max("hi").over(w), F.lit(0))).groupBy("doc_id").agg(F.sum(F.greatest(F.col("hi") - F.greatest("lo", "_end"), F.lit(0))).alias("_shared"))
     rows = documents.select("doc_id", F.length("text").cast("bigint").alias("n_chars")).distinct()

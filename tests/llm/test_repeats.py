@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from juriflow.llm import repeats
 
@@ -63,3 +64,18 @@ def test_long_text_in_blocks():
     starts = sorted(cut)
     assert set(whole) & set(cut) and all(whole.get(p, cut[p]) == cut[p] for p in cut)
     assert max(b - c for b, c in zip(starts[1:], starts, strict=False)) <= 101
+
+
+def test_a_hot_passage(spark):
+    r = random.Random(9)
+    noise = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    passage, short = noise(300), noise(199)
+    texts = {i: noise(150) + passage + noise(60) for i in range(300)} | {1000 + i: noise(90) + short + noise(90) for i in range(300)} | {5000: passage[40:260], 5001: noise(30) + passage[:205]}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    members = repeats.span_members(df, held=40)
+    # one span holds every document that has the passage, and the rows are far fewer than the pairs
+    assert members.groupBy("span").agg(F.count_distinct("doc_id").alias("n")).agg(F.max("n")).first()[0] >= 300
+    want = brute(texts, repeats.SPAN)[0]
+    assert {r.doc_id for r in members.select("doc_id").distinct().collect()} == {i for pair in want for i in pair}
+    assert members.count() < len(want) / 2
+    assert {tuple(p) for p in repeats.sharing_pairs(df, held=40).collect()} == want
