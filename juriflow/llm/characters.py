@@ -11,11 +11,11 @@ characters and composition are the core's consistent form.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from juriflow.functions import consistent as C
+from juriflow.session import stored
 
 #: Splits a text into its words.
 NOT_WORD = r"\P{L}+"
@@ -70,8 +70,8 @@ def repair(rows: DataFrame, vocab: DataFrame, text: str = "text", out: str = "fi
 
 
 def _repaired(suspects: DataFrame, vocab: DataFrame, text: str, out: str) -> DataFrame:
-    # read by four branches below, so it is kept; lost parts are computed again
-    plain = suspects.withColumn(out, C.plain_characters(F.col(text))).persist(StorageLevel.MEMORY_AND_DISK)
+    # read by four branches below
+    plain = stored(suspects.withColumn(out, C.plain_characters(F.col(text))))
     foreign = F.coalesce(F.col(out).rlike(C.FOREIGN), F.lit(False))
     # what follows depends on the text alone, so every distinct text is repaired once
     texts = plain.filter(foreign).select(F.col(out).alias("_text")).distinct()
