@@ -271,14 +271,15 @@ def partitioned(found: DataFrame, span: int, held: int, widest: bool) -> tuple[D
     while True:
         # the next round reads these again
         d = stored(d)
+        big = small(d.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > held).select("key"), BROADCAST_IDS)
+        if big.isEmpty():
+            small_.append(d)
+            break
         # what all leaves of a partition share is what the first and the last of them share
         ends = [f(c).alias(f"_{f.__name__}_{c}") for f in (F.min, F.max) for c in ("l", "r")]
-        big = d.groupBy("key").agg(F.count(F.lit(1)).alias("_n"), *ends).filter(F.col("_n") > held)
+        big = d.join(big, "key", "left_semi").groupBy("key").agg(*ends)
         big = small(big.select("key", _common("_min_l", "_max_l", span).alias("_a"), _common("_min_r", "_max_r", span).alias("_b")), BROADCAST_IDS)
         jump = (F.col("_a") + F.col("_b") < span) if widest else F.lit(True)
-        if big.isEmpty():
-            small_.append(d)
-            break
         small_.append(d.join(big, "key", "left_anti"))
         over = d.join(big, "key").withColumns({"a": F.when(jump, F.col("_a")).otherwise(F.col("a")), "b": F.when(jump, F.col("_b")).otherwise(F.col("b"))}).drop("_a", "_b")
         full = F.col("a") + F.col("b") >= span
