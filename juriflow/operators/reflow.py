@@ -79,8 +79,9 @@ def blocks(lines: DataFrame, p95: DataFrame) -> DataFrame:
     d = paragraph_bounds(lines, p95)
     d = running_last(d, ["doc_id"], "seq", {"_b": F.when(F.col("block").isNotNull(), F.struct("block", "kind"))})
     # the next line that is in a block decides whether a mark lies inside a paragraph
-    after = Window.partitionBy("doc_id").orderBy("seq").rowsBetween(0, Window.unboundedFollowing)
-    d = stored(d.withColumn("_n", F.first("block", ignorenulls=True).over(after)))
+    # (looked up backwards: a frame that ends at the document's end is computed anew for each row)
+    after = Window.partitionBy("doc_id").orderBy(F.desc("seq")).rowsBetween(Window.unboundedPreceding, 0)
+    d = stored(d.withColumn("_n", F.last("block", ignorenulls=True).over(after)))
     inside = (F.col("kind") == "pg") & (F.col("_b.block") == F.col("_n")) & (F.col("_b.kind") == "text")
     punct = (F.col("kind") == "punct") & (F.col("_b.kind") == "text")
     d = d.withColumn("_g", F.when(F.col("block").isNotNull(), F.col("block")).when(F.coalesce(inside | punct, F.lit(False)), F.col("_b.block")))
